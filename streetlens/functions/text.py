@@ -31,8 +31,17 @@ def unknown_to_other(
     return F.when(c.isin(*known), c).otherwise(F.lit(fallback))
 
 
-def canonical_category(c: Column) -> Column:
-    return unknown_to_other(alias_map(normalise_text(c)))
+def canonical_category(
+    c: Column,
+    aliases: Mapping[str, str] = config.CATEGORY_ALIASES,
+    known: Sequence[str] = config.CANONICAL_CATEGORIES,
+    fallback: str = config.FALLBACK_CATEGORY,
+) -> Column:
+    """All three steps as one lookup, so that the text is normalised once per row."""
+    target = {name: name for name in known}
+    target.update({a: b if b in target else fallback for a, b in aliases.items()})
+    lookup = F.create_map(*[F.lit(v) for v in chain.from_iterable(target.items())])
+    return F.coalesce(F.try_element_at(lookup, normalise_text(c)), F.lit(fallback))
 
 
 def violent_flag(c: Column, violent: Iterable[str] = config.VIOLENT_CATEGORIES) -> Column:

@@ -18,7 +18,11 @@ RAW_CATEGORIES = (
 
 
 def incidents(orders: DataFrame) -> DataFrame:
-    """One raw incident per order."""
+    """One raw incident per order.
+
+    The coordinates pass through a generator, so that later filters see plain
+    columns, as in a stored table, and do not repeat the arithmetic below.
+    """
     key = F.col("o_orderkey")
     k = F.col("o_custkey") % 200
     hub = k % 8
@@ -26,13 +30,13 @@ def incidents(orders: DataFrame) -> DataFrame:
     lat = F.lit(53.31) + hub * F.lit(0.02) + (spot % 5) * F.lit(0.0005)
     lng = F.lit(-1.62) + ((hub * 5) % 8) * F.lit(0.035) + F.floor(spot / 5) * F.lit(0.0005)
     categories = F.array(*[F.lit(c) for c in RAW_CATEGORIES])
+    place = F.struct(F.when(key % 101 != 0, lat).alias("latitude"), lng.alias("longitude"))
     return orders.select(
         key.alias("id"),
         F.when(key % 89 != 0, key).alias("api_id"),
         F.element_at(categories, (key % 18 + 1).cast("int")).alias("category"),
         F.when(key % 997 == 0, "bad").otherwise(F.date_format("o_orderdate", "yyyy-MM")).alias("month"),
-        F.when(key % 101 != 0, lat).alias("latitude"),
-        lng.alias("longitude"),
+        F.inline(F.array(place)),
         F.lit("Force").alias("location_type"),
         k.alias("street_id"),
         F.concat(F.lit("On or near Street "), k.cast("string")).alias("street_name"),
