@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from checks.base import WITH_CLEAN, check, cleaned, on
+from streetlens import config
 from streetlens.operators import dbscan as db
+from streetlens.operators import kmeans as km
+from streetlens.operators import quality
 from streetlens.operators.neighbours import eps_neighbours as neighbours
+from streetlens.plans import dashboard
+from streetlens.session import scratch_path
+from streetlens.sources import results
 
 
 def r(c, digits=6):
@@ -50,3 +58,97 @@ def dbscan(spark, folder):
 def dbscan_with_border(spark, folder):
     """Settings that leave border and noise points."""
     return db.dbscan(cleaned(spark, folder), 60.0, 290).select("id", "dbscan_label")
+
+
+# ---- scores on fixed labels: the nearest of eight hub corners -------------------
+HUBS = [(53.31 + 0.02 * h, -1.62 + 0.035 * ((h * 5) % 8)) for h in range(8)]
+_D = [f"((x - ({a!r})::DOUBLE) * (x - ({a!r})::DOUBLE) + (y - ({b!r})::DOUBLE) * (y - ({b!r})::DOUBLE))" for a, b in HUBS]
+ASSIGN = f"CASE least({', '.join(_D)}) " + " ".join(f"WHEN {d} THEN {i}" for i, d in enumerate(_D)) + " END"
+ASSIGNED = f"""pts AS (SELECT latitude AS x, longitude AS y, count(*) AS w FROM cl GROUP BY 1, 2),
+asg AS (SELECT x, y, w, {ASSIGN} AS label, least({', '.join(_D)}) AS d2 FROM pts),
+cen AS (SELECT label, sum(x * w) / sum(w) AS cx, sum(y * w) / sum(w) AS cy, sum(w) AS n FROM asg GROUP BY 1)"""
+
+
+def _assigned(spark, folder):
+    from streetlens.operators.neighbours import distinct_points
+
+    points = distinct_points(cleaned(spark, folder)).withColumns({"x": F.col("latitude"), "y": F.col("longitude")})
+    return quality.nearest_centroid(points, HUBS)
+
+
+@check("nearest_centroid", on(WITH_CLEAN, "SELECT x, y, w, label, round(d2, 9) AS d2 FROM asg", ASSIGNED))
+def nearest_centroid(spark, folder):
+    return _assigned(spark, folder).select("x", "y", "w", "label", r("d2", 9).alias("d2"))
+
+
+@check("inertia", on(WITH_CLEAN, """SELECT round(sum(w * (pow(x - cx, 2) + pow(y - cy, 2))), 8) AS inertia FROM asg JOIN cen USING (label)""", ASSIGNED))
+def inertia(spark, folder):
+    return quality.inertia(_assigned(spark, folder)).select(r("inertia", 8).alias("inertia"))
+
+
+@check("davies_bouldin", on(WITH_CLEAN, """SELECT round(avg(worst), 6) AS davies_bouldin FROM (SELECT p.label, max((p.s + q.s) / sqrt(pow(p.cx - q.cx, 2) + pow(p.cy - q.cy, 2))) AS worst
+  FROM spr p, spr q WHERE p.label <> q.label GROUP BY 1)""", ASSIGNED, """spr AS (SELECT label, cx, cy, sum(w * sqrt(pow(x - cx, 2) + pow(y - cy, 2))) / sum(w) AS s
+  FROM asg JOIN cen USING (label) GROUP BY 1, 2, 3)"""))
+def davies_bouldin(spark, folder):
+    return quality.davies_bouldin(_assigned(spark, folder)).select(r("davies_bouldin").alias("davies_bouldin"))
+
+
+def silhouette_sql(distance: str) -> list[str]:
+    return [
+        ASSIGNED,
+        f"""tot AS (SELECT p.x, p.y, p.w, p.label, q.label AS other, sum(q.w * {distance}) AS reach, sum(q.w) AS size
+  FROM asg p, asg q GROUP BY 1, 2, 3, 4, 5)""",
+        """ab AS (SELECT x, y, w, label, max(CASE WHEN other = label AND size > 1 THEN reach / (size - 1) END) AS a,
+  min(CASE WHEN other <> label THEN reach / size END) AS b FROM tot GROUP BY 1, 2, 3, 4)""",
+    ]
+
+
+SILHOUETTE = "SELECT round(sum(w * CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END) / sum(w), 6) AS silhouette FROM ab"
+
+
+@check("silhouette_exact", on(WITH_CLEAN, SILHOUETTE, *silhouette_sql("sqrt(pow(p.x - q.x, 2) + pow(p.y - q.y, 2))")))
+def silhouette_exact(spark, folder):
+    return quality.silhouette_exact(_assigned(spark, folder)).select(r("silhouette").alias("silhouette"))
+
+
+@check("silhouette_fast", on(WITH_CLEAN, SILHOUETTE, *silhouette_sql("(pow(p.x - q.x, 2) + pow(p.y - q.y, 2))")))
+def silhouette_fast(spark, folder):
+    """Squared distances; the SQL adds them up pair by pair."""
+    return quality.silhouette_fast(_assigned(spark, folder)).select(r("silhouette").alias("silhouette"))
+
+
+@check("standardise", on(WITH_CLEAN, """SELECT id, round((latitude - m1) / s1, 6) + 0.0 AS x, round((longitude - m2) / s2, 6) + 0.0 AS y FROM cl, (SELECT avg(latitude) AS m1,
+  stddev_pop(latitude) AS s1, avg(longitude) AS m2, stddev_pop(longitude) AS s2 FROM cl)"""))
+def standardise(spark, folder):
+    df = cleaned(spark, folder).select("id", F.col("latitude").alias("x"), F.col("longitude").alias("y"))
+    return quality.standardise(df, ["x", "y"]).withColumns({"x": r("x") + 0.0, "y": r("y") + 0.0})
+
+
+@check("kmeans_sweep")
+def kmeans_sweep(spark, folder):
+    """Fewer restarts than by default; the range of k is the default one."""
+    return km.kmeans_sweep(cleaned(spark, folder), replace(config.CLUSTER, restarts=1)).table
+
+
+@check("cluster_overlay", on(WITH_CLEAN, f"""SELECT cl.id, l.label AS dbscan_label FROM cl LEFT JOIN (SELECT latitude, longitude, month, {ASSIGN.replace('x -', 'latitude -').replace('y -', 'longitude -')} AS label FROM cl) l
+  ON l.latitude = cl.latitude AND l.longitude = cl.longitude AND l.month = cl.month"""))
+def cluster_overlay(spark, folder):
+    """The older form, which multiplies rows that share a point and month."""
+    df = cleaned(spark, folder)
+    labels = quality.nearest_centroid(df, HUBS, "latitude", "longitude", "dbscan_label")
+    return dashboard.cluster_overlay(df, labels, by_id=False).select("id", "dbscan_label")
+
+
+@check("cluster_overlay_by_id", on(WITH_CLEAN, f"SELECT id, {ASSIGN.replace('x -', 'latitude -').replace('y -', 'longitude -')} AS dbscan_label FROM cl"))
+def cluster_overlay_by_id(spark, folder):
+    df = cleaned(spark, folder)
+    labels = quality.nearest_centroid(df, HUBS, "latitude", "longitude", "dbscan_label")
+    return dashboard.cluster_overlay(df, labels).select("id", "dbscan_label")
+
+
+@check("save_labels", on(WITH_CLEAN, f"""SELECT id, month, category, {ASSIGN.replace('x -', 'latitude -').replace('y -', 'longitude -')} AS kmeans_label FROM cl"""))
+def save_labels(spark, folder):
+    path = scratch_path(spark, "labels")
+    labels = quality.nearest_centroid(cleaned(spark, folder), HUBS, "latitude", "longitude", "kmeans_label")
+    results.save_labels(labels.withColumn("dbscan_label", F.lit(-1)), path)
+    return spark.read.parquet(path).select("id", "month", "category", "kmeans_label")

@@ -112,11 +112,10 @@ def hex_cell(lng: Column, lat: Column, bounds: Column, cells: int) -> Column:
     )
 
 
-def half_chord(dlat_deg: Column, dlng_deg: Column, cos_product: Column) -> Column:
-    """The haversine term for latitude and longitude differences in degrees."""
-    a = F.sin(F.radians(dlat_deg) / F.lit(2.0))
-    b = F.sin(F.radians(dlng_deg) / F.lit(2.0))
-    return a * a + cos_product * (b * b)
+def half_sine_square(degrees: Column) -> Column:
+    """Square of the sine of half the angle."""
+    s = F.sin(F.radians(degrees) / F.lit(2.0))
+    return s * s
 
 
 def chord_to_metres(h: Column) -> Column:
@@ -126,7 +125,7 @@ def chord_to_metres(h: Column) -> Column:
 def haversine_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
     """Great-circle distance in metres."""
     product = F.cos(F.radians(lat1)) * F.cos(F.radians(lat2))
-    return chord_to_metres(half_chord(lat2 - lat1, lng2 - lng1, product))
+    return chord_to_metres(half_sine_square(lat2 - lat1) + product * half_sine_square(lng2 - lng1))
 
 
 def dist_to_centre(lat: Column, lng: Column, centre: tuple[float, float] = config.AREA_CENTRE) -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streetlens.config import EARTH_RADIUS_M
-from streetlens.functions.geo import chord_to_metres, half_chord
+from streetlens.functions.geo import chord_to_metres, half_sine_square
 from streetlens.session import cut
 
 BOX = ("lat_lo", "lat_hi", "lng_lo", "lng_hi")
@@ -120,15 +120,16 @@ def _distance_range(left: str, right: str) -> tuple[Column, Column]:
 
     lat_gap, lat_span = gap_span("lat_lo", "lat_hi")
     lng_gap, lng_span = gap_span("lng_lo", "lng_hi")
-    # across the date line both differences exceed 180 degrees and change places
-    turned = lng_gap > 180.0
-    near_lng = F.when(turned, lng_span).otherwise(lng_gap)
-    far_lng = F.when(turned, lng_gap).otherwise(F.least(lng_span, F.greatest(lng_gap, F.lit(180.0))))
+    # past 180 degrees the sine of the half angle falls again: across the date
+    # line the larger difference is the nearer one
+    g, s = half_sine_square(lng_gap), half_sine_square(lng_span)
+    near = F.least(g, s)
+    far = F.when((lng_gap <= 180.0) & (lng_span >= 180.0), F.lit(1.0)).otherwise(F.greatest(g, s))
     a_least, a_most = _cos_range(a["lat_lo"], a["lat_hi"])
     b_least, b_most = _cos_range(b["lat_lo"], b["lat_hi"])
     return (
-        chord_to_metres(half_chord(lat_gap, near_lng, a_least * b_least)),
-        chord_to_metres(half_chord(lat_span, far_lng, a_most * b_most)),
+        chord_to_metres(half_sine_square(lat_gap) + a_least * b_least * near),
+        chord_to_metres(half_sine_square(lat_span) + a_most * b_most * far),
     )
 
 
@@ -184,7 +185,7 @@ def weight_within(
         least, most = _distance_range("l_", "r_")
         ranged = cut(frontier.withColumns({"_least": least, "_most": most}).filter(F.col("_least") <= eps))
         accepted = ranged.filter(F.col("_most") <= eps).groupBy(*keys).agg(F.sum("r_w").alias("total"))
-        settled.append(cut(accepted))
+        settled.append(accepted)
         open_pairs = ranged.filter(F.col("_most") > eps).drop("_least", "_most")
         if need is not None:
             reached = reduce(DataFrame.unionByName, settled).groupBy(*keys).agg(F.sum("total").alias("total"))
