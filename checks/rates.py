@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.base import HASH, WITH_FEATURES, check, features, on
 from streetlens.operators import priors, sampling
+from streetlens.session import cut
 
 SPLIT = f"""split AS (SELECT ft.*, CAST(row_number() OVER (PARTITION BY is_violent ORDER BY {HASH}, id)
   <= round(0.2::DOUBLE * count(*) OVER (PARTITION BY is_violent)) AS INTEGER) AS is_test FROM ft),
@@ -110,7 +111,8 @@ def lsoa_rate(spark, folder):
 @check("map_rate", on(WITH_FEATURES, f"""SELECT id, round(coalesce(gr.rate, {GLOBAL}), 8) AS grid_rate, round(coalesce(sr.rate, {GLOBAL}), 8) AS street_rate
   FROM split LEFT JOIN gr USING (grid_id) LEFT JOIN sr USING (street_name)""", SPLIT, GRID_RATE, STREET_RATE))
 def map_rate(spark, folder):
-    df, train = _split(spark, folder), _train(spark, folder)
+    df = cut(_split(spark, folder))
+    train = df.filter("is_test = 0")
     rate = priors.overall_rate(train)
     out = priors.map_rate(df, priors.rate_table(train, ["grid_id"], 20, out="grid_rate"), ["grid_id"], {"grid_rate": rate})
     out = priors.map_rate(out, priors.rate_table(train, ["street_name"], 10, out="street_rate"), ["street_name"], {"street_rate": rate})
@@ -139,7 +141,7 @@ def _rounded(df):
 
 @check("build_features", on(WITH_FEATURES, FEATURES_SQL, SPLIT, GRID_RATE, FINE_RATE, STREET_RATE))
 def build_features(spark, folder):
-    split = _split(spark, folder)
+    split = cut(_split(spark, folder))
     return _rounded(priors.build_features(split, split.filter("is_test = 0")))
 
 
@@ -153,5 +155,5 @@ def build_features_basic(spark, folder):
   round(coalesce(rr.n, 0) / (SELECT count(*) FROM trn)::DOUBLE, 8) AS grid_freq, round(coalesce(rr.rate, {GLOBAL}), 8) AS violent_rate_grid,
   {SEASON_COLS}, is_violent AS label FROM split LEFT JOIN rr USING (grid_id)""", SPLIT, RAW_RATE))
 def build_features_raw_prior(spark, folder):
-    split = _split(spark, folder)
+    split = cut(_split(spark, folder))
     return _rounded(priors.build_features_raw_prior(split, split.filter("is_test = 0")))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streetlens.functions import geo
+from streetlens.operators.joins import lookup_join
 from streetlens.session import cut
 
 Distance = Callable[[Column, Column, Column, Column], Column]
@@ -67,7 +68,7 @@ def centroids(points: DataFrame) -> DataFrame:
 
 def inertia(points: DataFrame) -> DataFrame:
     """Sum of squared distances to the own centroid, in one row."""
-    joined = points.join(centroids(points), "label")
+    joined = lookup_join(points, centroids(points), ["label"], "inner")
     gap = (F.col("x") - F.col("cx")) ** 2 + (F.col("y") - F.col("cy")) ** 2
     return joined.agg(F.sum(gap * F.col("w")).alias("inertia"))
 
@@ -83,7 +84,7 @@ def davies_bouldin(points: DataFrame, rows_per_block: int = 1024) -> DataFrame:
     """
     centres = centroids(points)
     spread = (
-        points.join(centres, "label")
+        lookup_join(points, centres, ["label"], "inner")
         .groupBy("label", "cx", "cy")
         .agg((F.sum(euclidean(F.col("x"), F.col("y"), F.col("cx"), F.col("cy")) * F.col("w")) / F.sum("w")).alias("s"))
     )
@@ -127,8 +128,8 @@ def silhouette_exact(points: DataFrame, distance: Distance = euclidean, rows_per
         .join(packed, "block")
         .withColumn("reach", reach)
         .groupBy("x", "y", "w", "label", "other").agg(F.sum("reach").alias("reach"))
-        .join(sizes, "other")
     )
+    sums = lookup_join(sums, sizes, ["other"], "inner")
     own = F.col("other") == F.col("label")
     per_point = sums.groupBy("x", "y", "w", "label").agg(
         F.max(F.when(own, F.try_divide(F.col("reach"), F.col("size") - 1))).alias("a"),
@@ -141,29 +142,37 @@ def silhouette_exact(points: DataFrame, distance: Distance = euclidean, rows_per
     )
 
 
-def silhouette_fast(points: DataFrame) -> DataFrame:
+def silhouette_fast(points: DataFrame, rows_per_block: int = 1024) -> DataFrame:
     """Mean silhouette on squared distances, linear in the number of points.
 
     A different number from ``silhouette_exact``. Squared distances to all
     members of a cluster follow from its weight, sums and sum of squares, so a
-    point only meets one row per cluster.
+    point only meets one entry per cluster, in blocks of bounded size.
     """
-    w = F.col("w")
-    clusters = points.groupBy(F.col("label").alias("other")).agg(
-        F.sum(w).cast("double").alias("n"), F.sum(F.col("x") * w).alias("sx"), F.sum(F.col("y") * w).alias("sy"),
-        F.sum((F.col("x") * F.col("x") + F.col("y") * F.col("y")) * w).alias("ss"),
+    w, x, y = F.col("w"), F.col("x"), F.col("y")
+    clusters = cut(points.groupBy(F.col("label").alias("other")).agg(
+        F.sum(w).cast("double").alias("n"), F.sum(x * w).alias("sx"), F.sum(y * w).alias("sy"),
+        F.sum((x * x + y * y) * w).alias("ss"),
+    ))
+    count = clusters.count()
+    blocks = max(1, -(-count // rows_per_block))
+    packed = clusters.groupBy(F.pmod(F.hash("other"), F.lit(blocks)).alias("block")).agg(
+        F.collect_list(F.struct("other", "n", "sx", "sy", "ss")).alias("clusters")
     )
-    table = clusters.agg(F.collect_list(F.struct("other", "n", "sx", "sy", "ss")).alias("clusters"))
-    x, y = F.col("x"), F.col("y")
 
     def total(c: Column) -> Column:
         return F.greatest(c["n"] * (x * x + y * y) - (x * c["sx"] + y * c["sy"]) * 2.0 + c["ss"], F.lit(0.0))
 
-    scored = points.withColumn("clusters", table.scalar()).withColumns({
+    met = lookup_join(
+        points.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))), packed, ["block"], "inner",
+        known_rows=count,
+    ).withColumns({
         "a": F.array_max(F.transform(
             F.filter("clusters", lambda c: c["other"] == F.col("label")), lambda c: F.try_divide(total(c), c["n"] - 1.0))),
         "b": F.array_min(F.transform(
             F.filter("clusters", lambda c: c["other"] != F.col("label")), lambda c: total(c) / c["n"])),
     })
+    if blocks > 1:
+        met = met.groupBy("x", "y", "w", "label").agg(F.max("a").alias("a"), F.min("b").alias("b"))
     score = F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
-    return scored.agg(F.when(F.count("b") > 0, F.sum(score * w) / F.sum(w)).alias("silhouette"))
+    return met.agg(F.when(F.count("b") > 0, F.sum(score * w) / F.sum(w)).alias("silhouette"))

@@ -36,10 +36,12 @@ def _cut_points(df: DataFrame, label: str, id_col: str, seed: int, wanted: Colum
         .withColumn("_nth", F.col("_want") - (F.col("_upto") - F.col("_c")))
         .select("_label", "_h", "_cut", "_nth")
     )
+    # one row per class and cut, so the rows below stay where they are
+    hits = F.broadcast(hits)
     # rows of the scattered values where a cut falls; a few per class
     rank = F.row_number().over(Window.partitionBy("_label", "_h").orderBy("_id"))
     edge = (
-        keyed.join(hits.select("_label", "_h").distinct(), ["_label", "_h"], "left_semi")
+        keyed.join(F.broadcast(hits.select("_label", "_h").distinct()), ["_label", "_h"], "left_semi")
         .withColumn("_r", rank)
         .join(hits, ["_label", "_h"])
         .filter(F.col("_r") == F.col("_nth"))

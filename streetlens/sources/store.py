@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from streetlens.operators import aggregates
 from streetlens.schema import BRONZE, BRONZE_COLUMNS, REQUIRED, UNIQUE_KEY
+from streetlens.session import cut
 from streetlens.sources import landing
 
 
@@ -79,6 +80,8 @@ def ingest_months(spark: SparkSession, landing_path: str, table_path: str, quara
     scan = landing.scan_incident_json(spark, landing_path, multi_line)
     if months is not None:
         scan = scan.filter(F.col("file_month").isin(*months))
+    # parsed once, then read for the quarantine, the months and the rows
+    scan = cut(scan)
     if quarantine_path is not None:
         landing.quarantined(scan).write.mode("append").parquet(quarantine_path)
     flat = landing.flatten_record(landing.good_records(scan), keep=("file_month",))
