@@ -55,7 +55,8 @@ def nested_records(orders: DataFrame) -> DataFrame:
     """The same incidents as nested records with coordinates as text, and ``file_month``.
 
     Every so often a coordinate, the month, the category or the whole location
-    is missing or malformed, as in published files.
+    is missing or malformed, as in published files. The records pass through a
+    generator for the same reason as above.
     """
     key = F.col("o_orderkey")
     k = F.col("o_custkey") % 200
@@ -86,7 +87,7 @@ def nested_records(orders: DataFrame) -> DataFrame:
         F.lit("Force").alias("location_type"),
         F.when(odd != 6, street).alias("street"),
     )
-    return base.select(
+    record = F.struct(
         F.col("id"),
         F.when(odd != 7, F.col("cat")).alias("category"),
         F.when(odd == 8, F.lit("")).when(odd != 9, F.col("file_month")).alias("month"),
@@ -94,5 +95,6 @@ def nested_records(orders: DataFrame) -> DataFrame:
         F.when(odd % 2 == 0, F.lit("")).otherwise(F.lit("note")).alias("context"),
         F.when(odd != 10, F.struct(F.col("status").alias("category"), F.col("file_month").alias("date"))).alias("outcome_status"),
         F.when(odd == 11, F.lit("")).otherwise(F.concat(F.lit("p"), F.col("id").cast("string"))).alias("persistent_id"),
-        "file_month",
+        F.col("file_month"),
     )
+    return base.select(F.inline(F.array(record)))

@@ -13,8 +13,7 @@ from pyspark.sql import types as T
 from streetlens import config
 from streetlens.operators.folds import fold_expand, number_rows
 from streetlens.operators.least_squares import cross_products, dot, fit, square
-
-ORDER_D = 2
+from streetlens.session import cut
 
 
 def _key_fields(df: DataFrame, keys: Sequence[str]) -> list[T.StructField]:
@@ -174,11 +173,13 @@ def arima_order_search(
     train = train.select(*by, "idx", "month_date", "y", *[f"d{d}" for d in range(settings.max_d + 1)])
 
     tests = _statistics(_unit_root_rows(train, by, settings.max_d, lags), by, lags)
-    chosen = choose_d(tests.withColumn("stationary", F.col("adf_stat") < settings.adf_critical), by, settings.max_d)
+    # one row per series and fold, used at the start and at the end
+    chosen = cut(choose_d(tests.withColumn("stationary", F.col("adf_stat") < settings.adf_critical), by, settings.max_d))
     w = Window.partitionBy(*by).orderBy("idx")
     value = F.coalesce(*[F.when(F.col("d") == d, F.col(f"d{d}")) for d in range(settings.max_d + 1)])
     rows = train.join(chosen, by).withColumn("w_0", value).filter(F.col("w_0").isNotNull())
-    rows = rows.withColumns({f"w_{i}": F.lag("w_0", i).over(w) for i in range(1, max(long_order, 3) + 1)})
+    # read by both stages of the fit
+    rows = cut(rows.withColumns({f"w_{i}": F.lag("w_0", i).over(w) for i in range(1, max(long_order, 3) + 1)}))
 
     long_columns = [F.lit(1.0), *[F.col(f"w_{i}") for i in range(1, long_order + 1)]]
     usable = rows.filter(F.col(f"w_{long_order}").isNotNull())

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from streetlens.functions.numbers import ratio
+from streetlens.session import cut
 
 
 # ---- forecasts ---------------------------------------------------------------
@@ -83,9 +84,10 @@ def roc_auc(df: DataFrame, keys: Sequence[str] = (), label: str = "label", score
     never runs over all scores in one task. Any cut points give the same area.
     """
     keys = list(keys)
-    per_score = df.groupBy(*keys, score).agg(
+    # read three times below, so made once
+    per_score = cut(df.groupBy(*keys, score).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
-    )
+    ))
     marks = [i / slices for i in range(1, slices)]
     cut_points = per_score.agg(F.percentile_approx(score, marks, 1000).alias("cuts")).scalar()
     sliced = per_score.withColumn("cuts", cut_points).withColumn(

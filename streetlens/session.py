@@ -21,6 +21,7 @@ def build_session(app: str = "streetlens", master: str | None = None, shuffle_pa
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
