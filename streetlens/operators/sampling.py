@@ -18,13 +18,14 @@ from streetlens import config
 from streetlens.functions.numbers import hash_rank
 
 
-def _cut_points(df: DataFrame, label: str, id_col: str, seed: int, wanted: Column) -> DataFrame:
+def _cut_points(df: DataFrame, label: str | None, id_col: str, seed: int, wanted: Column) -> DataFrame:
     """(label, cut, h, id): the last row inside each cut.
 
     ``wanted`` is an array of cut sizes as a function of ``n``, the class size.
     A cut of size 0 gets no row.
     """
-    keyed = df.select(F.col(label).alias("_label"), F.col(id_col).alias("_id")).withColumn("_h", hash_rank(F.col("_id"), seed))
+    group = F.lit(0) if label is None else F.col(label)
+    keyed = df.select(group.alias("_label"), F.col(id_col).alias("_id")).withColumn("_h", hash_rank(F.col("_id"), seed))
     per_value = keyed.groupBy("_label", "_h").agg(F.count(F.lit(1)).alias("_c"))
     # at most 1,000,003 rows per class, whatever the size of the data
     order = Window.partitionBy("_label").orderBy("_h").rowsBetween(Window.unboundedPreceding, 0)
@@ -51,14 +52,14 @@ def _cut_points(df: DataFrame, label: str, id_col: str, seed: int, wanted: Colum
 
 def rank_segment(
     df: DataFrame,
-    label: str,
+    label: str | None,
     id_col: str,
     wanted: Column,
     cuts: int,
     seed: int = config.CLASSIFIER.seed,
     out: str = "segment",
 ) -> DataFrame:
-    """Number of cuts that lie before each row: 0 for rows inside the first cut."""
+    """Number of cuts that lie before each row: 0 for rows inside the first cut. Without a label all rows are one class."""
     points = _cut_points(df, label, id_col, seed, wanted)
     # one row per class, so small enough to broadcast
     edges = points.groupBy("_label").agg(F.map_from_entries(F.collect_list(F.struct("_cut", "_at"))).alias("_cuts"))
@@ -66,9 +67,12 @@ def rank_segment(
     beyond = [
         F.coalesce(here > F.try_element_at(F.col("_cuts"), F.lit(i)), F.lit(True)).cast("int") for i in range(cuts)
     ]
+    if label is None:
+        placed = df.withColumn("_cuts", edges.select("_cuts").scalar())
+    else:
+        placed = df.join(F.broadcast(edges), df[label].eqNullSafe(edges["_label"]), "left")
     return (
-        df.join(F.broadcast(edges), df[label].eqNullSafe(edges["_label"]), "left")
-        .withColumn(out, reduce(lambda a, b: a + b, beyond))
+        placed.withColumn(out, reduce(lambda a, b: a + b, beyond))
         .drop("_label", "_cuts")
     )
 
@@ -123,10 +127,8 @@ def stratified_sample(
 
 def sample_n(df: DataFrame, n: int = 8000, id_col: str = "id", seed: int = 0) -> DataFrame:
     """Exactly ``n`` rows if there are more, chosen by scattered id."""
-    out = rank_segment(
-        df.withColumn("_one", F.lit(1)), "_one", id_col, F.array(F.least(F.lit(n).cast("bigint"), F.col("n"))), 1, seed, "_segment"
-    )
-    return out.filter(F.col("_segment") == 0).drop("_segment", "_one")
+    wanted = F.array(F.least(F.lit(n).cast("bigint"), F.col("n")))
+    return rank_segment(df, None, id_col, wanted, 1, seed, "_segment").filter(F.col("_segment") == 0).drop("_segment")
 
 
 def class_balance(df: DataFrame, split: str = "is_test", label: str = config.CLASSIFIER.target) -> DataFrame:

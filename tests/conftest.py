@@ -16,6 +16,8 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     session = build_session("tests", "local[8]", 4)
     session.sparkContext.setLogLevel("ERROR")
+    # whole plan texts, for the plan tests
+    session.conf.set("spark.sql.maxMetadataStringLength", "10000")
     yield session
     session.stop()
 
