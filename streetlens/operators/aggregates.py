@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from streetlens import config
 from streetlens.functions import dates, geo
 from streetlens.operators.features import bounds_struct, coord_extent
+from streetlens.session import cut
 
 
 def count_by(df: DataFrame, *keys: str, name: str = "crime_count") -> DataFrame:
@@ -59,7 +60,7 @@ def hexbin_density(df: DataFrame, cells: int = config.GRID.hex_cells) -> DataFra
     work where many incidents share a point; the extent comes from the same
     counts.
     """
-    points = count_by(df, "latitude", "longitude", name="n")
+    points = cut(count_by(df, "latitude", "longitude", name="n"))
     return (
         points.withColumn("bounds", bounds_struct(coord_extent(points)).scalar())
         .withColumn("hex", geo.hex_cell(F.col("longitude"), F.col("latitude"), F.col("bounds"), cells))
@@ -89,7 +90,7 @@ def kpis(df: DataFrame) -> DataFrame:
     One shuffle counts (category, month, street); the distinct counts and the
     top category are then read from that much smaller table.
     """
-    cube = count_by(df, "category", "month_date", "street_name", name="n")
+    cube = cut(count_by(df, "category", "month_date", "street_name", name="n"))
     top = (
         cube.groupBy("category").agg(F.sum("n").alias("n"))
         .agg(F.min_by("category", F.struct(-F.col("n"), F.col("category"))).alias("top"))

@@ -28,7 +28,7 @@ class Sweep:
 
 def prepared_points(df: DataFrame, id_col: str = "id") -> DataFrame:
     """Distinct coordinates with weight, z-scores x and y, and the feature vector."""
-    points = distinct_points(df, id_col).withColumns({"x": F.col("latitude"), "y": F.col("longitude")})
+    points = cut(distinct_points(df, id_col)).withColumns({"x": F.col("latitude"), "y": F.col("longitude")})
     scaled = quality.standardise(points, ["x", "y"], "w").withColumn("weight", F.col("w").cast("double"))
     return cut(VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(scaled))
 

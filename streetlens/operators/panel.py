@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from streetlens import config
 from streetlens.functions import dates
+from streetlens.session import cut
 
 
 def _span(counts: DataFrame, month: str = "month_date") -> Column:
@@ -40,6 +41,7 @@ def panel_pad(counts: DataFrame, key: str = "category") -> DataFrame:
 def month_spine(series: DataFrame, keys: Sequence[str] = (), value: str = "crime_count") -> DataFrame:
     """Per key, every month between its own first and last, as double, 0 for missing months."""
     keys = list(keys)
+    series = cut(series.select(*keys, "month_date", value))
     span = series.groupBy(*keys).agg(F.min("month_date").alias("lo"), F.max("month_date").alias("hi"))
     spine = span.filter(F.col("lo").isNotNull()).select(
         *keys, F.explode(F.sequence("lo", "hi", F.expr("interval 1 month"))).alias("month_date")
@@ -96,7 +98,8 @@ def distinct_pairs(panel: DataFrame, key: str = "category") -> DataFrame:
 
 def build_panel(df: DataFrame, settings: config.PanelSettings = config.PANEL, key: str = "category") -> DataFrame:
     """Feature frame to padded panel with lags, rolling mean, time index and key code."""
-    counts = panel_counts(df, key)
+    # one pass over the rows; everything after that works on this small table
+    counts = cut(panel_counts(df, key))
     return (
         panel_pad(counts, key)
         .transform(add_lags, settings.lags, key)

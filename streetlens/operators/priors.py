@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from streetlens import config
 from streetlens.functions import dates, geo, numbers
 from streetlens.operators.joins import lookup_join
+from streetlens.session import cut
 
 SEASONS = tuple(config.SEASON_MONTHS)
 
@@ -18,15 +19,21 @@ def overall_rate(train: DataFrame, target: str = config.CLASSIFIER.target) -> Co
     return train.agg(F.avg(target)).scalar()
 
 
+def _group_counts(train: DataFrame, keys: Sequence[str], target: str) -> DataFrame:
+    """Rows and positives per key, null keys included: the only pass over the rows."""
+    return cut(train.groupBy(*keys).agg(
+        F.count(target).alias("n"), F.sum(target).cast("bigint").alias("positives"), F.count(F.lit(1)).alias("rows")
+    ))
+
+
+def _rate_of(counts: DataFrame) -> Column:
+    """The overall rate, from the counts."""
+    return counts.agg(F.try_divide(F.sum("positives").cast("double"), F.sum("n").cast("double"))).scalar()
+
+
 def key_counts(train: DataFrame, keys: Sequence[str], target: str = config.CLASSIFIER.target) -> DataFrame:
     """Rows and positives per key; rows without a key are left out."""
-    present = None
-    for k in keys:
-        test = F.col(k).isNotNull()
-        present = test if present is None else present & test
-    return train.filter(present).groupBy(*keys).agg(
-        F.count(target).alias("n"), F.sum(target).cast("bigint").alias("positives"), F.count(F.lit(1)).alias("rows")
-    )
+    return _group_counts(train, keys, target).na.drop(subset=list(keys))
 
 
 def smoothed(n: Column, positives: Column, rate: Column, k: float) -> Column:
@@ -40,16 +47,19 @@ def rate_table(
     k: float,
     target: str = config.CLASSIFIER.target,
     out: str = "rate",
+    rate: Column | None = None,
 ) -> DataFrame:
-    counts = key_counts(train, keys, target)
-    return counts.select(
-        *keys, smoothed(F.col("n"), F.col("positives"), overall_rate(train, target), k).alias(out)
+    """Smoothed rate per key. The overall rate follows from the same counts unless it is given."""
+    counts = _group_counts(train, keys, target)
+    mean = _rate_of(counts) if rate is None else rate
+    return counts.na.drop(subset=list(keys)).select(
+        *keys, smoothed(F.col("n"), F.col("positives"), mean, k).alias(out)
     )
 
 
 def frequency_table(train: DataFrame, key: str, out: str = "freq") -> DataFrame:
     """Share of the rows that have a key, per key."""
-    counts = train.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    counts = cut(train.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")))
     total = counts.agg(F.sum("n")).scalar()
     return counts.select(key, F.try_divide(F.col("n").cast("double"), total.cast("double")).alias(out))
 
@@ -90,10 +100,10 @@ def build_features(
     """
     target, priors = settings.target, settings.priors
     src = with_fine_cells(train if train is not None else df)
-    rate = overall_rate(src, target)
     out = with_fine_cells(df)
 
-    grid = key_counts(src, ["grid_id"], target)
+    counts = _group_counts(src, ["grid_id"], target)
+    rate, grid = _rate_of(counts), counts.na.drop(subset=["grid_id"])
     grid_total = grid.agg(F.sum("rows")).scalar()
     grid = grid.select(
         "grid_id",
@@ -101,7 +111,7 @@ def build_features(
         smoothed(F.col("n"), F.col("positives"), rate, priors.grid_k).alias("violent_rate_grid"),
     )
     out = map_rate(out, grid, ["grid_id"], {"grid_freq": F.lit(0.0), "violent_rate_grid": rate})
-    fine = rate_table(src, ["fine_lat", "fine_lng"], priors.fine_k, target, "violent_rate_grid_fine")
+    fine = rate_table(src, ["fine_lat", "fine_lng"], priors.fine_k, target, "violent_rate_grid_fine", rate)
     out = map_rate(out, fine, ["fine_lat", "fine_lng"], {"violent_rate_grid_fine": rate})
     names = feature_names(street_col is not None, lsoa_col is not None)
     if street_col is not None:
@@ -112,7 +122,7 @@ def build_features(
         )
         out = map_rate(out, street, [street_col], {"violent_rate_street": rate, "log_street_crimes": F.lit(0.0)})
     if lsoa_col is not None:
-        lsoa = rate_table(src, [lsoa_col], priors.lsoa_k, target, "violent_rate_lsoa")
+        lsoa = rate_table(src, [lsoa_col], priors.lsoa_k, target, "violent_rate_lsoa", rate)
         out = map_rate(out, lsoa, [lsoa_col], {"violent_rate_lsoa": rate})
     out = (
         out.transform(calendar_columns)
@@ -167,8 +177,8 @@ def build_features_raw_prior(
 ) -> DataFrame:
     """The middle feature list: unsmoothed training mean per grid cell (and area)."""
     src = train if train is not None else df
-    rate = overall_rate(src, target)
-    counts = key_counts(src, ["grid_id"], target)
+    every = _group_counts(src, ["grid_id"], target)
+    rate, counts = _rate_of(every), every.na.drop(subset=["grid_id"])
     total = counts.agg(F.sum("rows")).scalar()
     grid = counts.select(
         "grid_id",
@@ -177,7 +187,7 @@ def build_features_raw_prior(
     )
     out = map_rate(df, grid, ["grid_id"], {"grid_freq": F.lit(0.0), "violent_rate_grid": rate})
     if lsoa_col is not None:
-        lsoa = rate_table(src, [lsoa_col], 0, target, "violent_rate_lsoa")
+        lsoa = rate_table(src, [lsoa_col], 0, target, "violent_rate_lsoa", rate)
         out = map_rate(out, lsoa, [lsoa_col], {"violent_rate_lsoa": rate})
     out = season_columns(out).withColumn("label", F.col(target).cast("int"))
     return out.select(*keep, *raw_prior_features(lsoa_col is not None), "label")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from streetlens import config
 from streetlens.functions.numbers import hash_rank
+from streetlens.session import cut
 
 
 def _cut_points(df: DataFrame, label: str | None, id_col: str, seed: int, wanted: Column) -> DataFrame:
@@ -38,11 +39,11 @@ def _cut_points(df: DataFrame, label: str | None, id_col: str, seed: int, wanted
         .select("_label", "_h", "_cut", "_nth")
     )
     # one row per class and cut, so the rows below stay where they are
-    hits = F.broadcast(hits)
+    hits = F.broadcast(cut(hits))
     # rows of the scattered values where a cut falls; a few per class
     rank = F.row_number().over(Window.partitionBy("_label", "_h").orderBy("_id"))
     edge = (
-        keyed.join(F.broadcast(hits.select("_label", "_h").distinct()), ["_label", "_h"], "left_semi")
+        keyed.join(hits.select("_label", "_h").distinct().hint("broadcast"), ["_label", "_h"], "left_semi")
         .withColumn("_r", rank)
         .join(hits, ["_label", "_h"])
         .filter(F.col("_r") == F.col("_nth"))
@@ -140,7 +141,7 @@ def class_balance(df: DataFrame, split: str = "is_test", label: str = config.CLA
 
 def class_weights(df: DataFrame, label: str = config.CLASSIFIER.target) -> DataFrame:
     """'Balanced' weight n / (classes * n_c) per class."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    counts = cut(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")))
     total = counts.agg(F.struct(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes")).alias("t")).scalar()
     return counts.select(
         label, "n", (total["rows"] / (total["classes"] * F.col("n"))).alias("weight")

@@ -13,6 +13,7 @@ from streetlens.functions import text
 from streetlens.operators import aggregates, metrics, panel, sampling
 from streetlens.operators.features import coord_extent
 from streetlens.operators.joins import lookup_join
+from streetlens.session import cut
 
 
 def dashboard_filter(
@@ -53,7 +54,7 @@ def category_history(df: DataFrame, category: str) -> DataFrame:
 
 def history_with_forecast(df: DataFrame, forecast: DataFrame, category: str) -> DataFrame:
     """(layer, month_date, value): observed counts, then the forecast, led in by the last observed point."""
-    history = panel.panel_counts(df.filter(F.col("category") == category))
+    history = cut(panel.panel_counts(df.filter(F.col("category") == category)))
     future = forecast.filter(F.col("category") == category)
     observed = history.select(F.lit("observed").alias("layer"), "month_date", F.col("count").cast("double").alias("value"))
     steps = future.select(F.lit("forecast").alias("layer"), "month_date", F.col("rf_forecast").alias("value"))
