@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from streetlens.functions import geo
 from streetlens.schema import BRONZE_COLUMNS, RECORD
+from streetlens.sources import files
 
 CORRUPT = "_corrupt_record"
 # crimes_YYYY-MM.json, or a folder month=YYYY-MM
@@ -80,16 +81,10 @@ def flatten_record(records: DataFrame, null_category: str = "unknown", keep: tup
     return flat.filter(usable).select(*keep, *BRONZE_COLUMNS)
 
 
-def landed_months(spark: SparkSession, path: str) -> DataFrame:
-    """Months that already have a landed folder."""
-    try:
-        return spark.read.schema(T.StructType([T.StructField("id", T.LongType())])).json(path).select(
-            F.regexp_extract(F.input_file_name(), FILE_MONTH, 1).alias("file_month")
-        ).distinct()
-    except Exception as error:  # the folder does not exist yet
-        if "PATH_NOT_FOUND" in str(error):
-            return spark.createDataFrame([], "file_month string")
-        raise
+def landed_months(spark: SparkSession, path: str) -> list[str]:
+    """Months that already have a landed folder, from the folder names alone."""
+    prefix = "file_month="
+    return [name[len(prefix):] for name in files.child_names(spark, path) if name.startswith(prefix)]
 
 
 def land_month(records: DataFrame, path: str, reuse: bool = True, rows_per_file: int = 2_000_000) -> None:
@@ -101,8 +96,8 @@ def land_month(records: DataFrame, path: str, reuse: bool = True, rows_per_file:
     spark = records.sparkSession
     todo = records
     if reuse:
-        # a few hundred months at most
-        todo = records.join(F.broadcast(landed_months(spark, path)), "file_month", "left_anti")
+        done = landed_months(spark, path)
+        todo = records.filter(~F.col("file_month").isin(done)) if done else records
     (
         todo.hint("rebalance", "file_month").write.partitionBy("file_month").option("maxRecordsPerFile", rows_per_file)
         .option("partitionOverwriteMode", "dynamic").mode("append" if reuse else "overwrite").json(path)

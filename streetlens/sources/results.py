@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from streetlens.schema import RESULT_TABLES
-from streetlens.sources.store import _exists
+from streetlens.sources import files
 
 
 def read_result_csv(spark: SparkSession, path: str, table: str | T.StructType) -> DataFrame:
     """A result table with typed columns; an empty frame of the same shape if it is absent."""
     schema = RESULT_TABLES[table] if isinstance(table, str) else table
-    if not _exists(spark, path):
+    if not files.exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from streetlens.operators import aggregates
 from streetlens.schema import BRONZE, BRONZE_COLUMNS, REQUIRED, UNIQUE_KEY
 from streetlens.session import cut
-from streetlens.sources import landing
+from streetlens.sources import files, landing
 
 
 def anti_existing(batch: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -44,14 +44,9 @@ def new_rows(
     return first.unionByName(free)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
-
-
 def load_raw(spark: SparkSession, path: str) -> DataFrame:
     """The incident table; an empty frame of the right shape before the first load."""
-    if not _exists(spark, path):
+    if not files.exists(spark, path):
         return spark.createDataFrame([], BRONZE)
     return spark.read.schema(BRONZE).parquet(path)
 
