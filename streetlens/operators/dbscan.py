@@ -9,7 +9,7 @@ from streetlens import config
 from streetlens.operators.components import connected_components
 from streetlens.operators.joins import lookup_join
 from streetlens.operators.neighbours import (
-    CellGrid, cell_pairs, cells, distinct_points, level_key, point_pairs, weight_within,
+    CellGrid, cells, corner_points, distinct_points, level_key, linked_cells, point_pairs, weight_within,
 )
 from streetlens.session import cut
 
@@ -35,8 +35,8 @@ def cluster_points(points: DataFrame, eps: float, min_samples: int) -> DataFrame
     core = cut(keyed.join(heavy, ["cy", "cx"], "left_semi").unionByName(light_core))
 
     # core points of one cell are within eps of each other, so cells are the nodes
-    core_cells = cut(cells(core, F.min("first_id").alias("node")))
-    edges = weight_within(cell_pairs(core_cells, grid, "node"), core, ["a", "b"], eps, 1, core)
+    core_cells = cut(cells(core, F.min("first_id").alias("node"), *corner_points()))
+    edges = linked_cells(core_cells, core, grid, "node")
     components = connected_components(core_cells, edges)
     # one row per cluster
     numbered = components.select("component").distinct().withColumn(

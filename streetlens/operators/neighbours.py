@@ -6,8 +6,8 @@ level of a tree: every level splits a cell into 4 x 4. Questions such as "how
 much weight lies within eps of this point" or "do these two cells hold points
 within eps of each other" start from pairs of neighbouring cells. A pair whose
 tight boxes are wholly within eps counts as a whole, one whose boxes are too
-far apart is dropped, and only the pairs in between descend one level. The
-answers are exact: a box around a single point is that point.
+far apart is dropped. Of the pairs in between, cells of few points are compared
+point by point and larger ones descend one level. The answers are exact.
 """
 
 from __future__ import annotations
@@ -21,13 +21,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streetlens.config import EARTH_RADIUS_M
-from streetlens.functions.geo import chord_to_metres, half_sine_square
+from streetlens.functions.geo import chord_to_metres, half_sine_square, haversine_m
 from streetlens.session import cut
 
 BOX = ("lat_lo", "lat_hi", "lng_lo", "lng_hi")
+CORNERS = ("south", "north", "west", "east")
 # a cell of about 100 m is split down to about a tenth of a millimetre
 LEVELS = 10
 _BITS = 2
+# cells of so few distinct points are compared point by point
+FEW = 64
 
 
 @dataclass(frozen=True)
@@ -99,7 +102,7 @@ def _boxes() -> list[Column]:
 def cells(points: DataFrame, *extra: Column) -> DataFrame:
     """Root cells (cy, cx) with box, weight and further aggregates."""
     return points.groupBy(level_key(F.col("iy"), 0).alias("cy"), level_key(F.col("ix"), 0).alias("cx")).agg(
-        F.sum("w").alias("w"), *_boxes(), *extra
+        F.sum("w").alias("w"), F.count(F.lit(1)).alias("n"), *_boxes(), *extra
     )
 
 
@@ -139,18 +142,20 @@ def _children(points: DataFrame, parents: DataFrame, level: int) -> DataFrame:
     inside = points.select("*", py, px).join(parents, ["py", "px"], "left_semi")
     if level > LEVELS:
         return inside.select(
-            "py", "px", F.col("iy").alias("ny"), F.col("ix").alias("nx"), "w",
+            "py", "px", F.col("iy").alias("ny"), F.col("ix").alias("nx"), "w", F.lit(1).cast("bigint").alias("n"),
             F.col("latitude").alias("lat_lo"), F.col("latitude").alias("lat_hi"),
             F.col("longitude").alias("lng_lo"), F.col("longitude").alias("lng_hi"),
         )
     ny, nx = level_key(F.col("iy"), level), level_key(F.col("ix"), level)
-    return inside.groupBy("py", "px", ny.alias("ny"), nx.alias("nx")).agg(F.sum("w").alias("w"), *_boxes())
+    return inside.groupBy("py", "px", ny.alias("ny"), nx.alias("nx")).agg(
+        F.sum("w").alias("w"), F.count(F.lit(1)).alias("n"), *_boxes()
+    )
 
 
 def _renamed(nodes: DataFrame, prefix: str) -> DataFrame:
     return nodes.select(
         F.col("py").alias(f"{prefix}y"), F.col("px").alias(f"{prefix}x"), F.col("ny").alias(f"{prefix}ny"),
-        F.col("nx").alias(f"{prefix}nx"), F.col("w").alias(f"{prefix}w_new"), *[F.col(c).alias(f"{prefix}{c}_new") for c in BOX],
+        F.col("nx").alias(f"{prefix}nx"), F.col("w").alias(f"{prefix}w_new"), F.col("n").alias(f"{prefix}n_new"), *[F.col(c).alias(f"{prefix}{c}_new") for c in BOX],
     )
 
 
@@ -159,11 +164,29 @@ def _descend(pairs: DataFrame, points: DataFrame, level: int, prefix: str) -> Da
     parents = pairs.select(F.col(f"{prefix}y").alias("py"), F.col(f"{prefix}x").alias("px")).distinct()
     nodes = _renamed(_children(points, parents, level), prefix)
     joined = pairs.join(nodes, [f"{prefix}y", f"{prefix}x"])
-    swap = {f"{prefix}{c}_new": f"{prefix}{c}" for c in (*BOX, "w")}
+    swap = {f"{prefix}{c}_new": f"{prefix}{c}" for c in (*BOX, "w", "n")}
     swap |= {f"{prefix}ny": f"{prefix}y", f"{prefix}nx": f"{prefix}x"}
     return joined.drop(*swap.values()).withColumnsRenamed(swap)
 
 
+def _point_by_point(pairs: DataFrame, points: DataFrame, level: int, eps: float, split_left: DataFrame | None) -> DataFrame:
+    """The pairs of a level with their right-hand points (and left-hand ones) within eps, weight in r_w."""
+
+    def members(source: DataFrame, prefix: str) -> DataFrame:
+        return source.select(
+            level_key(F.col("iy"), min(level, LEVELS)).alias(f"{prefix}y"), level_key(F.col("ix"), min(level, LEVELS)).alias(f"{prefix}x"),
+            F.col("latitude").alias(f"{prefix}lat"), F.col("longitude").alias(f"{prefix}lng"), F.col("w").alias(f"{prefix}pw"),
+        )
+
+    out = pairs.join(members(points, "r_"), ["r_y", "r_x"])
+    if split_left is None:
+        out = out.withColumns({"l_lat": F.col("l_lat_lo"), "l_lng": F.col("l_lng_lo")})
+    else:
+        out = out.join(members(split_left, "l_"), ["l_y", "l_x"])
+    near = haversine_m(F.col("l_lat"), F.col("l_lng"), F.col("r_lat"), F.col("r_lng")) <= eps
+    return out.filter(near).withColumn("r_w", F.col("r_pw"))
+
+
 def weight_within(
     pairs: DataFrame,
     points: DataFrame,
@@ -175,24 +198,34 @@ def weight_within(
     """(keys, total): weight of right-hand points within eps of the left-hand side.
 
     ``pairs`` holds ``keys``, a left box (l_*), and a right root cell (r_y, r_x,
-    r_w and its box). With ``need`` a key is settled, and left alone, as soon as
-    its total reaches it. With ``split_left`` the left side is a cell (l_y, l_x,
-    l_w) of those points, and any pair of points within eps counts.
+    r_w, r_n and its box). With ``need`` a key is settled, and left alone, as
+    soon as its total reaches it. With ``split_left`` the left side is a cell
+    (l_y, l_x, l_w, l_n) of those points, and any pair of points within eps counts.
+
+    Undecided cells of at most ``FEW`` points are compared point by point, larger
+    ones descend a level.
     """
+    keys = list(keys)
     settled: list[DataFrame] = []
     frontier = pairs
     for level in range(LEVELS + 2):
         least, most = _distance_range("l_", "r_")
-        ranged = cut(frontier.withColumns({"_least": least, "_most": most}).filter(F.col("_least") <= eps))
-        accepted = ranged.filter(F.col("_most") <= eps).groupBy(*keys).agg(F.sum("r_w").alias("total"))
-        settled.append(accepted)
-        open_pairs = ranged.filter(F.col("_most") > eps).drop("_least", "_most")
+        ranged = frontier.withColumns({"_least": least, "_most": most}).filter(F.col("_least") <= eps)
+        open_pairs = ranged.filter(F.col("_most") > eps)
+        few = F.col("r_n") <= FEW
+        if split_left is not None:
+            few = few & (F.col("l_n") <= FEW)
+        whole = ranged.filter(F.col("_most") <= eps).select(*keys, "r_w")
+        single = _point_by_point(open_pairs.filter(few), points, level, eps, split_left).select(*keys, "r_w")
+        settled.append(cut(whole.unionByName(single).groupBy(*keys).agg(F.sum("r_w").alias("total"))))
+        large = open_pairs.filter(~few).drop("_least", "_most")
         if need is not None:
             reached = reduce(DataFrame.unionByName, settled).groupBy(*keys).agg(F.sum("total").alias("total"))
-            open_pairs = open_pairs.join(reached.filter(F.col("total") >= need), list(keys), "left_anti")
-        if level > LEVELS or open_pairs.isEmpty():
+            large = large.join(reached.filter(F.col("total") >= need), keys, "left_anti")
+        large = cut(large)
+        if large.isEmpty():
             break
-        frontier = _descend(open_pairs, points, level + 1, "r_")
+        frontier = _descend(large, points, level + 1, "r_")
         if split_left is not None:
             frontier = _descend(frontier, split_left, level + 1, "l_")
     return reduce(DataFrame.unionByName, settled).groupBy(*keys).agg(F.sum("total").alias("total"))
@@ -200,7 +233,8 @@ def weight_within(
 
 def _right(cell_table: DataFrame) -> DataFrame:
     return cell_table.select(
-        F.col("cy").alias("r_y"), F.col("cx").alias("r_x"), F.col("w").alias("r_w"), *[F.col(c).alias(f"r_{c}") for c in BOX]
+        F.col("cy").alias("r_y"), F.col("cx").alias("r_x"), F.col("w").alias("r_w"), F.col("n").alias("r_n"),
+        *[F.col(c).alias(f"r_{c}") for c in BOX],
     )
 
 
@@ -220,11 +254,13 @@ def cell_pairs(cell_table: DataFrame, grid: CellGrid, name: str) -> DataFrame:
     """Each pair of neighbouring cells once, named (a, b) by the column ``name``."""
     near = F.explode(grid.near(F.col("cy"), F.col("cx"))).alias("near")
     left = cell_table.select(
-        F.col(name).alias("a"), F.col("cy").alias("l_y"), F.col("cx").alias("l_x"), F.col("w").alias("l_w"),
-        *[F.col(c).alias(f"l_{c}") for c in BOX], near,
+        F.col(name).alias("a"), F.col("cy").alias("l_y"), F.col("cx").alias("l_x"), F.col("w").alias("l_w"), F.col("n").alias("l_n"),
+        *[F.col(c).alias(f"l_{c}") for c in (*BOX, *CORNERS)], near,
     )
     right = _right(cell_table).join(
-        cell_table.select(F.col("cy").alias("r_y"), F.col("cx").alias("r_x"), F.col(name).alias("b")), ["r_y", "r_x"]
+        cell_table.select(
+            F.col("cy").alias("r_y"), F.col("cx").alias("r_x"), F.col(name).alias("b"), *[F.col(c).alias(f"r_{c}") for c in CORNERS]
+        ), ["r_y", "r_x"]
     )
     return (
         left.select("*", F.col("near.y").alias("r_y"), F.col("near.x").alias("r_x")).drop("near")
@@ -232,6 +268,31 @@ def cell_pairs(cell_table: DataFrame, grid: CellGrid, name: str) -> DataFrame:
     )
 
 
+def corner_points() -> list[Column]:
+    """The southernmost, northernmost, westernmost and easternmost point of a cell."""
+    place = F.struct(F.col("latitude").alias("lat"), F.col("longitude").alias("lng"))
+    return [
+        F.min_by(place, "latitude").alias("south"), F.max_by(place, "latitude").alias("north"),
+        F.min_by(place, "longitude").alias("west"), F.max_by(place, "longitude").alias("east"),
+    ]
+
+
+def linked_cells(cell_table: DataFrame, points: DataFrame, grid: CellGrid, name: str) -> DataFrame:
+    """(a, b): neighbouring cells that hold points within eps of each other.
+
+    ``cell_table`` has the corner points. Most pairs are settled by a pair of
+    corner points; the others are searched.
+    """
+    pairs = cut(cell_pairs(cell_table, grid, name).withColumn("_close", F.least(*[
+        haversine_m(F.col(f"l_{c}.lat"), F.col(f"l_{c}.lng"), F.col(f"r_{d}.lat"), F.col(f"r_{d}.lng"))
+        for c in CORNERS for d in CORNERS
+    ]) <= grid.eps))
+    corners = [f"{side}{c}" for side in ("l_", "r_") for c in CORNERS]
+    rest = pairs.filter(~F.col("_close")).drop("_close", *corners)
+    searched = weight_within(rest, points, ["a", "b"], grid.eps, 1, points)
+    return pairs.filter("_close").select("a", "b").unionByName(searched.select("a", "b"))
+
+
 def eps_neighbours(df: DataFrame, eps: float, id_col: str = "id", at_least: int | None = None) -> DataFrame:
     """(latitude, longitude, w, neighbours): incidents within eps metres of each coordinate, itself included.
 

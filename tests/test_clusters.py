@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from streetlens import config
-from streetlens.operators import kmeans
+from streetlens.operators import kmeans, neighbours
 from streetlens.operators.components import connected_components
 from streetlens.operators.dbscan import dbscan
 from streetlens.operators.neighbours import eps_neighbours
@@ -59,8 +59,10 @@ def city(seed, n=400):
     return lat[order], lng[order]
 
 
-@pytest.mark.parametrize("eps", [40.0, 150.0])
-def test_neighbour_counts(spark, eps):
+@pytest.mark.parametrize("eps,few", [(150.0, 64), (150.0, 1)])
+def test_neighbour_counts(spark, monkeypatch, eps, few):
+    """Also with cells that descend the tree down to single points."""
+    monkeypatch.setattr(neighbours, "FEW", few)
     lat, lng = city(1)
     want = {(a, b): int(c) for a, b, c in zip(lat, lng, (distances(lat, lng) <= eps).sum(1))}
     out = eps_neighbours(frame(spark, lat, lng), eps).collect()
@@ -76,8 +78,9 @@ def test_neighbours_across_the_date_line(spark):
     assert {(r["latitude"], r["longitude"]): r["neighbours"] for r in out} == want
 
 
-@pytest.mark.parametrize("seed,eps,min_samples", [(1, 60.0, 8), (2, 120.0, 25), (3, 35.0, 4)])
-def test_dbscan(spark, seed, eps, min_samples):
+@pytest.mark.parametrize("seed,eps,min_samples,few", [(1, 60.0, 8, 64), (2, 120.0, 25, 3), (3, 35.0, 4, 64)])
+def test_dbscan(spark, monkeypatch, seed, eps, min_samples, few):
+    monkeypatch.setattr(neighbours, "FEW", few)
     lat, lng = city(seed)
     want = brute_dbscan(distances(lat, lng) <= eps, min_samples)
     out = dbscan(frame(spark, lat, lng), eps, min_samples).orderBy("id").collect()
