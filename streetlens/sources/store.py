@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from streetlens.operators import aggregates
@@ -55,18 +55,24 @@ def insert_or_ignore(batch: DataFrame, path: str, order_by: Sequence[str] = ())
     """Append new rows to the table at ``path``; the number of added rows.
 
     Only the months of the batch are read from the table: it is partitioned by
-    month, and the month is part of the key. The count comes with the write.
+    month, and the month is part of the key. The number comes from the row
+    counts of those months before and after, which are in the file footers.
     """
     spark = batch.sparkSession
     # one entry per month, a few hundred at most
     months = [r["month"] for r in batch.select("month").distinct().collect() if r["month"] is not None]
-    table = load_raw(spark, path)
-    target = table.filter(F.col("month").isin(months)) if months else table.limit(0)
-    observed = Observation("added")
+    if not months:
+        return 0
+
+    def touched() -> DataFrame:
+        return load_raw(spark, path).filter(F.col("month").isin(months))
+
+    target = touched()
+    before = target.count()
     # few files per month: small months are merged, large ones split
     fresh = new_rows(batch, target, order_by=order_by).select(*BRONZE_COLUMNS).hint("rebalance", "month")
-    fresh.observe(observed, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy("month").parquet(path)
-    return int(observed.get["rows"])
+    fresh.write.mode("append").partitionBy("month").parquet(path)
+    return touched().count() - before if files.exists(spark, path) else 0
 
 
 def ingest_months(spark: SparkSession, landing_path: str, table_path: str, quarantine_path: str | None = None,
