@@ -1,4 +1,4 @@
-"""Connected components of a graph of small degree."""
+"""Connected components of a graph."""
 
 from __future__ import annotations
 
@@ -8,30 +8,44 @@ from pyspark.sql import functions as F
 from streetlens.session import cut
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+def _directed(edges: DataFrame) -> DataFrame:
+    """Each edge once, from its larger to its smaller end."""
+    return edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
+
+
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Hang every larger neighbour of a node below the smallest node around it."""
+    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
+        edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
+    )
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    return both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Hang a node and its smaller neighbours below the smallest of them."""
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    below = edges.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return below.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+
+
+def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node id of each component.
 
-    ``nodes`` has a column node, ``edges`` has a and b. Every round takes the
-    smallest label among the neighbours and then follows labels one step
-    further, so long chains collapse in a logarithmic number of rounds.
+    ``nodes`` has a column node, ``edges`` has a and b. Rounds of large and
+    small stars halve the depth of every tree, whatever the order of the ids,
+    until nothing changes. Runs one job per round.
     """
-    both = cut(
-        edges.select(F.col("a").alias("node"), F.col("b").alias("other"))
-        .unionByName(edges.select(F.col("b").alias("node"), F.col("a").alias("other")))
-    )
-    labels = nodes.select("node", F.col("node").alias("component"))
-    for _ in range(max_rounds):
-        around = both.join(
-            labels.select(F.col("node").alias("other"), F.col("component").alias("seen")), "other"
-        ).groupBy("node").agg(F.min("seen").alias("seen"))
-        step = labels.join(around, "node", "left").select(
-            "node", F.col("component").alias("old"), F.least("component", F.coalesce("seen", "component")).alias("component")
-        )
-        jump = step.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        moved = cut(step.join(jump, "component", "left").select(
-            "node", "old", F.least("component", F.coalesce("further", "component")).alias("component")
-        ))
-        labels = moved.select("node", "component")
-        if moved.filter(F.col("old") != F.col("component")).isEmpty():
-            return labels
-    raise RuntimeError("components did not settle")
+    edges = cut(_directed(edges))
+    seen = None
+    while True:
+        edges = cut(_small_star(_large_star(edges)))
+        # a set of edges is known by the number and the sum of its hashes
+        state = edges.agg(
+            F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")
+        ).first()
+        if state == seen:
+            break
+        seen = state
+    roots = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    return nodes.join(roots, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
