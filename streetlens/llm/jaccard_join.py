@@ -10,8 +10,10 @@ of these (pigeonhole). Documents that meet are verified on their whole sets.
 
 Rows with equal sets are one class from the start. All members of a piece's
 group are compared with each other inside the cell of the group's smallest
-member, in blocks of bounded size; what leaves a cell is a spanning forest of
-its links, never all pairs.
+member, in blocks of bounded size: first by parity sketches of about one bit
+per shingle, whose Hamming distance is never above the true difference, and
+what passes, on the whole sets. Out of a cell come smaller cells and then a
+spanning forest of its links, never all pairs.
 """
 
 from __future__ import annotations
@@ -24,14 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streetlens.llm.arrow import sorted_groups
+from streetlens.llm.tables import stored
 from streetlens.llm.words import U64, distinct, mix, shingles, word_chunks
 from streetlens.operators.components import connected_components
 from streetlens.session import cut
 
 FLUSH = 1 << 21  # entries held by a task before they are sent
 HOT = 64  # members of a piece in one flush beyond which the flush sends them apart
-BLOCK = 200  # documents compared with each other at once
-SKETCH_BITS = 1024
+BLOCK = 200  # documents of a block; two blocks are compared at once
+LEAST_BITS = 256
 
 
 class Measure:
@@ -115,10 +118,21 @@ def _sets(column, width: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
         yield i, j, values, row
 
 
+def parity_sketches(values: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """One bit sketch per row: every shingle flips the bit that its hash names. There are at least as many bits as shingles."""
+    out = []
+    ends = np.cumsum(counts)
+    for a, b in zip(ends - counts, ends):
+        bits = max(LEAST_BITS, 1 << int(b - a).bit_length())
+        at = (mix(values[a:b]) & U64(bits - 1)).astype(np.int64)
+        out.append(np.packbits(np.bincount(at, minlength=bits).astype(np.uint8) & 1).tobytes() if b > a else b"")
+    return out
+
+
 def _signatures(width: int):
     def run(batches):
         for batch in batches:
-            sizes, first, second = [], [], []
+            sizes, first, second, sketches = [], [], [], []
             for i, j, values, row in _sets(batch["text"], width):
                 n = np.bincount(row, minlength=j - i)
                 full = np.flatnonzero(n)
@@ -129,9 +143,10 @@ def _signatures(width: int):
                         sig[full] = np.add.reduceat(mix(values ^ U64(salt)), at)
                     out.append(sig.view(np.int64))
                 sizes.append(n)
+                sketches += parity_sketches(values, n)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], *(pa.array(np.concatenate(x).astype(np.int64)) for x in (sizes, first, second))],
-                names=["doc_id", "n_shingles", "sig_a", "sig_b"],
+                [batch["doc_id"], *(pa.array(np.concatenate(x).astype(np.int64)) for x in (sizes, first, second)), pa.array(sketches, pa.binary())],
+                names=["doc_id", "n_shingles", "sig_a", "sig_b", "sketch"],
             )
 
     return run
@@ -235,52 +250,91 @@ def _packed_sets(width: int):
     return run
 
 
-def cell_links(measure: Measure, docs: np.ndarray, sets: list[np.ndarray], block: np.ndarray, apart: bool) -> list[tuple[int, int]]:
-    """A spanning forest of the links between the documents, or only between the two blocks if ``apart``."""
-    n = np.array([len(s) for s in sets])
-    total = n[:, None] + n[None, :]
-    small, large = np.minimum(n[:, None], n[None, :]), np.maximum(n[:, None], n[None, :])
-    may = np.triu(large <= measure.partner(small), 1)
-    if apart:
-        may &= block[:, None] != block[None, :]
-    if len(sets) > 2:
-        sketch = np.zeros((len(sets), SKETCH_BITS), np.float32)
-        for k, s in enumerate(sets):
-            sketch[k] = np.bincount((s >> U64(20)).astype(np.int64) % SKETCH_BITS, minlength=SKETCH_BITS) & 1
-        signs = 1 - 2 * sketch
-        hamming = (SKETCH_BITS - signs @ signs.T) / 2  # never above the true difference
-        may &= hamming <= measure.differ(total)
-    top = np.arange(len(sets))
-    found = []
-
-    def root(x):
-        while top[x] != x:
-            top[x] = top[top[x]]
-            x = top[x]
+def _allowed(measure: Measure, n: np.ndarray, block: np.ndarray, apart: bool) -> np.ndarray:
+    """Pairs (above the diagonal) whose sizes can be similar; only between the two blocks if ``apart``."""
+    may = np.triu(np.maximum(n[:, None], n[None, :]) <= measure.partner(np.minimum(n[:, None], n[None, :])), 1)
+    return may & (block[:, None] != block[None, :]) if apart else may
+
+
+def sketch_pairs(measure: Measure, n: np.ndarray, sketches: list[bytes], may: np.ndarray) -> np.ndarray:
+    """The pairs of ``may`` whose sketches do not differ by more bits than similar sets can by shingles."""
+    near = np.zeros_like(may)
+    bits = np.array([8 * len(s) for s in sketches])
+    for level in np.unique(bits):  # a wide sketch folds onto a narrower one
+        wide = np.flatnonzero(bits >= level)
+        signs = np.empty((len(wide), level), np.float32)
+        for k, x in enumerate(wide):
+            flips = np.unpackbits(np.frombuffer(sketches[x], np.uint8)).reshape(-1, level)
+            signs[k] = 1.0 - 2.0 * np.bitwise_xor.reduce(flips, axis=0)
+        own = bits[wide] == level
+        hamming = (level - signs[own] @ signs.T) / 2
+        rows = wide[own]
+        ok = hamming <= measure.differ(n[rows][:, None] + n[wide][None, :])
+        near[np.ix_(rows, wide)] |= ok
+        near[np.ix_(wide, rows)] |= ok.T
+    return may & near
+
+
+class Forest:
+    """Trees of linked members; the smallest index is the root."""
+
+    def __init__(self, size: int):
+        self.top = list(range(size))
+
+    def root(self, x: int) -> int:
+        while self.top[x] != x:
+            self.top[x] = self.top[self.top[x]]
+            x = self.top[x]
         return x
 
-    for a, b in zip(*np.nonzero(may)):
-        ra, rb = root(a), root(b)
-        if ra == rb:
-            continue
-        common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-        if measure.similar(int(n[a]), int(n[b]), common):
-            top[max(ra, rb)] = min(ra, rb)
-            found.append((int(docs[a]), int(docs[b])))
+    def join(self, x: int, y: int) -> None:
+        x, y = self.root(x), self.root(y)
+        self.top[max(x, y)] = min(x, y)
+
+
+def cell_links(measure: Measure, docs: np.ndarray, sets: list[np.ndarray], block: np.ndarray, apart: bool) -> list[tuple[int, int]]:
+    """A spanning forest of the links between the documents."""
+    n = np.array([len(s) for s in sets])
+    may = _allowed(measure, n, block, apart)
+    if len(sets) > 8:
+        may = sketch_pairs(measure, n, parity_sketches(np.concatenate(sets), n), may)
+    forest, found = Forest(len(sets)), []
+    for a, b in zip(*(x.tolist() for x in np.nonzero(may))):
+        if forest.root(a) != forest.root(b):
+            common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+            if measure.similar(int(n[a]), int(n[b]), common):
+                forest.join(a, b)
+                found.append((int(docs[a]), int(docs[b])))
     return found
 
 
-def _cells(measure: Measure):
+def cell_parts(measure: Measure, docs: np.ndarray, n: np.ndarray, sketches: list[bytes], block: np.ndarray, apart: bool) -> list[tuple[int, int]]:
+    """(smallest member, member) of the parts into which the sketches split a cell."""
+    forest = Forest(len(docs))
+    for a, b in zip(*(x.tolist() for x in np.nonzero(sketch_pairs(measure, n, sketches, _allowed(measure, n, block, apart))))):
+        forest.join(a, b)
+    parts: dict[int, list[int]] = {}
+    for k in range(len(docs)):
+        parts.setdefault(forest.root(k), []).append(int(docs[k]))
+    return [(min(p), x) for p in parts.values() for x in p if x != min(p)]
+
+
+def _cells(measure: Measure, screen: bool):
     def run(batches):
         for table, starts in sorted_groups(batches, ["hub", "i", "j"]):
             docs, block = table["member"].to_numpy(), table["block"].to_numpy()
             i, j = table["i"].to_numpy(), table["j"].to_numpy()
-            packed = table["packed"].combine_chunks() if table.num_rows else table["packed"]
+            payload = table["sketch" if screen else "packed"].to_pylist()
+            n = table["n_shingles"].to_numpy() if screen else None
             found = []
             for a, b in zip(starts[:-1], starts[1:]):
-                if b - a > 1:
-                    sets = [np.frombuffer(packed[x].as_buffer(), U64) for x in range(a, b)]
-                    found += cell_links(measure, docs[a:b], sets, block[a:b], i[a] != j[a])
+                if b - a < 2:
+                    continue
+                apart = i[a] != j[a]
+                if screen:
+                    found += cell_parts(measure, docs[a:b], n[a:b], payload[a:b], block[a:b], apart)
+                else:
+                    found += cell_links(measure, docs[a:b], [np.frombuffer(p, U64) for p in payload[a:b]], block[a:b], apart)
             if found:
                 x, y = zip(*found)
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
@@ -288,10 +342,20 @@ def _cells(measure: Measure):
     return run
 
 
+def _compared(pairs: DataFrame, payload: DataFrame, measure: Measure, screen: bool) -> DataFrame:
+    """(a, b): what comparing the members of every hub's cell gives."""
+    cells = pairs.unionByName(pairs.select("hub", F.col("hub").alias("member")).distinct())
+    return (
+        _cell_blocks(cells).join(payload.withColumnRenamed("doc_id", "member"), "member")
+        .repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
+        .mapInArrow(_cells(measure, screen), "a long, b long")
+    )
+
+
 def _cell_blocks(cells: DataFrame) -> DataFrame:
     """Cells of more than ``BLOCK`` members as pairs of blocks."""
     wide = cells.groupBy("hub").agg(F.count("*").alias("c")).filter(F.col("c") > BLOCK).select(
-        "hub", F.ceil(F.col("c") / F.lit(BLOCK // 2)).cast("int").alias("blocks")
+        "hub", F.ceil(F.col("c") / F.lit(BLOCK)).cast("int").alias("blocks")
     )
     return (
         cells.join(wide, "hub", "left")
@@ -316,7 +380,9 @@ def jaccard_components(docs: DataFrame, num: int = 75, den: int = 100, width: in
     spark = docs.sparkSession
     measure = Measure(num, den)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    light = cut(docs.mapInArrow(_signatures(width), "doc_id long, n_shingles long, sig_a long, sig_b long"))
+    light = stored(
+        docs.mapInArrow(_signatures(width), "doc_id long, n_shingles long, sig_a long, sig_b long, sketch binary"), "light"
+    )
     named = light.filter("doc_id is not null and n_shingles > 0")
     heads = named.groupBy("sig_a", "sig_b", "n_shingles").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last"))
     copies = cut(
@@ -340,15 +406,11 @@ def jaccard_components(docs: DataFrame, num: int = 75, den: int = 100, width: in
             side, F.coalesce("h", side)
         ).drop("h")
     pairs = cut(pairs.filter("hub <> member").distinct())
-    cells = pairs.unionByName(pairs.select("hub", F.col("hub").alias("member")).distinct())
-
-    wanted = cells.select(F.col("member").alias("doc_id")).distinct()
+    sketches = named.select("doc_id", "n_shingles", "sketch")
+    near = cut(_compared(pairs, sketches, measure, screen=True).select(F.col("a").alias("hub"), F.col("b").alias("member")).distinct())
+    wanted = near.select(F.col("member").alias("doc_id")).unionByName(near.select(F.col("hub").alias("doc_id"))).distinct()
     sets = docs.join(wanted, "doc_id").mapInArrow(_packed_sets(width), "doc_id long, packed binary")
-    links = cut(
-        _cell_blocks(cells).join(sets.withColumnRenamed("doc_id", "member"), "member")
-        .repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
-        .mapInArrow(_cells(measure), "a long, b long")
-    )
+    links = cut(_compared(near, sets, measure, screen=False))
     edges = links.unionByName(copies.select(F.col("doc_id").alias("a"), F.col("head").alias("b")))
     touched = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
     found = connected_components(touched, edges).select(F.col("node").alias("doc_id"), "component")
