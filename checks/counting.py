@@ -256,10 +256,10 @@ def sort_by_month(spark, folder):
     return cleaned(spark, folder).select("id", "month_date").orderBy("month_date")
 
 
-@check("street_list", on(WITH_INC, "SELECT DISTINCT street_name FROM inc WHERE street_name IS NOT NULL ORDER BY 1 LIMIT 100"))
+@check("street_list", on(WITH_INC, "SELECT DISTINCT street_name FROM inc WHERE street_name IS NOT NULL ORDER BY 1"))
 def street_list(spark, folder):
     """The first 100 of 200 streets, so that the list limit matters."""
-    return agg.street_list(raw(spark, folder), 100)
+    return agg.street_list(raw(spark, folder))
 
 
 @check("category_list", on(WITH_CLEAN, "SELECT DISTINCT category FROM cl"))

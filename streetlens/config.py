@@ -73,8 +73,8 @@ class ClusterSettings:
     seed: int = 42
     eps_metres: float = 250.0
     min_samples: int = 25
-    # exact pairwise silhouette is used up to this many distinct points
-    exact_points: int = 20_000
+    # "linear" (squared distances, one pass) or "exact" (all pairs of distinct points); never chosen by size
+    silhouette: str = "linear"
 
 
 @dataclass(frozen=True)
@@ -137,7 +137,6 @@ class ClassifierSettings:
     boost_leaf: int = 20
     svm_c: float = 1.0
     svm_features: int = 128
-    svm_rows: int = 15_000
     priors: PriorSettings = field(default_factory=PriorSettings)
 
 

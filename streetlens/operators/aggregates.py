@@ -124,6 +124,7 @@ def month_span(df: DataFrame) -> DataFrame:
     )
 
 
-def street_list(df: DataFrame, limit: int = 500) -> DataFrame:
-    """The first ``limit`` street names in alphabetical order."""
-    return df.select("street_name").filter(F.col("street_name").isNotNull()).distinct().orderBy("street_name").limit(limit)
+def street_list(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """Street names in alphabetical order; only the first ``limit`` if that is given."""
+    streets = df.select("street_name").filter(F.col("street_name").isNotNull()).distinct().orderBy("street_name")
+    return streets if limit is None else streets.limit(limit)

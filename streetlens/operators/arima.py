@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -129,19 +130,16 @@ def _forecast(order: tuple[int, int, int], beta: np.ndarray, tail: dict, horizon
     const = beta[0] if d == 0 else 0.0
     rest = beta[1:] if d == 0 else beta
     phi, theta = rest[:p], rest[p:]
-    past = [tail[f"w_{i}"] for i in range(3)]
-    shocks = [tail[f"e_{i}"] for i in range(2)]
-    level, slope, out = tail["d0"], tail["d1"], []
+    past = [tail[f"w_{i}"] for i in range(p)]
+    shocks = [tail[f"e_{i}"] for i in range(q)]
+    # last[k] is the last value of the series differenced k times
+    last, out = [tail[f"d{k}"] for k in range(d)], []
     for _ in range(horizon):
         step = const + sum(phi[i] * past[i] for i in range(p)) + sum(theta[i] * shocks[i] for i in range(q))
-        past, shocks = [step, *past[:-1]], [0.0, *shocks[:-1]]
-        if d == 0:
-            level = step
-        elif d == 1:
-            level = level + step
-        else:
-            slope = slope + step
-            level = level + slope
+        past, shocks = [step, *past][:p], [0.0, *shocks][:q]
+        level = step
+        for k in range(d - 1, -1, -1):
+            last[k] = level = last[k] + level
         out.append(float(level))
     return out
 
@@ -152,7 +150,7 @@ def arima_order_search(
     settings: config.ForecastSettings = config.FORECAST,
     folds: bool = False,
     lags: int = 0,
-    long_order: int = 3,
+    long_order: int | None = None,
 ) -> DataFrame:
     """(keys, fold, p, d, q, aic, coefficients, forecast, error) per series and fold.
 
@@ -161,9 +159,13 @@ def arima_order_search(
     two-stage least-squares fit: residuals of a long autoregression stand in for
     the unseen shocks. One set of cross products per series and fold serves
     every candidate order. Candidates that are singular, unstable or leave no
-    degrees of freedom are skipped; if none is left, ``error`` says so.
+    degrees of freedom are skipped; if none is left, ``error`` says so. The
+    long autoregression has ``long_order`` lags, by default as many as the
+    longest candidate and at least three.
     """
     keys = list(keys)
+    most_p, most_q = (max((o[k] for o in settings.orders), default=0) for k in (0, 2))
+    long_order = max(3, most_p) if long_order is None else long_order
     by = [*keys, "fold"]
     base = with_differences(series, keys, settings.max_d)
     if folds:
@@ -179,18 +181,20 @@ def arima_order_search(
     value = F.coalesce(*[F.when(F.col("d") == d, F.col(f"d{d}")) for d in range(settings.max_d + 1)])
     rows = train.join(chosen, by).withColumn("w_0", value).filter(F.col("w_0").isNotNull())
     # read by both stages of the fit
-    rows = cut(rows.withColumns({f"w_{i}": F.lag("w_0", i).over(w) for i in range(1, max(long_order, 3) + 1)}))
+    rows = cut(rows.withColumns({f"w_{i}": F.lag("w_0", i).over(w) for i in range(1, max(long_order, most_p) + 1)}))
 
     long_columns = [F.lit(1.0), *[F.col(f"w_{i}") for i in range(1, long_order + 1)]]
     usable = rows.filter(F.col(f"w_{long_order}").isNotNull())
     long_fit = solve_rows(cross_products(usable, by, long_columns, F.col("w_0")), by)
     shocked = usable.join(long_fit.select(*by, "beta"), by).withColumn("e_0", F.col("w_0") - dot("beta", long_columns))
-    shocked = shocked.withColumns({f"e_{i}": F.lag("e_0", i).over(w) for i in (1, 2)})
+    shocked = shocked.withColumns({f"e_{i}": F.lag("e_0", i).over(w) for i in range(1, most_q + 1)})
 
-    full = [F.lit(1.0), *[F.col(f"w_{i}") for i in (1, 2, 3)], F.col("e_1"), F.col("e_2")]
-    tail_names = ["w_0", "w_1", "w_2", "e_0", "e_1", "d0", "d1"]
+    lagged = [*(f"w_{i}" for i in range(1, most_p + 1)), *(f"e_{i}" for i in range(1, most_q + 1))]
+    full = [F.lit(1.0), *[F.col(c) for c in lagged]]
+    tail_names = [*(f"w_{i}" for i in range(most_p)), *(f"e_{i}" for i in range(most_q)), *(f"d{k}" for k in range(settings.max_d + 1))]
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in lagged], F.lit(True))
     sums = cross_products(
-        shocked.filter(F.col("e_2").isNotNull()), [*by, "d"], full, F.col("w_0"),
+        shocked.filter(complete), [*by, "d"], full, F.col("w_0"),
         F.max_by(F.struct(*tail_names), "idx").alias("tail"),
     )
     # every key and fold keeps a row, so that failures show
@@ -224,6 +228,7 @@ def solve_rows(sums: DataFrame, by: Sequence[str], ridge: Sequence[float] | None
 
 def _search(sums: DataFrame, by: Sequence[str], settings: config.ForecastSettings) -> DataFrame:
     orders = list(dict.fromkeys((p, q) for p, _, q in settings.orders))
+    most_p = max((p for p, _ in orders), default=0)
     horizon, names = settings.horizon, list(by)
     schema = T.StructType([
         *_key_fields(sums, by), T.StructField("p", T.IntegerType()), T.StructField("d", T.IntegerType()),
@@ -238,8 +243,11 @@ def _search(sums: DataFrame, by: Sequence[str], settings: config.ForecastSetting
             return none | {"error": "series too short"}
         matrix, side, best = square(xx), np.asarray(xy, dtype=float), None
         for p, q in orders:
-            use = [*([0] if d == 0 else []), *range(1, p + 1), *range(4, 4 + q)]
-            done = fit(matrix, side, yy, use) if n > len(use) + 2 else None
+            use = [*([0] if d == 0 else []), *range(1, p + 1), *range(1 + most_p, 1 + most_p + q)]
+            if use:
+                done = fit(matrix, side, yy, use) if n > len(use) + 2 else None
+            else:  # differences alone: nothing to estimate
+                done = (np.zeros(0), yy, None) if n > 2 else None
             if done is None or done[1] <= 0:
                 continue
             beta, rss, _ = done

@@ -11,8 +11,9 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier,
 )
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,12 +36,24 @@ class Fitted:
 def _weighted(train: DataFrame, settings: config.ClassifierSettings) -> DataFrame:
     if settings.class_weight == "balanced":
         return sampling.with_class_weight(train, "label")
+    if settings.class_weight is not None:
+        raise ValueError(f"class_weight must be 'balanced' or None, not {settings.class_weight!r}")
     return train.withColumn("weight", F.lit(1.0))
 
 
+def _scaled(train: DataFrame, width: int, out: str) -> list:
+    """Stages from raw_features to z-scores with the deviation of the population; Spark's own scaler takes a sample's."""
+    rows = train.count()
+    ratio = (rows / (rows - 1)) ** 0.5 if rows > 1 else 1.0
+    return [
+        StandardScaler(inputCol="raw_features", outputCol="sample_scores", withMean=True, withStd=True),
+        ElementwiseProduct(scalingVec=Vectors.dense([ratio] * width), inputCol="sample_scores", outputCol=out),
+    ]
+
+
 def _probability(model: PipelineModel) -> Scorer:
     def score(df: DataFrame) -> DataFrame:
-        drop = ["features", "raw_features", "rawPrediction", "probability"]
+        drop = ["features", "raw_features", "sample_scores", "rawPrediction", "probability"]
         return (
             model.transform(df)
             .withColumns({"score": vector_to_array("probability")[1], "prediction": F.col("prediction").cast("int")})
@@ -56,7 +69,7 @@ def fit_logistic(train: DataFrame, features: Sequence[str], settings: config.Cla
     total = data.agg(F.sum("weight")).first()[0]
     model = Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="raw_features"),
-        StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
+        *_scaled(data, len(features), "features"),
         LogisticRegression(
             featuresCol="features", labelCol="label", weightCol="weight", maxIter=settings.logistic_iter,
             regParam=1.0 / (settings.logistic_c * total), elasticNetParam=0.0, standardization=False,
@@ -123,7 +136,7 @@ def fit_svm(
     data = _weighted(data, settings)
     scale = Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="raw_features"),
-        StandardScaler(inputCol="raw_features", outputCol="scaled", withMean=True, withStd=True),
+        *_scaled(data, len(features), "scaled"),
     ]).fit(data)
 
     def project(df: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streetlens import config
@@ -11,6 +11,7 @@ from streetlens.operators.joins import lookup_join
 from streetlens.operators.neighbours import (
     CellGrid, cells, corner_points, distinct_points, level_key, linked_cells, point_pairs, weight_within,
 )
+from streetlens.operators.numbering import numbered
 from streetlens.session import cut
 
 
@@ -39,11 +40,9 @@ def cluster_points(points: DataFrame, eps: float, min_samples: int) -> DataFrame
     edges = linked_cells(core_cells, core, grid, "node")
     components = connected_components(core_cells, edges)
     # one row per cluster
-    numbered = components.select("component").distinct().withColumn(
-        "label", (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("component")) - 1).cast("int")
-    )
+    labels = numbered(components, "component", "label")
     cell_labels = cut(
-        core_cells.join(components, "node").join(numbered, "component").select("cy", "cx", "label", "node")
+        core_cells.join(components, "node").join(labels, "component").select("cy", "cx", "label", "node")
     )
 
     rest = keyed.join(core.select("first_id"), "first_id", "left_anti")

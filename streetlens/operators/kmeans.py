@@ -51,23 +51,24 @@ def kmeans_sweep(
     """Fit k_min .. k_max, score each, keep the best silhouette (the smaller k on a tie).
 
     Copies of a coordinate are one weighted point: the same clustering from far
-    fewer rows. The silhouette is the exact one while the distinct points
-    number at most ``exact_points``; beyond that all k are scored by the linear
-    one, so that they stay comparable.
+    fewer rows. ``settings.silhouette`` tells which silhouette scores all k,
+    whatever the number of points; the table names it. The exact one grows with
+    the square of the distinct points.
     """
+    silhouettes = {"linear": quality.silhouette_fast, "exact": quality.silhouette_exact}
+    if settings.silhouette not in silhouettes:
+        raise ValueError(f"silhouette must be one of {sorted(silhouettes)}, not {settings.silhouette!r}")
     points = prepared_points(df, id_col).persist()
     spark = df.sparkSession
-    exact = points.count() <= settings.exact_points
     rows, models = [], {}
     for k in range(settings.k_min, settings.k_max + 1):
         model = fit_best(points, k, settings.restarts, settings.seed)
         labelled = cut(model.transform(points).select("x", "y", "w", F.col("prediction").alias("label")))
-        score = quality.silhouette_exact(labelled) if exact else quality.silhouette_fast(labelled)
-        silhouette = score.first()["silhouette"]
+        silhouette = silhouettes[settings.silhouette](labelled).first()["silhouette"]
         bouldin = quality.davies_bouldin(labelled).first()["davies_bouldin"]
-        rows.append((k, silhouette, bouldin, float(model.summary.trainingCost)))
+        rows.append((k, silhouette, bouldin, float(model.summary.trainingCost), settings.silhouette))
         models[k] = model
-    table = spark.createDataFrame(rows, "k int, silhouette double, davies_bouldin double, inertia double")
+    table = spark.createDataFrame(rows, "k int, silhouette double, davies_bouldin double, inertia double, silhouette_kind string")
     best_k = max(rows, key=lambda row: (row[1] if row[1] is not None else float("-inf"), -row[0]))[0]
     labels = models[best_k].transform(points).select("latitude", "longitude", F.col("prediction").alias("kmeans_label"))
     out = Sweep(table, best_k, models[best_k], cut(labels))

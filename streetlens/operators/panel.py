@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from streetlens import config
 from streetlens.functions import dates
 from streetlens.session import cut
+from streetlens.operators.numbering import numbered
 
 
 def _span(counts: DataFrame, month: str = "month_date") -> Column:
@@ -82,10 +83,9 @@ def drop_incomplete_lags(panel: DataFrame, lags: Sequence[int] = config.PANEL.la
 def cat_codes(panel: DataFrame, key: str = "category") -> DataFrame:
     """Distinct keys with their 0-based alphabetical position.
 
-    The ranking runs over the distinct list only, never over rows.
+    The ranking runs over the distinct list only, in ranges of keys. Runs one job.
     """
-    order = Window.partitionBy(F.lit(0)).orderBy(key)
-    return panel.select(key).distinct().withColumn("cat_enc", (F.row_number().over(order) - 1).cast("int"))
+    return numbered(panel, key, "cat_enc")
 
 
 def add_cat_code(panel: DataFrame, key: str = "category") -> DataFrame:

@@ -51,7 +51,8 @@ def seasonal_trend_fit(
     """(keys, fold, idx, month_date, y, is_future, yhat, yhat_lower, yhat_upper).
 
     History and the next ``horizon`` months; values are never negative. The
-    band covers 80 % if residuals are normal. Fold 0 is the whole series.
+    band covers 80 % if residuals are normal. Fold 0 is the whole series. The fit
+    of a series that cannot be solved is null.
     """
     s, keys = settings, list(keys)
     by = [*keys, "fold"]
@@ -70,16 +71,18 @@ def seasonal_trend_fit(
         *by, (F.col("cutoff") - 1 + F.col("step")).alias("idx"), "cutoff",
         F.add_months("last", F.col("step")).alias("month_date"), F.lit(None).cast("double").alias("y"),
     )
+    # a series that cannot be solved keeps its rows, with null fits
     rows = train.withColumn("is_future", F.lit(0)).unionByName(future.withColumn("is_future", F.lit(1)))
     fit = dot("beta", columns)
     margin = F.col("sigma") * F.lit(s.band_z)
     zero = F.lit(0.0)
     return (
-        rows.join(fitted, by).withColumn("_fit", fit)
+        rows.join(fitted, by, "left").withColumn("_fit", fit)
         .select(
             *by, "idx", "month_date", "y", "is_future",
-            F.greatest("_fit", zero).alias("yhat"),
-            F.greatest(F.col("_fit") - margin, zero).alias("yhat_lower"),
-            F.greatest(F.col("_fit") + margin, zero).alias("yhat_upper"),
+            *(
+                F.when(F.col("_fit").isNotNull(), F.greatest(value, zero)).alias(name)
+                for name, value in (("yhat", F.col("_fit")), ("yhat_lower", F.col("_fit") - margin), ("yhat_upper", F.col("_fit") + margin))
+            ),
         )
     )

@@ -6,11 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streetlens import config
 from streetlens.operators.clean import clean
 from streetlens.operators.features import engineer
 from streetlens.plans.eda import eda_tables
-from streetlens.session import cut
 from streetlens.sources import store
 
 
@@ -34,8 +32,7 @@ def build(
     raw = store.load_raw(spark, f"{base}/incidents")
     if raw.isEmpty():
         raise ValueError("the incident table is empty")
-    settings = config.CleanSettings(order_by=("api_id", "persistent_id", "outcome_date", "street_name"))
-    store.save_clean(clean(raw, settings), f"{base}/clean")
+    store.save_clean(clean(raw), f"{base}/clean")
     silver = spark.read.parquet(f"{base}/clean")
     features = engineer(silver, bounds=bounds)
     features.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(f"{base}/features")
@@ -45,8 +42,3 @@ def build(
         for name, table in eda_tables(gold).items():
             table.write.mode("overwrite").parquet(f"{base}/eda/{name}")
     return gold
-
-
-def snapshot(features: DataFrame) -> DataFrame:
-    """A feature frame that is computed once, for jobs that read it many times."""
-    return cut(features)

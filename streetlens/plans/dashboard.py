@@ -135,14 +135,14 @@ def choropleth_rows(filtered: DataFrame, whole: DataFrame, cells: int = config.G
     return aggregates.grid_choropleth(filtered, coord_extent(whole), cells)
 
 
-def rf_summary(forecast: DataFrame, metrics_table: DataFrame, category: str) -> DataFrame:
-    """Display rows: predicted count per coming month, then the held-out scores."""
+def rf_summary(forecast: DataFrame, metrics_table: DataFrame, category: str, model: str = "RandomForest") -> DataFrame:
+    """Display rows: predicted count per coming month, then the held-out scores of ``model``."""
     cards = forecast.filter(F.col("category") == category).select(
         F.date_format("month_date", "MMM yyyy").alias("title"),
         text.thousands(F.rint("rf_forecast").cast("bigint")).alias("text"),
         F.col("month_date").cast("string").alias("position"),
     )
-    scores = metrics_table.limit(1).select(
+    scores = metrics_table.filter(F.col("model") == model).select(
         F.lit("Held-out").alias("title"),
         F.concat(
             F.lit("MAE "), F.format_number("mae", 1), F.lit(", RMSE "), F.format_number("rmse", 1),

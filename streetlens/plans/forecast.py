@@ -41,7 +41,7 @@ def score_folds(series: DataFrame, arima: DataFrame, seasonal: DataFrame, keys:
     )
     arima_steps = _arima_steps(arima.filter("fold > 0"), by).withColumn("model", F.lit("ARIMA"))
     a = metrics.forecast_vs_actual(arima_steps, tests, [*by, "step"]).select(*by, "model", "order", "y", "yhat")
-    future = seasonal.filter("is_future = 1 AND fold > 0").select(*by, "month_date", "yhat")
+    future = seasonal.filter("is_future = 1 AND fold > 0 AND yhat IS NOT NULL").select(*by, "month_date", "yhat")
     b = metrics.forecast_vs_actual(future, tests, [*by, "month_date"]).select(
         *by, F.lit("Seasonal").alias("model"), F.lit(None).cast("string").alias("order"), "y", "yhat"
     )
@@ -79,7 +79,7 @@ def forecast_run(counts: DataFrame, keys: Sequence[str] = (), settings: config.F
     return ForecastRun(
         cv=cv,
         summary=metrics.cv_summary(cv),
-        future=coming.join(steps, [*keys, "date"], "left").select(*keys, "date", "arima_forecast", "seasonal_forecast"),
+        future=coming.join(steps, [*keys, "date"], "full").select(*keys, "date", "arima_forecast", "seasonal_forecast"),
         full=final.select(*keys, F.col("month_date").alias("date"), "yhat", "yhat_lower", "yhat_upper"),
         arima=arima.filter("fold = 0"),
     )

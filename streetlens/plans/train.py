@@ -24,12 +24,12 @@ class ClusterRun:
     density_scores: DataFrame
 
 
-def density_scores(labels: DataFrame, exact_points: int = config.CLUSTER.exact_points) -> DataFrame:
-    """clusters, noise, silhouette (great-circle) and Davies-Bouldin (plane of radians) of the points that are not noise.
+def density_scores(labels: DataFrame, kind: str = config.CLUSTER.silhouette) -> DataFrame:
+    """clusters, noise, silhouette, its kind and Davies-Bouldin (plane of radians) of the points that are not noise.
 
     Both scores are null unless there are more points than clusters and more
-    than one cluster; beyond ``exact_points`` distinct points the silhouette is
-    the linear one.
+    than one cluster. The ``exact`` silhouette is by great-circle distance over
+    all pairs, the ``linear`` one by squared distance in the plane of radians.
     """
     kept = density.drop_noise(labels, "dbscan_label")
     points = cut(
@@ -37,17 +37,18 @@ def density_scores(labels: DataFrame, exact_points: int = config.CLUSTER.exact_p
         .withColumns({"x": F.col("latitude"), "y": F.col("longitude")})
     )
     counts = metrics.cluster_counts(labels.withColumnRenamed("dbscan_label", "label"))
-    facts = points.agg(F.count_distinct("label").alias("k"), F.sum("w").alias("n"), F.count(F.lit(1)).alias("distinct_points")).first()
+    facts = points.agg(F.count_distinct("label").alias("k"), F.sum("w").alias("n")).first()
     none = F.lit(None).cast("double")
     if not (facts["n"] or 0) > facts["k"] > 1:
-        return counts.select("*", none.alias("silhouette"), none.alias("davies_bouldin"))
+        return counts.select("*", none.alias("silhouette"), none.alias("davies_bouldin"), F.lit(kind).alias("silhouette_kind"))
     flat = points.withColumns({"x": F.radians("latitude"), "y": F.radians("longitude")})
-    if facts["distinct_points"] <= exact_points:
+    if kind == "exact":
         silhouette = quality.silhouette_exact(points, quality.haversine)
     else:
         silhouette = quality.silhouette_fast(flat)
     return counts.select(
-        "*", silhouette.scalar().alias("silhouette"), quality.davies_bouldin(flat).scalar().alias("davies_bouldin")
+        "*", silhouette.scalar().alias("silhouette"), quality.davies_bouldin(flat).scalar().alias("davies_bouldin"),
+        F.lit(kind).alias("silhouette_kind"),
     )
 
 
@@ -57,7 +58,7 @@ def cluster_run(df: DataFrame, settings: config.ClusterSettings = config.CLUSTER
     sweep = kmeans.kmeans_sweep(df, settings)
     labelled = density.dbscan(kmeans.with_kmeans_labels(df, sweep), settings.eps_metres, settings.min_samples)
     labels = cut(labelled)
-    scores = density_scores(labels, settings.exact_points)
+    scores = density_scores(labels, settings.silhouette)
     if folder is not None:
         base = folder.rstrip("/")
         results.save_labels(labels, f"{base}/cluster_labels")

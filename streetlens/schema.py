@@ -30,7 +30,11 @@ BRONZE_COLUMNS = (
     "street_name", "context", "outcome_category", "outcome_date", "persistent_id",
 )
 
+# id tells the rows of the table apart; it follows from the source file and the record
+TABLE_COLUMNS = ("id", *BRONZE_COLUMNS)
+
 BRONZE = T.StructType([
+    T.StructField("id", T.LongType()),
     T.StructField("api_id", T.LongType()),
     T.StructField("category", T.StringType()),
     T.StructField("month", T.StringType()),
@@ -54,6 +58,7 @@ RESULT_TABLES = {
         T.StructField("silhouette", T.DoubleType()),
         T.StructField("davies_bouldin", T.DoubleType()),
         T.StructField("inertia", T.DoubleType()),
+        T.StructField("silhouette_kind", T.StringType()),
     ]),
     "forecast_cv": T.StructType([
         T.StructField("fold", T.IntegerType()),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,7 @@ FILE_MONTH = r"(?:crimes_|file_month=)(\d{4}-\d{2})"
 
 
 def scan_incident_json(spark: SparkSession, path: str, multi_line: bool = True, only_months: list[str] | None = None) -> DataFrame:
-    """Read month files as nested records with ``file_month`` and the corrupt-record text.
+    """Read month files as nested records with ``file_month``, ``source_file`` and the corrupt-record text.
 
     ``multi_line`` is for one JSON array per file; landed tables hold one
     record per line, which Spark can split within a file.
@@ -29,7 +29,7 @@ def scan_incident_json(spark: SparkSession, path: str, multi_line: bool = True,
     if only_months is not None:
         reader = reader.option("pathGlobFilter", "crimes_{" + ",".join(only_months) + "}.json")
     month = F.regexp_extract(F.col("_metadata.file_path"), FILE_MONTH, 1)
-    return reader.json(path).withColumn("file_month", F.nullif(month, F.lit("")))
+    return reader.json(path).withColumns({"file_month": F.nullif(month, F.lit("")), "source_file": F.col("_metadata.file_path")})
 
 
 # True for every row. The JSON source refuses to fill the corrupt-record column
@@ -81,6 +81,19 @@ def flatten_record(records: DataFrame, null_category: str = "unknown", keep: tup
     return flat.filter(usable).select(*keep, *BRONZE_COLUMNS)
 
 
+def with_row_id(flat: DataFrame) -> DataFrame:
+    """Add ``id``: a hash of the source file (if known), the record and its number among equal records of that file.
+
+    The same file gives the same ids whenever and in whatever order it is read.
+    """
+    known = [c for c in ("source_file", *BRONZE_COLUMNS) if c in flat.columns]
+    copies = Window.partitionBy("_record").orderBy(*known)
+    return (
+        flat.withColumn("_record", F.xxhash64(*known))
+        .withColumn("id", F.xxhash64("_record", F.row_number().over(copies), *known)).drop("_record")
+    )
+
+
 def landed_months(spark: SparkSession, path: str) -> list[str]:
     """Months that already have a landed folder, from the folder names alone."""
     prefix = "file_month="

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from streetlens.operators import aggregates
-from streetlens.schema import BRONZE, BRONZE_COLUMNS, REQUIRED, UNIQUE_KEY
-from streetlens.session import cut
+from streetlens.schema import BRONZE, BRONZE_COLUMNS, REQUIRED, TABLE_COLUMNS, UNIQUE_KEY
+from streetlens.session import scratch_path
 from streetlens.sources import files, landing
 
 
@@ -24,12 +24,15 @@ def new_rows(
     key: Sequence[str] = UNIQUE_KEY,
     required: Sequence[str] = REQUIRED,
     order_by: Sequence[str] = (),
+    row_id: str | None = None,
 ) -> DataFrame:
     """The rows of ``batch`` that an insert-or-ignore would add.
 
     Rows that lack a required value go; of equal keys the first in
     ``order_by`` stays; keys already in ``target`` go. A key with a null in it
-    equals no other key, so those rows take a short cut past both steps.
+    equals no other key, so those rows take a short cut past both steps; with
+    ``row_id`` such a row goes if the target has its id already, which makes a
+    repeated load add nothing.
     """
     present = batch.na.drop(subset=list(required))
     has_null = F.lit(False)
@@ -41,6 +44,8 @@ def new_rows(
     first = keyed.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
     if target is not None:
         first = anti_existing(first, target, key)
+        if row_id is not None:
+            free = anti_existing(free, target.filter(has_null), [row_id])
     return first.unionByName(free)
 
 
@@ -51,28 +56,34 @@ def load_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BRONZE).parquet(path)
 
 
+WELL_FORMED_MONTH = r"^\d{4}-(0[1-9]|1[0-2])$"
+
+
 def insert_or_ignore(batch: DataFrame, path: str, order_by: Sequence[str] = ()) -> int:
     """Append new rows to the table at ``path``; the number of added rows.
 
     Only the months of the batch are read from the table: it is partitioned by
-    month, and the month is part of the key. The number comes from the row
-    counts of those months before and after, which are in the file footers.
+    month, and the month is part of the key. Rows get their id here unless the
+    batch has one; rows with a null in the key are known again by it, so that
+    loading the same files twice adds nothing.
     """
     spark = batch.sparkSession
-    # one entry per month, a few hundred at most
-    months = [r["month"] for r in batch.select("month").distinct().collect() if r["month"] is not None]
+    if "id" not in batch.columns:
+        batch = landing.with_row_id(batch)
+    proper = F.col("month").rlike(WELL_FORMED_MONTH)
+    # one entry per calendar month; other texts stand together
+    months = [r["m"] for r in batch.select(F.when(proper, F.col("month")).alias("m")).filter(F.col("month").isNotNull()).distinct().collect()]
     if not months:
         return 0
-
-    def touched() -> DataFrame:
-        return load_raw(spark, path).filter(F.col("month").isin(months))
-
-    target = touched()
-    before = target.count()
+    touched = F.col("month").isin([m for m in months if m is not None])
+    if None in months:
+        touched = touched | ~proper
+    target = load_raw(spark, path).filter(touched)
+    before = target.count()  # from file footers, as is the count afterwards
     # few files per month: small months are merged, large ones split
-    fresh = new_rows(batch, target, order_by=order_by).select(*BRONZE_COLUMNS).hint("rebalance", "month")
-    fresh.write.mode("append").partitionBy("month").parquet(path)
-    return touched().count() - before if files.exists(spark, path) else 0
+    fresh = new_rows(batch, target, order_by=(*order_by, "id"), row_id="id").select(*TABLE_COLUMNS)
+    fresh.hint("rebalance", "month").write.mode("append").partitionBy("month").parquet(path)
+    return load_raw(spark, path).filter(touched).count() - before
 
 
 def ingest_months(spark: SparkSession, landing_path: str, table_path: str, quarantine_path: str | None = None,
@@ -81,11 +92,13 @@ def ingest_months(spark: SparkSession, landing_path: str, table_path: str, quara
     scan = landing.scan_incident_json(spark, landing_path, multi_line)
     if months is not None:
         scan = scan.filter(F.col("file_month").isin(*months))
-    # parsed once, then read for the quarantine, the months and the rows
-    scan = cut(scan)
+    # parsed once into columns, of which the quarantine, the months and the rows each read their own
+    staged = scratch_path(spark, "staged")
+    scan.write.parquet(staged)
+    scan = spark.read.schema(scan.schema).parquet(staged)
     if quarantine_path is not None:
         landing.quarantined(scan).write.mode("append").parquet(quarantine_path)
-    flat = landing.flatten_record(landing.good_records(scan), keep=("file_month",))
+    flat = landing.flatten_record(landing.good_records(scan), keep=("file_month", "source_file"))
     return insert_or_ignore(flat, table_path, order_by=("file_month", *[c for c in BRONZE_COLUMNS if c not in UNIQUE_KEY]))
 
 

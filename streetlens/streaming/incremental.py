@@ -21,7 +21,7 @@ def stream_records(spark: SparkSession, landing_path: str, multi_line: bool = Fa
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
         .json(landing_path)
-        .withColumn("file_month", F.nullif(month, F.lit("")))
+        .withColumns({"file_month": F.nullif(month, F.lit("")), "source_file": F.col("_metadata.file_path")})
     )
 
 
@@ -36,18 +36,19 @@ def incremental_load(
 ) -> None:
     """Load every file that has not been seen yet, then stop.
 
-    Known rows are ignored by key, so a batch that is repeated after a failure
-    adds nothing twice. There is no watermark: files for old months are
+    Known rows are ignored by key, or by their id where the key has a null, and
+    the quarantine of a batch is a folder of its own that a repeated batch
+    replaces; so a batch that is repeated after a failure adds nothing twice. There is no watermark: files for old months are
     accepted at any time, and no state grows with the table.
     """
 
-    def load(batch: DataFrame, _: int) -> None:
+    def load(batch: DataFrame, number: int) -> None:
         # the batch is read for the months, the rows and the quarantine
         batch = batch.persist()
         try:
             if quarantine_path is not None:
-                landing.quarantined(batch).write.mode("append").parquet(quarantine_path)
-            flat = landing.flatten_record(landing.good_records(batch), keep=("file_month",))
+                landing.quarantined(batch).write.mode("overwrite").parquet(f"{quarantine_path}/batch={number}")
+            flat = landing.flatten_record(landing.good_records(batch), keep=("file_month", "source_file"))
             order = ("file_month", *[c for c in BRONZE_COLUMNS if c not in UNIQUE_KEY])
             store.insert_or_ignore(flat, table_path, order)
         finally:

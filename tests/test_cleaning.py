@@ -16,15 +16,15 @@ COLUMNS = "id long, category string, month string, latitude double, longitude do
 @pytest.fixture(scope="module")
 def rows(spark):
     return spark.createDataFrame([
-        (1, "burglary", "2024-01", 53.38, -1.47, 10), (2, "Burglary", "2024-01", 53.38, -1.47, 10),
-        (3, "violence-and-sexual-offences", "2024-02", 53.40, -1.45, 11), (4, "anti-social", "2024-02", 53.42, -1.43, 12),
-        (5, "robbery", "2024-03", None, -1.50, 13), (6, "unknown-new-cat", "2024-03", 53.50, -1.30, 14),
+        (11, "shoplifting", "2023-06", 53.40, -1.46, 71), (12, "SHOPLIFTING", "2023-06", 53.40, -1.46, 71),
+        (13, "robbery", "2023-07", 53.41, -1.44, 72), (14, "other-theft", "2023-09", 53.39, -1.48, 73),
+        (15, "drugs", "2023-09", None, -1.45, 74), (16, "no-such-kind", "2023-10", 53.60, -1.20, 75),
     ], COLUMNS)
 
 
 def test_coordinates(rows):
     out = ops.validate_coords(rows)
-    assert [r["id"] for r in out.orderBy("id").collect()] == [1, 2, 3, 4]
+    assert [r["id"] for r in out.orderBy("id").collect()] == [11, 12, 13, 14]
     assert ops.validate_coords(rows, None).count() == 5
 
 
@@ -72,7 +72,7 @@ def test_month(spark):
 
 def test_clean_is_idempotent(rows):
     once = ops.clean(rows)
-    assert sorted(r["id"] for r in once.collect()) == [1, 3, 4]
+    assert sorted(r["id"] for r in once.collect()) == [11, 13, 14]
     assert ops.clean(once.drop("month_date")).count() == 3
 
 

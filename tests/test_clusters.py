@@ -14,6 +14,7 @@ from streetlens.operators.components import connected_components
 from streetlens.operators.dbscan import dbscan
 from streetlens.operators.neighbours import eps_neighbours
 from streetlens.plans import train
+from streetlens.operators.numbering import numbered
 
 R = config.EARTH_RADIUS_M
 
@@ -95,6 +96,24 @@ def test_long_chain_is_one_component(spark):
     assert out == {0: 100, 100: 100}
 
 
+def test_shuffled_chain_settles_in_few_rounds(spark, monkeypatch):
+    from streetlens.operators import components
+
+    rounds = []
+    monkeypatch.setattr(components, "_small_star", lambda e, plain=components._small_star: (rounds.append(1), plain(e))[1])
+    ids = np.random.default_rng(1).permutation(10_000).tolist()
+    edges = spark.createDataFrame(list(zip(ids, ids[1:])), "a long, b long")
+    out = connected_components(spark.range(10_000).withColumnRenamed("id", "node"), edges)
+    assert out.filter("component <> 0").count() == 0 and out.count() == 10_000
+    assert len(rounds) < 30
+
+
+def test_numbering_in_ranges(spark):
+    keys = spark.createDataFrame([(f"k{n % 500:04d}",) for n in range(1500)], "key string")
+    got = sorted((r["key"], r["n"]) for r in numbered(keys, "key", "n").collect())
+    assert got == [(f"k{n:04d}", n) for n in range(500)]
+
+
 @pytest.fixture(scope="module")
 def blobs(spark):
     rng = np.random.default_rng(0)
@@ -111,8 +130,11 @@ def test_kmeans_sweep(blobs):
     assert all(-1 <= r["silhouette"] <= 1 for r in rows)
     assert rows[0]["inertia"] > rows[1]["inertia"] > rows[2]["inertia"]
     assert kmeans.with_kmeans_labels(blobs, sweep).filter("kmeans_label IS NULL").count() == 0
-    linear = kmeans.kmeans_sweep(blobs, replace(config.CLUSTER, k_min=2, k_max=3, restarts=1, exact_points=10))
-    assert linear.best_k == 2
+    assert {r["silhouette_kind"] for r in rows} == {"linear"}
+    exact = kmeans.kmeans_sweep(blobs, replace(config.CLUSTER, k_min=2, k_max=3, restarts=1, silhouette="exact"))
+    assert exact.best_k == 2 and {r["silhouette_kind"] for r in exact.table.collect()} == {"exact"}
+    with pytest.raises(ValueError):
+        kmeans.kmeans_sweep(blobs, replace(config.CLUSTER, silhouette="best"))
 
 
 def test_cluster_run_saves_everything(spark, blobs, tmp_path):

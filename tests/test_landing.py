@@ -7,6 +7,7 @@ from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streetlens.functions import dates, text
 from streetlens.schema import BRONZE, BRONZE_COLUMNS, RECORD
@@ -14,9 +15,9 @@ from streetlens.sources import landing, store
 from streetlens.streaming.incremental import incremental_load
 
 RECORD_OK = {
-    "id": 123, "category": "burglary", "month": "2024-01",
-    "location": {"latitude": "53.38", "longitude": "-1.47", "location_type": "Force", "street": {"id": 99, "name": "Fargate"}},
-    "outcome_status": {"category": "Investigation complete", "date": "2024-02"}, "persistent_id": "abc",
+    "id": 47110, "category": "burglary", "month": "2024-01",
+    "location": {"latitude": "53.41", "longitude": "-1.45", "location_type": "Force", "street": {"id": 606, "name": "Quay Row"}},
+    "outcome_status": {"category": "Under review", "date": "2024-02"}, "persistent_id": "f00d",
 }
 
 
@@ -42,11 +43,11 @@ def test_polygon_text():
 def test_flatten_complete_record(spark):
     row = landing.flatten_record(records(spark, RECORD_OK)).first()
     assert tuple(row) == (
-        123, "burglary", "2024-01", 53.38, -1.47, "Force", 99, "Fargate", None, "Investigation complete", "2024-02", "abc")
+        47110, "burglary", "2024-01", 53.41, -1.45, "Force", 606, "Quay Row", None, "Under review", "2024-02", "f00d")
 
 
 @pytest.mark.parametrize("location", [
-    {}, None, {"latitude": "53.38"}, {"latitude": "x", "longitude": "1"}, {"latitude": "53.38d", "longitude": "1"},
+    {}, None, {"latitude": "53.41"}, {"latitude": "x", "longitude": "1"}, {"latitude": "53.38d", "longitude": "1"},
     {"latitude": "nan", "longitude": "1"}, {"latitude": None, "longitude": "1"},
 ])
 def test_flatten_drops_rows_without_coordinates(spark, location):
@@ -62,12 +63,12 @@ def test_flatten_defaults(spark):
 
 
 def test_month_files_empty_and_corrupt(spark, tmp_path):
-    write_month(tmp_path / "in", "2024-01", [RECORD_OK, {**RECORD_OK, "id": 124}])
+    write_month(tmp_path / "in", "2024-01", [RECORD_OK, {**RECORD_OK, "id": 47111}])
     write_month(tmp_path / "in", "2024-02", [])
     write_month(tmp_path / "in", "2024-03", "{not json")
     scan = landing.scan_incident_json(spark, str(tmp_path / "in"))
     good = landing.good_records(scan)
-    assert {(r["file_month"], r["id"]) for r in good.collect()} == {("2024-01", 123), ("2024-01", 124)}
+    assert {(r["file_month"], r["id"]) for r in good.collect()} == {("2024-01", 47110), ("2024-01", 47111)}
     assert good.count() == 2
     assert [r["file_month"] for r in landing.quarantined(scan).collect()] == ["2024-03"]
     assert landing.scan_incident_json(spark, str(tmp_path / "in"), only_months=["2024-02"]).count() == 0
@@ -78,33 +79,48 @@ def test_landed_month_is_reused_or_replaced(spark, tmp_path):
     landing.land_month(records(spark, RECORD_OK), path)
     landing.land_month(records(spark, {**RECORD_OK, "id": 9}, RECORD_OK), path)
     scan = lambda: landing.good_records(landing.scan_incident_json(spark, path, multi_line=False))
-    assert [r["id"] for r in scan().collect()] == [123]
+    assert [r["id"] for r in scan().collect()] == [47110]
     landing.land_month(records(spark, {**RECORD_OK, "id": 9}), path, reuse=False)
     assert [r["id"] for r in scan().collect()] == [9]
 
 
-def bronze(spark, *rows):
+def bronze(spark, file, *rows):
     base = dict.fromkeys(BRONZE_COLUMNS)
     fill = {"category": "burglary", "month": "2024-01", "latitude": 53.4, "longitude": -1.4}
-    return spark.createDataFrame([tuple({**base, **fill, **r}[c] for c in BRONZE_COLUMNS) for r in rows], BRONZE)
+    schema = T.StructType([f for f in BRONZE if f.name != "id"])
+    df = spark.createDataFrame([tuple({**base, **fill, **r}[c] for c in BRONZE_COLUMNS) for r in rows], schema)
+    return df.withColumn("source_file", F.lit(file))
 
 
 def test_insert_or_ignore(spark, tmp_path):
     path = str(tmp_path / "incidents")
     assert store.load_raw(spark, path).count() == 0
-    first = bronze(spark, {"api_id": 1, "street_name": "a"}, {"api_id": 1, "street_name": "b"}, {"api_id": None}, {"api_id": None},
+    first = bronze(spark, "one", {"api_id": 1, "street_name": "a"}, {"api_id": 1, "street_name": "b"}, {"api_id": None}, {"api_id": None},
                    {"api_id": 2, "category": None}, {"api_id": 3, "latitude": None})
     assert store.insert_or_ignore(first, path, order_by=("street_name",)) == 3
     assert [r["street_name"] for r in store.load_raw(spark, path).filter("api_id = 1").collect()] == ["a"]
-    # known key ignored, null id never conflicts, another month is another key
-    again = bronze(spark, {"api_id": 1}, {"api_id": None}, {"api_id": 1, "month": "2024-02"})
-    assert store.insert_or_ignore(again, path) == 2
-    assert store.load_raw(spark, path).count() == 5
-    assert store.insert_or_ignore(again.filter("api_id IS NOT NULL"), path) == 0
+    # the same files once more, rows in another order: nothing is added, null keys neither
+    assert store.insert_or_ignore(first.repartition(3), path, order_by=("street_name",)) == 0
+    # known key ignored, null id of another file never conflicts, another month is another key
+    again = bronze(spark, "two", {"api_id": 1}, {"api_id": None}, {"api_id": 1, "month": "2024-02"}, {"api_id": 4, "month": "soon"})
+    assert store.insert_or_ignore(again, path) == 3
+    table = store.load_raw(spark, path)
+    assert table.count() == table.select("id").distinct().count() == 6 and table.filter("id IS NULL").count() == 0
+    assert store.insert_or_ignore(again, path) == 0
+
+
+def test_repeated_stream_batch_adds_nothing(spark, tmp_path):
+    nameless = {**RECORD_OK, "id": None}
+    write_month(tmp_path / "in", "2024-01", [RECORD_OK, nameless, nameless])
+    write_month(tmp_path / "in", "2024-02", "oops")
+    table, bad = str(tmp_path / "t"), str(tmp_path / "bad")
+    for state in ("a", "b"):  # a lost state makes the stream deliver the batch again
+        incremental_load(spark, str(tmp_path / "in"), table, str(tmp_path / state), bad, multi_line=True)
+        assert store.load_raw(spark, table).count() == 3 and spark.read.parquet(bad).count() == 1
 
 
 def test_ingest_skips_bad_month_and_is_idempotent(spark, tmp_path):
-    write_month(tmp_path / "in", "2024-01", [RECORD_OK, {**RECORD_OK, "id": 124}, {"id": 1, "location": {}}])
+    write_month(tmp_path / "in", "2024-01", [RECORD_OK, {**RECORD_OK, "id": 47111}, {"id": 1, "location": {}}])
     write_month(tmp_path / "in", "2024-02", "oops")
     write_month(tmp_path / "in", "2024-03", [])
     table, bad = str(tmp_path / "t"), str(tmp_path / "bad")
@@ -125,5 +141,5 @@ def test_incremental_load_equals_batch(spark, tmp_path):
     load()
     load()
     rows = {(r["month"], r["api_id"]) for r in store.load_raw(spark, table).collect()}
-    assert rows == {("2024-02", 123), ("2024-02", 7), ("2024-01", 123), ("2024-02", 8)}
+    assert rows == {("2024-02", 47110), ("2024-02", 7), ("2024-01", 47110), ("2024-02", 8)}
     assert store.load_raw(spark, table).count() == 4

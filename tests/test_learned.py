@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from checks.base import features
 from streetlens import config
-from streetlens.operators import arima, classify, forest_forecast, panel, priors, seasonal
+from streetlens.operators import sampling, arima, classify, forest_forecast, panel, priors, seasonal
 from streetlens.plans import build, dashboard, forecast, train
 from streetlens.session import cut
 from streetlens.sources import models, results
@@ -181,7 +181,9 @@ def test_build_then_dashboard(spark, folder, tmp_path):
     total = gold.count()
     assert spark.read.parquet(str(tmp_path / "tables/aggregates/agg_monthly")).agg(F.sum("crime_count")).first()[0] == total
     assert spark.read.parquet(str(tmp_path / "tables/eda/spatial_density")).agg(F.sum("count")).first()[0] == total
-    gold = gold.withColumn("id", F.col("api_id"))
+    assert gold.filter("id IS NULL").count() == 0 and gold.select("id").distinct().count() == total
+    split = sampling.stratified_split(gold)
+    assert split.count() == total and 0 < split.filter("is_test = 1").count() < total
     labels = gold.select("id", "latitude", "longitude", "month", F.lit(1).alias("kmeans_label"))
     shown = dashboard.scatter_rows(gold, labels, "kmeans", limit=50)
     assert shown.count() == 50 and {r["colour"] for r in shown.collect()} == {"1"}
