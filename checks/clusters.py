@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks.base import WITH_CLEAN, check, cleaned, on
@@ -124,10 +125,15 @@ def standardise(spark, folder):
     return quality.standardise(df, ["x", "y"]).withColumns({"x": r("x") + 0.0, "y": r("y") + 0.0})
 
 
-@check("kmeans_sweep")
+@check("kmeans_sweep", "SELECT CAST(k AS INTEGER) AS k, 'linear' AS silhouette_kind, true AS falling, true AS in_range FROM range(3, 13) s(k)")
 def kmeans_sweep(spark, folder):
-    """Fewer restarts than by default; the range of k is the default one."""
-    return km.kmeans_sweep(cleaned(spark, folder), replace(config.CLUSTER, restarts=1)).table
+    """Every k of the default range; inertia does not rise by more than a poor start explains, scores are in range. One restart."""
+    table = km.kmeans_sweep(cleaned(spark, folder), replace(config.CLUSTER, restarts=1)).table
+    before = F.lag("inertia").over(Window.orderBy("k"))
+    return table.select(
+        "k", "silhouette_kind", F.coalesce(F.col("inertia") <= before * 1.5, F.lit(True)).alias("falling"),
+        (F.col("silhouette").between(-1, 1) & (F.col("davies_bouldin") >= 0) & (F.col("inertia") >= 0)).alias("in_range"),
+    )
 
 
 @check("cluster_overlay", on(WITH_CLEAN, f"""SELECT cl.id, l.label AS dbscan_label FROM cl LEFT JOIN (SELECT latitude, longitude, month, {ASSIGN.replace('x -', 'latitude -').replace('y -', 'longitude -')} AS label FROM cl) l

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.base import WITH_CLEAN, check, cleaned, on
-from checks.panels import SERIES, _series
+from checks.panels import NUMBERED, SERIES, _series
+from streetlens import config
 from streetlens.operators import aggregates as agg
 from streetlens.operators import arima, seasonal
 from streetlens.plans import forecast
@@ -29,10 +30,13 @@ def adf_panel(spark, folder):
     return arima.adf_panel(_series(spark, folder), ["category"], 2).withColumn("adf_stat", r("adf_stat"))
 
 
-@check("adf_panel_lagged")
+@check("adf_panel_lagged", on(WITH_CLEAN, """SELECT category, CAST(d AS INTEGER) AS d, greatest(count(*) - d - 5, 0) AS n, true AS lags_fit, true AS told
+  FROM series, (VALUES (0), (1)) o(d) GROUP BY 1, d HAVING count(*) - d - 5 > 0""", SERIES))
 def adf_panel_lagged(spark, folder):
-    """Up to four lagged changes, chosen by AIC."""
-    return arima.adf_panel(_series(spark, folder), ["category"], 1, lags=4)
+    """Up to four lagged changes, chosen by AIC: rows of the common sample, and whether choice and decision hold together."""
+    out = arima.adf_panel(_series(spark, folder), ["category"], 1, lags=4)
+    decided = F.col("stationary").eqNullSafe(F.col("adf_stat") < config.FORECAST.adf_critical)
+    return out.select("category", "d", "n", F.coalesce(F.col("used_lags").between(0, 4), F.col("adf_stat").isNull()).alias("lags_fit"), decided.alias("told"))
 
 
 @check("choose_d", on(WITH_CLEAN, "SELECT category, CAST(coalesce(min(CASE WHEN stat < -2.86 THEN d END), 2) AS INTEGER) AS d FROM adf GROUP BY 1", SERIES, ADF))
@@ -40,25 +44,46 @@ def choose_d(spark, folder):
     return arima.choose_d(arima.adf_panel(_series(spark, folder), ["category"], 2), ["category"])
 
 
-@check("arima_order_search")
+@check("arima_order_search", on(WITH_CLEAN, """SELECT category, CAST(0 AS INTEGER) AS fold,
+  CAST(coalesce(min(CASE WHEN stat < -2.86 THEN d END), 2) AS INTEGER) AS d, true AS whole FROM adf GROUP BY 1""", SERIES, ADF))
 def arima_order_search(spark, folder):
+    """The order of differencing, and whether each series has a candidate with three finite forecasts, or else a reason."""
     out = arima.arima_order_search(_series(spark, folder), ["category"])
-    return out.select("category", "fold", "p", "d", "q", "aic", F.explode_outer("forecast").alias("forecast"), "error")
+    tried = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p, _, q in config.FORECAST.orders])
+    fitted = (
+        F.array_contains(tried, F.struct("p", "q")) & (F.size("forecast") == config.FORECAST.horizon)
+        & ~F.isnan(F.aggregate("forecast", F.lit(0.0), lambda a, x: a + x)) & F.col("error").isNull()
+    )
+    return out.select("category", "fold", "d", F.coalesce(fitted, F.col("error").isNotNull()).alias("whole"))
 
 
-@check("seasonal_trend_fit")
+@check("seasonal_trend_fit", on(WITH_CLEAN, """SELECT category, month_date, y, CAST(0 AS INTEGER) AS is_future, true AS banded FROM series
+  UNION ALL SELECT category, CAST(m + to_months(CAST(k AS INTEGER)) AS DATE), NULL, 1, true
+  FROM (SELECT category, max(month_date) AS m FROM series GROUP BY 1), range(1, 4) s(k)""", SERIES))
 def seasonal_trend_fit(spark, folder):
-    return seasonal.seasonal_trend_fit(_series(spark, folder), ["category"])
+    """History and coming months of every series, and whether the fit lies within its band and above zero."""
+    out = seasonal.seasonal_trend_fit(_series(spark, folder), ["category"])
+    banded = (F.col("yhat_lower") >= 0) & (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
+    return out.select("category", "month_date", "y", "is_future", banded.alias("banded"))
 
 
-@check("walk_forward_cv")
+@check("walk_forward_cv", on(WITH_CLEAN, """SELECT category, fold, month_date AS cutoff, CAST(1 AS BIGINT) AS seasonal_rows, true AS scored
+  FROM cuts JOIN numbered USING (category) WHERE idx = cutoff - 1""", SERIES, NUMBERED))
 def walk_forward_cv(spark, folder):
-    return forecast.walk_forward_cv(cut(_series(spark, folder)), ["category"])
+    """Folds and cutoffs, the seasonal model's row in each, at most one of the other's, and sound errors."""
+    out = forecast.walk_forward_cv(cut(_series(spark, folder)), ["category"])
+    sound = F.bool_and((F.col("rmse") >= F.col("mae") - 1e-9) & (F.col("mae") >= 0)) & (F.count_if(F.col("model") == "ARIMA") <= 1)
+    return out.groupBy("category", "fold", "cutoff").agg(F.count_if(F.col("model") == "Seasonal").alias("seasonal_rows"), sound.alias("scored"))
 
 
-@check("forecast_run")
+@check("forecast_run", on(WITH_CLEAN, """SELECT 'all' AS series, CAST(m + to_months(CAST(k AS INTEGER)) AS DATE) AS date, true AS both_models, true AS near
+  FROM (SELECT max(month_date) AS m, min(month_date) AS l, count(*) AS n FROM cl), range(1, 4) s(k)"""))
 def forecast_run(spark, folder):
-    """The coming months of the one series of monthly totals."""
-    return forecast.forecast_run(agg.monthly_totals(cleaned(spark, folder))).future
+    """The coming months of the one series of monthly totals, and whether both forecasts are there and of its size."""
+    totals = agg.monthly_totals(cleaned(spark, folder))
+    most = totals.agg(F.max("crime_count")).scalar()
+    both = F.col("arima_forecast").isNotNull() & F.col("seasonal_forecast").isNotNull()
+    near = F.col("arima_forecast").between(0, most * 3) & F.col("seasonal_forecast").between(0, most * 3)
+    return forecast.forecast_run(totals).future.select("series", "date", both.alias("both_models"), near.alias("near"))
 
 

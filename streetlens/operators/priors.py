@@ -57,13 +57,13 @@ def rate_table(
     )
 
 
-def key_counts(train: DataFrame, key: str) -> DataFrame:
+def share_counts(train: DataFrame, key: str) -> DataFrame:
     return train.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
 
 def frequency_table(train: DataFrame, key: str, out: str = "freq") -> DataFrame:
     """Share of the rows that have a key, per key."""
-    counts = cut(key_counts(train, key))
+    counts = cut(share_counts(train, key))
     total = counts.agg(F.sum("n")).scalar()
     return counts.select(key, F.try_divide(F.col("n").cast("double"), total.cast("double")).alias(out))
 

@@ -12,7 +12,7 @@ import tools_check
 from checks.base import QUERIES, SQL
 from __spark_entry__ import entry, oracle_sql, queries
 from streetlens.operators import clean as ops
-from streetlens.operators.priors import key_counts
+from streetlens.operators.priors import share_counts
 from streetlens.plans.dashboard import dashboard_filter
 
 
@@ -48,7 +48,7 @@ def test_duplicates_are_dropped_before_the_shuffle(stored):
 
 
 def test_counts_are_partial(stored):
-    assert "partial_count" in plan(key_counts(stored, "street_name"))
+    assert "partial_count" in plan(share_counts(stored, "street_name"))
 
 
 # sinks, learned models and checks that run jobs while they are being put together
