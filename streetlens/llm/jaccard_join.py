@@ -4,9 +4,12 @@ Shingles of a document are dealt by hash into the m pieces of a sketch; a piece
 is the XOR of its shingles' hashes. Sets that differ in d shingles differ in at
 most d pieces, so a pair within the allowed difference D has at least m - D
 equal pieces. m is fixed per size band. Pieces are put in one order for all
-documents of a band, those with most shingles first, and each document sends
-only its first D + 1 pieces: two sets with m - D equal pieces must meet in one
-of these (pigeonhole). Documents that meet are verified on their whole sets.
+documents of a band, those with most rare shingles first, and each document
+sends only its first D + 1 pieces: two sets with m - D equal pieces must meet in
+one of these (pigeonhole). Which shingles count as frequent only moves pieces
+made of passages that very many documents share to the end of the order; the
+result is the same for any choice. Documents that meet are verified on their
+whole sets.
 
 Rows with equal sets are one class from the start. All members of a piece's
 group are compared with each other inside the cell of the group's smallest
@@ -33,7 +36,9 @@ from streetlens.session import cut
 
 FLUSH = 1 << 21  # entries held by a task before they are sent
 HOT = 64  # members of a piece in one flush beyond which the flush sends them apart
-BLOCK = 200  # documents of a block; two blocks are compared at once
+SKETCH_BLOCK, SET_BLOCK = 1000, 600  # documents of a block; two blocks are compared at once
+OFTEN = 4  # documents of one flush from which a shingle counts as frequent
+FREQUENT = 100_000  # frequent shingles told to all tasks, at most: the most frequent ones
 LEAST_BITS = 256
 
 
@@ -60,11 +65,11 @@ class Measure:
         return np.maximum((self.differ(top + self.partner(top)) + 1) * 5 // 4, np.minimum(4 * top, 64))
 
 
-def _sketch_keys(measure, values, counts, chosen, band, allowed):
+def _sketch_keys(measure, values, rare, counts, chosen, band, allowed):
     """(key, row) of the first ``allowed + 1`` pieces of the chosen rows' sketches."""
     row_of = np.repeat(np.arange(len(counts)), counts)
     take = chosen[row_of]
-    row, v = row_of[take], values[take]
+    row, v, rare = row_of[take], values[take], rare[take]
     if not len(row):
         return np.zeros(0, U64), np.zeros(0, np.int64)
     m = measure.pieces(band)
@@ -72,15 +77,16 @@ def _sketch_keys(measure, values, counts, chosen, band, allowed):
     piece = ((spread >> U64(32)) * m[row].astype(U64)) >> U64(32)
     place = (row.astype(U64) << U64(40)) | piece
     order = np.argsort(place)
-    place, v = place[order], v[order]
+    place, v, rare = place[order], v[order], rare[order]
     at = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
     parity = np.bitwise_xor.reduceat(mix(v), at)
     size = np.diff(np.append(at, len(v)))
+    unusual = np.add.reduceat(rare.astype(np.int64), at)
     row, piece = (place[at] >> U64(40)).astype(np.int64), place[at] & U64((1 << 40) - 1)
     name = _piece_name(band[row], piece)
     key = mix(parity ^ name + size.astype(U64))
-    # the same order for all: full pieces first, ties by the key itself
-    order = np.lexsort((key, -size, row))
+    # the same order for all, as equal pieces have equal shingles; ties by the key itself
+    order = np.lexsort((key, -size, -unusual, row))
     row, key = row[order], key[order]
     filled = np.bincount(row, minlength=len(counts))
     rank = np.arange(len(row)) - (np.cumsum(filled) - filled)[row]
@@ -99,16 +105,21 @@ def _piece_name(band, piece):
     return mix(piece * U64(0x9FB21C651E98DF25) + (band.astype(U64) << U64(48)))
 
 
-def piece_keys(measure: Measure, values: np.ndarray, row: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key, row) for every row's own band and, where a smaller set of the band below can be similar, for that band."""
+def piece_keys(measure: Measure, values: np.ndarray, row: np.ndarray, n_rows: int, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, row) for every row's own band and, where a smaller set of the band below can be similar, for that band.
+
+    ``frequent`` has shingles in rising order.
+    """
+    at = np.minimum(np.searchsorted(frequent, values), max(len(frequent) - 1, 0))
+    rare = frequent[at] != values if len(frequent) else np.ones(len(values), bool)
     counts = np.bincount(row, minlength=n_rows)
     some = counts > 0
     band = np.zeros(n_rows, np.int64)
     band[some] = np.floor(np.log2(counts[some])).astype(np.int64)
-    own = _sketch_keys(measure, values, counts, some, band, measure.differ(counts + measure.partner(counts)))
+    own = _sketch_keys(measure, values, rare, counts, some, band, measure.differ(counts + measure.partner(counts)))
     floor = (np.int64(1) << band) - 1  # the largest set of the band below
     down = some & (band > 0) & (counts <= measure.partner(floor))
-    below = _sketch_keys(measure, values, counts, down, np.maximum(band - 1, 0), measure.differ(floor + counts))
+    below = _sketch_keys(measure, values, rare, counts, down, np.maximum(band - 1, 0), measure.differ(floor + counts))
     return np.concatenate([own[0], below[0]]), np.concatenate([own[1], below[1]])
 
 
@@ -129,8 +140,24 @@ def parity_sketches(values: np.ndarray, counts: np.ndarray) -> list[bytes]:
     return out
 
 
+def _often(values: list[np.ndarray]) -> pa.RecordBatch:
+    """Shingles of at least ``OFTEN`` of the documents, as rows of kind 1."""
+    all_values = np.sort(np.concatenate(values))
+    at = np.flatnonzero(np.r_[True, all_values[1:] != all_values[:-1]])
+    many = np.diff(np.append(at, len(all_values)))
+    found = all_values[at[many >= OFTEN]].view(np.int64)
+    none = pa.nulls(len(found), pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.ones(len(found), np.int32)), none, pa.array(many[many >= OFTEN]), pa.array(found), none, pa.nulls(len(found), pa.binary())],
+        names=["kind", "doc_id", "n_shingles", "sig_a", "sig_b", "sketch"],
+    )
+
+
 def _signatures(width: int):
+    """Kind 0: size, signature and sketch of each row's set. Kind 1: frequent shingles, with their number in n_shingles."""
+
     def run(batches):
+        seen, held = [], 0
         for batch in batches:
             sizes, first, second, sketches = [], [], [], []
             for i, j, values, row in _sets(batch["text"], width):
@@ -144,15 +171,23 @@ def _signatures(width: int):
                     out.append(sig.view(np.int64))
                 sizes.append(n)
                 sketches += parity_sketches(values, n)
+                seen.append(values)
+                held += len(values)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], *(pa.array(np.concatenate(x).astype(np.int64)) for x in (sizes, first, second)), pa.array(sketches, pa.binary())],
-                names=["doc_id", "n_shingles", "sig_a", "sig_b", "sketch"],
+                [pa.array(np.zeros(batch.num_rows, np.int32)), batch["doc_id"],
+                 *(pa.array(np.concatenate(x).astype(np.int64)) for x in (sizes, first, second)), pa.array(sketches, pa.binary())],
+                names=["kind", "doc_id", "n_shingles", "sig_a", "sig_b", "sketch"],
             )
+            if held >= FLUSH:
+                yield _often(seen)
+                seen, held = [], 0
+        if held:
+            yield _often(seen)
 
     return run
 
 
-def _entries(measure: Measure, width: int, parts: int):
+def _entries(measure: Measure, width: int, parts: int, frequent: np.ndarray):
     """Pieces packed by destination: kind 0 has (key, document) pairs, kind 1 the members of one key that is hot here."""
 
     def flush(keys, ids):
@@ -193,7 +228,7 @@ def _entries(measure: Measure, width: int, parts: int):
         for batch in batches:
             doc = batch["doc_id"].to_numpy(zero_copy_only=False)
             for i, j, values, row in _sets(batch["text"], width):
-                key, r = piece_keys(measure, values, row, j - i)
+                key, r = piece_keys(measure, values, row, j - i, frequent)
                 keys.append(key)
                 ids.append(doc[i:j][r])
                 held += len(key)
@@ -346,16 +381,16 @@ def _compared(pairs: DataFrame, payload: DataFrame, measure: Measure, screen: bo
     """(a, b): what comparing the members of every hub's cell gives."""
     cells = pairs.unionByName(pairs.select("hub", F.col("hub").alias("member")).distinct())
     return (
-        _cell_blocks(cells).join(payload.withColumnRenamed("doc_id", "member"), "member")
+        _cell_blocks(cells, SKETCH_BLOCK if screen else SET_BLOCK).join(payload.withColumnRenamed("doc_id", "member"), "member")
         .repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
         .mapInArrow(_cells(measure, screen), "a long, b long")
     )
 
 
-def _cell_blocks(cells: DataFrame) -> DataFrame:
-    """Cells of more than ``BLOCK`` members as pairs of blocks."""
-    wide = cells.groupBy("hub").agg(F.count("*").alias("c")).filter(F.col("c") > BLOCK).select(
-        "hub", F.ceil(F.col("c") / F.lit(BLOCK)).cast("int").alias("blocks")
+def _cell_blocks(cells: DataFrame, size: int) -> DataFrame:
+    """Cells of more than ``size`` members as pairs of blocks."""
+    wide = cells.groupBy("hub").agg(F.count("*").alias("c")).filter(F.col("c") > size).select(
+        "hub", F.ceil(F.col("c") / F.lit(size)).cast("int").alias("blocks")
     )
     return (
         cells.join(wide, "hub", "left")
@@ -380,9 +415,13 @@ def jaccard_components(docs: DataFrame, num: int = 75, den: int = 100, width: in
     spark = docs.sparkSession
     measure = Measure(num, den)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    light = stored(
-        docs.mapInArrow(_signatures(width), "doc_id long, n_shingles long, sig_a long, sig_b long, sketch binary"), "light"
+    first = stored(
+        docs.mapInArrow(_signatures(width), "kind int, doc_id long, n_shingles long, sig_a long, sig_b long, sketch binary"), "light"
     )
+    light = first.filter("kind = 0").drop("kind")
+    often = first.filter("kind = 1").groupBy("sig_a").agg(F.sum("n_shingles").alias("many"))
+    often = often.orderBy(F.desc("many"), "sig_a").limit(FREQUENT).select("sig_a").toArrow()["sig_a"].to_numpy()
+    frequent = np.sort(often.view(U64) if len(often) else np.zeros(0, U64))
     named = light.filter("doc_id is not null and n_shingles > 0")
     heads = named.groupBy("sig_a", "sig_b", "n_shingles").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last"))
     copies = cut(
@@ -393,7 +432,7 @@ def jaccard_components(docs: DataFrame, num: int = 75, den: int = 100, width: in
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     met = cut(
         docs.filter("doc_id is not null")
-        .mapInArrow(_entries(measure, width, parts), "kind int, part int, keys binary, docs binary")
+        .mapInArrow(_entries(measure, width, parts, frequent), "kind int, part int, keys binary, docs binary")
         .repartition("part").sortWithinPartitions("part")
         .mapInArrow(_meet, "kind int, x long, y long")
     )
