@@ -109,6 +109,7 @@ class PanelSettings:
     seed: int = 42
     horizon: int = 3
     refit: bool = False
+    max_bins: int = 255
 
 
 @dataclass(frozen=True)
@@ -137,6 +138,7 @@ class ClassifierSettings:
     boost_leaf: int = 20
     svm_c: float = 1.0
     svm_features: int = 128
+    max_bins: int = 255
     priors: PriorSettings = field(default_factory=PriorSettings)
 
 

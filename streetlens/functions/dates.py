@@ -63,8 +63,3 @@ def month_angle(month_num: Column) -> Column:
 def cyclic_month(month_num: Column) -> tuple[Column, Column]:
     angle = month_angle(month_num)
     return F.sin(angle), F.cos(angle)
-
-
-def months_between_starts(later: Column, earlier: Column) -> Column:
-    """Whole months from one month start to another."""
-    return (F.year(later) - F.year(earlier)) * 12 + F.month(later) - F.month(earlier)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from math import cos, radians, sqrt
+from math import sqrt
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -132,9 +132,3 @@ def dist_to_centre(lat: Column, lng: Column, centre: tuple[float, float] = confi
     """Planar distance in degrees."""
     dlat, dlng = lat - F.lit(centre[0]), lng - F.lit(centre[1])
     return F.sqrt(dlat * dlat + dlng * dlng)
-
-
-def metres_to_degrees(metres: float, at_latitude: float = 0.0) -> float:
-    from math import degrees
-
-    return degrees(metres / (config.EARTH_RADIUS_M * max(cos(radians(at_latitude)), 1e-9)))

@@ -31,6 +31,7 @@ class Fitted:
     name: str
     score: Scorer
     stages: dict[str, PipelineModel] = field(default_factory=dict)
+    facts: dict[str, object] = field(default_factory=dict)  # what scoring needs beside the stages
 
 
 def _weighted(train: DataFrame, settings: config.ClassifierSettings) -> DataFrame:
@@ -63,6 +64,10 @@ def _probability(model: PipelineModel) -> Scorer:
     return score
 
 
+def _fitted(name: str, model: PipelineModel, features: Sequence[str]) -> Fitted:
+    return Fitted(name, _probability(model), {name: model}, {f"{name}_features": ",".join(features)})
+
+
 def fit_logistic(train: DataFrame, features: Sequence[str], settings: config.ClassifierSettings = config.CLASSIFIER) -> Fitted:
     """Ridge logistic regression on scaled features; the penalty is that of C over summed losses."""
     data = _weighted(train, settings)
@@ -75,7 +80,7 @@ def fit_logistic(train: DataFrame, features: Sequence[str], settings: config.Cla
             regParam=1.0 / (settings.logistic_c * total), elasticNetParam=0.0, standardization=False,
         ),
     ]).fit(data)
-    return Fitted("logistic_regression", _probability(model), {"logistic_regression": model})
+    return _fitted("logistic_regression", model, features)
 
 
 def fit_forest(train: DataFrame, features: Sequence[str], settings: config.ClassifierSettings = config.CLASSIFIER) -> Fitted:
@@ -84,10 +89,10 @@ def fit_forest(train: DataFrame, features: Sequence[str], settings: config.Class
         RandomForestClassifier(
             featuresCol="features", labelCol="label", weightCol="weight", numTrees=settings.forest_trees,
             maxDepth=settings.forest_depth, minInstancesPerNode=settings.forest_leaf, featureSubsetStrategy="sqrt",
-            seed=settings.seed,
+            seed=settings.seed, maxBins=settings.max_bins,
         ),
     ]).fit(_weighted(train, settings))
-    return Fitted("random_forest", _probability(model), {"random_forest": model})
+    return _fitted("random_forest", model, features)
 
 
 def fit_boosting(train: DataFrame, features: Sequence[str], settings: config.ClassifierSettings = config.CLASSIFIER) -> Fitted:
@@ -96,10 +101,10 @@ def fit_boosting(train: DataFrame, features: Sequence[str], settings: config.Cla
         GBTClassifier(
             featuresCol="features", labelCol="label", weightCol="weight", maxIter=settings.boost_rounds,
             maxDepth=settings.boost_depth, stepSize=settings.boost_rate, minInstancesPerNode=settings.boost_leaf,
-            seed=settings.seed,
+            seed=settings.seed, maxBins=settings.max_bins,
         ),
     ]).fit(_weighted(train, settings))
-    return Fitted("gradient_boosting", _probability(model), {"gradient_boosting": model})
+    return _fitted("gradient_boosting", model, features)
 
 
 def _fourier(df: DataFrame, size: int, inputs: int, seed: int, source: str, out: str) -> DataFrame:
@@ -139,29 +144,46 @@ def fit_svm(
         *_scaled(data, len(features), "scaled"),
     ]).fit(data)
 
-    def project(df: DataFrame) -> DataFrame:
-        return _fourier(scale.transform(df), settings.svm_features, len(features), settings.seed, "scaled", "waves")
-
-    waves = cut(project(data).select("label", "weight", "waves"))
+    shape = {"svm_waves": settings.svm_features, "svm_seed": settings.seed}
+    waves = cut(_svm_waves(data, scale, len(features), **shape).select("label", "weight", "waves"))
     total = waves.agg(F.sum("weight")).first()[0]
-    margin = LinearSVC(
+    margin = PipelineModel([LinearSVC(
         featuresCol="waves", labelCol="label", weightCol="weight", regParam=1.0 / (settings.svm_c * total),
         rawPredictionCol="margins", predictionCol="svm_side", standardization=False, maxIter=100,
-    ).fit(waves)
-
-    def margins(df: DataFrame) -> DataFrame:
-        return margin.transform(df).withColumn("margin", vector_to_array("margins")[1])
-
+    ).fit(waves)])
     platt = Pipeline(stages=[
         VectorAssembler(inputCols=["margin"], outputCol="features"),
         LogisticRegression(featuresCol="features", labelCol="label", maxIter=100),
-    ]).fit(margins(waves))
+    ]).fit(_svm_margins(waves, margin))
+    stages = {"svm_scale": scale, "svm_margin": margin, "svm_probability": platt}
+    return Fitted("svm", _svm_scorer(stages, len(features), **shape), stages, {"svm_features": ",".join(features), **shape})
+
+
+def _svm_waves(df: DataFrame, scale: PipelineModel, inputs: int, svm_waves: int, svm_seed: int) -> DataFrame:
+    """The projection follows from the number of inputs and waves and the seed."""
+    return _fourier(scale.transform(df), svm_waves, inputs, svm_seed, "scaled", "waves")
+
+
+def _svm_margins(df: DataFrame, margin: PipelineModel) -> DataFrame:
+    return margin.transform(df).withColumn("margin", vector_to_array("margins")[1])
+
+
+def _svm_scorer(stages: dict[str, PipelineModel], inputs: int, svm_waves: int, svm_seed: int) -> Scorer:
+    probability = _probability(stages["svm_probability"])
 
     def score(df: DataFrame) -> DataFrame:
-        out = _probability(platt)(margins(project(df)))
+        out = probability(_svm_margins(_svm_waves(df, stages["svm_scale"], inputs, svm_waves, svm_seed), stages["svm_margin"]))
         return out.withColumn("prediction", F.col("svm_side").cast("int")).drop("scaled", "waves", "margins", "margin", "svm_side")
 
-    return Fitted("svm", score, {"svm_scale": scale, "svm_margin": PipelineModel([margin]), "svm_probability": platt})
+    return score
+
+
+def restored(name: str, stages: dict[str, PipelineModel], facts: dict[str, str]) -> Fitted:
+    """A classifier from its stored stages and facts; scores as before it was stored."""
+    if name != "svm":
+        return Fitted(name, _probability(stages[name]), stages, facts)
+    inputs = len(facts["svm_features"].split(","))
+    return Fitted(name, _svm_scorer(stages, inputs, int(facts["svm_waves"]), int(facts["svm_seed"])), stages, facts)
 
 
 FITTERS: dict[str, Callable[..., Fitted]] = {

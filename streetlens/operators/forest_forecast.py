@@ -31,6 +31,7 @@ def _pipeline(settings: config.PanelSettings) -> Pipeline:
         RandomForestRegressor(
             featuresCol="features", labelCol="count", predictionCol="yhat", numTrees=settings.trees,
             maxDepth=settings.max_depth, featureSubsetStrategy="all", minInstancesPerNode=1, seed=settings.seed,
+            maxBins=settings.max_bins,
         ),
     ])
 

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from streetlens import config
-from streetlens.functions import dates
 from streetlens.session import cut
 from streetlens.operators.numbering import numbered
 
@@ -134,8 +133,3 @@ def last_observed(history: DataFrame, key: str = "category", value: str = "count
     return history.groupBy(key).agg(
         F.max("month_date").alias("month_date"), F.max_by(value, "month_date").alias(value)
     )
-
-
-def months_ahead(panel: DataFrame, horizon: int) -> Column:
-    last = panel.agg(F.max("month_date")).scalar()
-    return dates.future_months(last, horizon)

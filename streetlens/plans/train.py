@@ -11,7 +11,7 @@ from streetlens import config
 from streetlens.operators import classify, forest_forecast, kmeans, metrics, quality
 from streetlens.operators import dbscan as density
 from streetlens.operators.aggregates import monthly_totals
-from streetlens.operators.panel import build_panel
+from streetlens.operators.panel import build_panel, distinct_pairs
 from streetlens.plans.forecast import ForecastRun, forecast_run
 from streetlens.session import cut
 from streetlens.sources import models, results
@@ -91,7 +91,12 @@ def rf_run(df: DataFrame, settings: config.PanelSettings = config.PANEL, folder:
         results.write_results(
             {"forecast_rf_metrics": forest.metrics, "forecast_rf_future": future, "forecast_rf_future_total": total}, base
         )
-        models.save_models(df.sparkSession, {"panel_forest": forest.model}, f"{base}/models/forest")
+        first = panel.agg(F.min("year")).first()[0]
+        models.save_models(
+            df.sparkSession, {"panel_forest": forest.model}, f"{base}/models/forest",
+            {"features": ",".join(forest_forecast.feature_names(settings)), "first_year_of_panel": first, "horizon": settings.horizon},
+        )
+        distinct_pairs(panel).write.mode("overwrite").parquet(f"{base}/models/forest/category_codes")
     return ForestRun(forest.metrics, future, total, forest)
 
 
@@ -114,5 +119,6 @@ def classify_run(df: DataFrame, settings: config.ClassifierSettings = config.CLA
         base = folder.rstrip("/")
         results.write_results({"classifier_metrics": run.metrics}, base)
         stages = {name: stage for fitted in run.fitted.values() for name, stage in fitted.stages.items()}
-        models.save_models(df.sparkSession, stages, f"{base}/models/classifiers")
+        facts = {k: v for fitted in run.fitted.values() for k, v in fitted.facts.items()}
+        models.save_models(df.sparkSession, stages, f"{base}/models/classifiers", facts)
     return run

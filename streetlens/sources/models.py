@@ -27,6 +27,11 @@ def load_facts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("name string, value string").json(f"{path.rstrip('/')}/facts")
 
 
+def facts_of(spark: SparkSession, path: str) -> dict[str, str]:
+    """The facts beside stored models; as many as were given when they were saved."""
+    return {r["name"]: r["value"] for r in load_facts(spark, path).collect()}
+
+
 def save_series_fits(fits: DataFrame, path: str) -> None:
     """Coefficients of per-series models as a table."""
     fits.write.mode("overwrite").parquet(path)

@@ -170,6 +170,39 @@ def test_rates_never_see_held_out_rows(view):
     assert a.exceptAll(b).count() == 0
 
 
+def test_stored_classifiers_score_as_before(spark, tmp_path, view):
+    rows = cut(priors.build_features(view.withColumn("is_test", F.lit(0)), view, keep=("id",)))
+    names = priors.feature_names()
+    for name in ("logistic_regression", "svm"):
+        fitted = classify.FITTERS[name](rows, names, SMALL)
+        models.save_models(spark, fitted.stages, str(tmp_path / name), fitted.facts)
+        stages = {stage: models.load_model(str(tmp_path / name), stage) for stage in fitted.stages}
+        again = classify.restored(name, stages, models.facts_of(spark, str(tmp_path / name)))
+        before = fitted.score(rows).select("id", "prediction", F.round("score", 9).alias("score"))
+        assert before.exceptAll(again.score(rows).select("id", "prediction", F.round("score", 9).alias("score"))).isEmpty()
+
+
+def test_unknown_class_weight_is_refused(view):
+    with pytest.raises(ValueError):
+        classify.fit_logistic(view.withColumn("label", F.col("is_violent")), ["latitude"], replace(SMALL, class_weight="subsample"))
+
+
+def test_order_search_takes_its_widths_from_the_settings(spark):
+    rng = np.random.default_rng(3)
+    y = np.zeros(240)
+    for t in range(4, 240):
+        y[t] = 0.5 * y[t - 1] - 0.4 * y[t - 4] + rng.normal()
+    series = spark.createDataFrame([("s", d, float(v)) for d, v in zip(months(240), 50 + y)], "key string, month_date date, y double")
+    # a candidate may turn out unstable, but then it only loses itself
+    for orders, max_d in ((((4, 0, 0), (1, 0, 3)), 1), (((1, 0, 0), (0, 0, 0)), 0)):
+        row = arima.arima_order_search(series, ["key"], replace(config.FORECAST, orders=orders, max_d=max_d)).first()
+        assert row["error"] is None and len(row["forecast"]) == 3 and (row["p"], row["q"]) in [(o[0], o[2]) for o in orders]
+    wide = arima.arima_order_search(series, ["key"], replace(config.FORECAST, orders=((1, 0, 3),), max_d=1)).first()
+    assert (wide["error"] is None) == (wide["forecast"] is not None)
+    best = arima.arima_order_search(series, ["key"], replace(config.FORECAST, orders=((4, 0, 0),), max_d=0)).first()
+    assert abs(best["coefficients"][1] - 0.5) < 0.15 and abs(best["coefficients"][4] + 0.4) < 0.15
+
+
 def test_build_then_dashboard(spark, folder, tmp_path):
     from streetlens.incident_view import nested_records
     from streetlens.sources import landing

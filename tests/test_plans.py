@@ -53,6 +53,9 @@ def test_counts_are_partial(stored):
 
 # sinks, learned models and checks that run jobs while they are being put together
 EAGER = {n for n in QUERIES if n not in SQL} | {
+    "kmeans_sweep", "adf_panel_lagged", "arima_order_search", "seasonal_trend_fit", "walk_forward_cv", "forecast_run", "build_then_train",
+    "logistic_regression", "random_forest_classifier", "gradient_boosting", "svm", "fit_classifiers", "rf_recursive_forecast", "rf_run",
+    "cluster_run", "metrics_tables", "cat_code", "build_panel",
     "scan_incident_json", "quarantine_corrupt", "land_month", "ingest_months", "load_raw", "save_clean", "persist_aggregates",
     "read_result_csv", "write_results", "export_filtered", "save_labels", "save_models", "incremental_load", "rf_panel_fit",
     "dbscan", "dbscan_with_border", "eps_neighbours", "silhouette_exact", "silhouette_fast", "davies_bouldin", "inertia",
