@@ -24,9 +24,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from streetlens.llm.remembered import Remembered
+from streetlens.llm.tables import text_batches
+
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
-REMEMBER = 300_000  # parts, and pairs, kept by a Python worker
+REMEMBER = 150_000  # words, and pairs, of a generation in a Python worker
 OUT_BYTES = 4 << 20
 
 
@@ -86,17 +89,21 @@ class Encoder:
         self.ids = {p: i for i, (p, k) in enumerate(zip(model.pieces, model.kinds)) if k == NORMAL}
         self.score = {p: model.scores[i] for p, i in self.ids.items()}
         self.byte = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(model.pieces, model.kinds)) if k == BYTE}
+        self.packed = {p: i.to_bytes(4, "little") for p, i in self.ids.items()}
         self.known = {c for p in self.ids for c in p if c in self.ids}
+        symbols = "".join(map(re.escape, sorted(self.known)))
+        self.split = re.compile(f"([{symbols}]+)|([^{symbols}])")
         self.machine = ahocorasick.Automaton()
         for p in self.ids:
             if set(p) <= self.known and (len(p) == 1 or merged(p, self.score) == [p]):  # pieces that merging can reach
                 self.machine.add_word(p, len(p))
         self.machine.make_automaton()
         self.shorter: dict[str, str | None] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.parts: dict[str, bytes] = {}
-        line = "\n" if "\n" not in self.known else ""
-        self.cut = re.compile(f"{SPACE}+[^{SPACE}{line}]*|[^{SPACE}{line}]+" + (f"|{line}" if line else ""))
+        self.pairs = Remembered(REMEMBER)  # whether two pieces stay apart
+        self.parts = Remembered(REMEMBER)  # of words behind a space symbol
+        self.starts = Remembered(REMEMBER // 8)  # of words at the start of a line
+        self.line = None if "\n" in self.known else self.byte[10].to_bytes(4, "little")
+        self.cut = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
         self.surface = [
             b"" if k == CONTROL else b" \xe2\x81\x87 " if k == UNKNOWN else bytes([int(p[3:5], 16)]) if k == BYTE
             else p.replace(SPACE, " ").encode()
@@ -113,67 +120,83 @@ class Encoder:
         """Whether the two pieces stay two when merged anew."""
         stays = self.pairs.get((left, right))
         if stays is None:
-            if len(self.pairs) >= REMEMBER:
-                self.pairs.clear()
-            stays = self.pairs[left, right] = merged(left + right, self.score) == [left, right]
+            stays = merged(left + right, self.score) == [left, right]
+            self.pairs.put((left, right), stays)
         return stays
 
     def _backtrack(self, text: str) -> list[str]:
-        longest = [0] * len(text)
-        for end, size in self.machine.iter(text):
-            start = end - size + 1
-            if size > longest[start]:
-                longest[start] = size
-        open_at = (1 << (len(text) + 1)) - 1
+        size = len(text)
+        longest = [0] * size
+        for end, many in self.machine.iter(text):
+            start = end - many + 1
+            if many > longest[start]:
+                longest[start] = many
+        shut = 0  # positions from which nothing fits
         out: list[str] = []
-        pos, piece = 0, text[: longest[0]]
-        while pos < len(text):
+        pos, piece, last = 0, text[: longest[0]], None
+        pairs = self.pairs.new
+        while pos < size:
             while piece is not None:
                 end = pos + len(piece)
-                if open_at >> end & 1 and (not out or self._apart(out[-1], piece)):
-                    break
+                if not (shut and shut >> end & 1):
+                    if last is None:
+                        break
+                    stays = pairs.get((last, piece))
+                    if stays or stays is None and self._apart(last, piece):
+                        break
                 piece = self._next_shorter(piece)
             if piece is None:
-                open_at &= ~(1 << pos)
+                shut |= 1 << pos
                 piece = out.pop()
                 pos -= len(piece)
+                last = out[-1] if out else None
             else:
                 out.append(piece)
-                pos = end
-                if pos < len(text):
+                last, pos = piece, end
+                if pos < size:
                     piece = text[pos : pos + longest[pos]]
         return out
 
     def _part(self, part: str) -> bytes:
-        out: list[int] = []
-        run = 0
-        for i in range(len(part) + 1):
-            if i == len(part) or part[i] not in self.known:
-                if i > run:
-                    known = part[run:i]
-                    # space runs have pieces of equal score, to which the pairwise test does not apply;
-                    # a giant part is merged directly, whose time does not depend on the bitfield's width
-                    direct = known.startswith(SPACE * 2) or len(known) > 1000
-                    out += [self.ids[p] for p in (merged(known, self.score) if direct else self._backtrack(known))]
-                if i < len(part):
-                    out += [self.byte[b] for b in part[i].encode("utf-8", "surrogatepass")]
-                run = i + 1
-        return b"".join(i.to_bytes(4, "little") for i in out)
+        if self.known.issuperset(part):
+            return self._known(part)
+        out: list[bytes] = []
+        for known, other in self.split.findall(part):
+            if known:
+                out.append(self._known(known))
+            else:
+                out += [self.byte[b].to_bytes(4, "little") for b in other.encode("utf-8", "surrogatepass")]
+        return b"".join(out)
+
+    def _known(self, part: str) -> bytes:
+        """Ids of symbols that the model all knows."""
+        # space runs have pieces of equal score, to which the pairwise test does not apply;
+        # a giant part is merged directly, whose time does not depend on the bitfield's width
+        if not part:
+            return b""
+        direct = part.startswith(SPACE * 2) or len(part) > 1000
+        return b"".join(map(self.packed.__getitem__, merged(part, self.score) if direct else self._backtrack(part)))
+
+    def _remembered(self, table: Remembered, words: list[str], prefix: str) -> bytes:
+        """Ids of words one after the other, each behind ``prefix``."""
+        table.turn()
+        for word in table.missing(set(words)):
+            table.new[word] = self._part(prefix + word)
+        return b"".join(map(table.new.__getitem__, words))
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers, with the begin and end ids."""
-        found = []
-        if text:
-            parts = self.parts
-            for part in self.cut.findall(SPACE + text.replace(" ", SPACE)):
-                ids = parts.get(part)
-                if ids is None:
-                    if len(parts) >= REMEMBER:
-                        parts.clear()
-                    ids = self._part(part)
-                    if len(part) < 64:
-                        parts[part] = ids
-                found.append(ids)
+        found: list[bytes] = []
+        if self.line is None or text[:1] == " " or "  " in text or SPACE in text:
+            found = [self._part(part) for part in self.cut.findall(SPACE + text.replace(" ", SPACE))] if text else []
+        elif text:  # single spaces only: parts are words, with a space symbol unless they start a line
+            for n, line in enumerate(text.split("\n")):
+                words = line.split(" ")
+                if n:
+                    found.append(self.line)
+                    found.append(self._remembered(self.starts, words[:1], ""))
+                    words = words[1:]
+                found.append(self._remembered(self.parts, words, SPACE))
         return b"".join([self.model.begin.to_bytes(4, "little"), *found, self.model.end.to_bytes(4, "little")])
 
     def decode(self, ids: Sequence[int]) -> str:
@@ -229,6 +252,7 @@ def encode_texts(docs: DataFrame, model_path: str, text: str = "text") -> DataFr
     empty. Columns of ``docs`` named like a result are replaced. The model file
     is read by the driver and sent with the tasks.
     """
+    text_batches(docs)
     model = MergeModel(model_path)
     names = [c for c in docs.columns if c not in (text, "n_tokens", "ids", "decoded", "_text")]
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name in names)
