@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from streetlens.llm.arrow import sorted_groups
 from streetlens.llm.substring_dedup import deep_nodes
+from streetlens.llm.tables import text_batches
 from streetlens.operators.joins import lookup_join
 
 RUN = 8  # words of a repeated run, at least
@@ -215,6 +216,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     are one host of their own. n_chars counts code points. Runs one job, which
     counts pages and characters per host.
     """
+    text_batches(pages)
     host = F.coalesce(F.lower(F.regexp_extract("url", "^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     pages = pages.select("page_id", "url", F.col("html").cast("string").alias("html")).withColumn("_host", F.xxhash64(host))
     sizes = pages.groupBy("_host").agg(

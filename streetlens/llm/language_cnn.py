@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from streetlens.llm.tables import text_batches
 from streetlens.llm.words import LOWER, text_buffers
 
 WINDOW = 256
@@ -193,6 +194,7 @@ def identify_language(docs: DataFrame, net: Network | None = None) -> DataFrame:
     doc_id do not enter a prediction. Columns of ``docs`` named like a result
     are replaced. Learning runs jobs.
     """
+    text_batches(docs)
     net = learn(docs) if net is None else net
     docs = docs.drop("held_out", "lang_pred", "score", "_text", "_lettered").withColumn(
         "held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from streetlens.llm.tables import stored
+from streetlens.llm.tables import stored, text_batches
 from streetlens.llm.words import U64, mix
 
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -169,6 +169,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float
     Columns of ``docs`` named like a result are replaced. Runs jobs.
     """
     spark = docs.sparkSession
+    text_batches(docs)
     docs = docs.drop("source_size", "target", "pieces", "_source", "_start", "_bucket", "_order")
     if "size" not in docs.columns:
         docs = docs.withColumn("size", word_count(F.col("text")))

@@ -17,7 +17,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-NODES = 2_000_000  # nodes kept by a Python worker before it starts anew
+from streetlens.llm.remembered import Remembered
+from streetlens.llm.tables import text_batches
+
+NODES = 400_000  # nodes kept by a Python worker before it starts a new trie
+COUNTS = 150_000  # terminal counts of a generation in a Python worker
 SHIFT = 2.7  # of the rank in the score
 
 
@@ -45,25 +49,25 @@ class Trie:
             for b in reversed(piece):
                 at = at[0].setdefault(b, [{}, None])
             at[1] = -math.log(rank + SHIFT)
+        self.counts = Remembered(COUNTS)
         self.clear()
 
     def clear(self) -> None:
-        self.children: list[dict[int, int]] = [{}]
+        self.edges: dict[int, int] = {}  # child by parent and byte
         self.best: list[float] = [0.0]
         self.tokens: list[int] = [0]
-        self.counts: dict[str, int] = {}
 
     def insert(self, text: str) -> int:
         """Number of tokens of a pre-token; only nodes that are new are computed."""
         raw = text.encode("utf-8", "surrogatepass")
-        children, best, tokens = self.children, self.best, self.tokens
+        edges, best, tokens = self.edges, self.best, self.tokens
         path = [0]
         node = 0
         for depth, b in enumerate(raw):
-            nxt = children[node].get(b)
+            nxt = edges.get(node << 8 | b)
             if nxt is None:
                 nxt = len(best)
-                children[node][b] = nxt
+                edges[node << 8 | b] = nxt
                 top, few = -math.inf, 0
                 at, k = self.root, depth
                 while k >= 0:
@@ -76,23 +80,19 @@ class Trie:
                         if score > top or score == top and many < few:
                             top, few = score, many
                     k -= 1
-                children.append({})
                 best.append(top)
                 tokens.append(few)
             node = nxt
             path.append(node)
-        self.counts[text] = tokens[node]  # the terminal's count
-        return tokens[node]
+        return tokens[node]  # the terminal's count
 
     def count(self, pretokens: list[str]) -> int:
-        counts = self.counts
-        for p in set(pretokens):
-            if p not in counts:
-                self.insert(p)
-        total = sum(map(counts.__getitem__, pretokens))
         if len(self.best) > NODES:
             self.clear()
-        return total
+        self.counts.turn()
+        for p in self.counts.missing(set(pretokens)):
+            self.counts.new[p] = self.insert(p)
+        return sum(map(self.counts.new.__getitem__, pretokens))
 
 
 _TRIES: dict[int, Trie] = {}
@@ -130,6 +130,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, pattern: str, text: str = "te
     the tasks; ``pattern`` cuts pre-tokens. A null or empty text has zeros.
     Columns of ``docs`` named like a result are replaced.
     """
+    text_batches(docs)
     names = [c for c in docs.columns if c not in (text, "n_pretokens", "n_tokens", "_text")]
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name in names)
     return docs.select(*names, F.col(text).cast("string").alias("_text")).mapInArrow(
