@@ -34,7 +34,8 @@ from streetlens.llm.words import U64, distinct, mix, shingles, word_chunks
 from streetlens.operators.components import connected_components
 from streetlens.session import cut
 
-FLUSH = 1 << 21  # entries held by a task before they are sent
+FLUSH = 1 << 20  # entries held by a task before they are sent
+PARTS = 256  # destinations of pieces, at least
 HOT = 64  # members of a piece in one flush beyond which the flush sends them apart
 SKETCH_BLOCK, SET_BLOCK = 1000, 600  # documents of a block; two blocks are compared at once
 OFTEN = 4  # documents of one flush from which a shingle counts as frequent
@@ -243,34 +244,39 @@ def _entries(measure: Measure, width: int, parts: int, frequent: np.ndarray):
 
 def _meet(batches):
     """Kind 0: (hub, member) of each piece's group. Kind 1: (key, member), kind 2: (key, hub) of keys that were hot in a task."""
-    for table, _ in sorted_groups(batches, ["part"]):
-        kind = table["kind"].to_numpy()
-        keys, docs = table["keys"].to_pylist(), table["docs"].to_pylist()
-        out = []
-        for k, d in ((keys[x], docs[x]) for x in np.flatnonzero(kind == 1)):
-            member = np.frombuffer(d, np.int64)
-            out.append((1, np.full(len(member), np.frombuffer(k, np.int64)[0]), member))
-        plain = [x for x in np.flatnonzero(kind != 1)]
-        if plain:
-            key = np.concatenate([np.frombuffer(keys[x], U64) for x in plain])
-            doc = np.concatenate([np.frombuffer(docs[x], np.int64) for x in plain])
-            hot = np.repeat(kind[plain] == 2, [len(keys[x]) // 8 for x in plain])
-            order = np.lexsort((doc, key))
-            key, doc, hot = key[order], doc[order], hot[order]
-            at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-            size = np.diff(np.append(at, len(key)))
-            hub = np.repeat(doc[at], size)
-            pairs = np.unique(np.stack([hub, doc], 1)[np.repeat(size > 1, size) & (hub != doc)], axis=0)
-            out.append((0, pairs[:, 0], pairs[:, 1]))
-            if hot.any():
-                told = np.logical_or.reduceat(hot, at)
-                out.append((2, key[at][told].view(np.int64), doc[at][told]))
-        for kind_of, x, y in out:
-            if len(x):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(x), kind_of, np.int32)), pa.array(np.ascontiguousarray(x)), pa.array(np.ascontiguousarray(y))],
-                    names=["kind", "x", "y"],
-                )
+    for table, starts in sorted_groups(batches, ["part"]):
+        kinds = table["kind"].to_numpy()
+        all_keys, all_docs = table["keys"], table["docs"]
+        for a, b in zip(starts[:-1], starts[1:]):  # one destination at a time bounds the memory
+            yield from _meet_at(kinds[a:b], all_keys.slice(a, b - a).to_pylist(), all_docs.slice(a, b - a).to_pylist())
+
+
+def _meet_at(kind: np.ndarray, keys: list[bytes], docs: list[bytes]) -> Iterator[pa.RecordBatch]:
+    out = []
+    for k, d in ((keys[x], docs[x]) for x in np.flatnonzero(kind == 1)):
+        member = np.frombuffer(d, np.int64)
+        out.append((1, np.full(len(member), np.frombuffer(k, np.int64)[0]), member))
+    plain = np.flatnonzero(kind != 1)
+    if len(plain):
+        key = np.concatenate([np.frombuffer(keys[x], U64) for x in plain])
+        doc = np.concatenate([np.frombuffer(docs[x], np.int64) for x in plain])
+        hot = np.repeat(kind[plain] == 2, [len(keys[x]) // 8 for x in plain])
+        order = np.lexsort((doc, key))
+        key, doc, hot = key[order], doc[order], hot[order]
+        at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        size = np.diff(np.append(at, len(key)))
+        hub = np.repeat(doc[at], size)
+        pairs = np.unique(np.stack([hub, doc], 1)[np.repeat(size > 1, size) & (hub != doc)], axis=0)
+        out.append((0, pairs[:, 0], pairs[:, 1]))
+        if hot.any():
+            told = np.logical_or.reduceat(hot, at)
+            out.append((2, key[at][told].view(np.int64), doc[at][told]))
+    for kind_of, x, y in out:
+        if len(x):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(x), kind_of, np.int32)), pa.array(np.ascontiguousarray(x)), pa.array(np.ascontiguousarray(y))],
+                names=["kind", "x", "y"],
+            )
 
 
 def _packed_sets(width: int):
@@ -429,7 +435,8 @@ def jaccard_components(docs: DataFrame, num: int = 75, den: int = 100, width: in
         .filter("doc_id <> head").select("doc_id", "head").distinct()
     )
 
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # destinations of pieces; a pair that meets in several of one destination leaves it once
+    parts = max(PARTS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     met = cut(
         docs.filter("doc_id is not null")
         .mapInArrow(_entries(measure, width, parts, frequent), "kind int, part int, keys binary, docs binary")
