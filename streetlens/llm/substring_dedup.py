@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streetlens.llm.arrow import sorted_groups
-from streetlens.llm.tables import stored
+from streetlens.llm.tables import stored, text_batches
 from streetlens.llm.words import U64, WORDS, Powers, find_words, mix, range_hash, word_chunks, text_buffers
 
 GRAM = 10
@@ -166,19 +166,23 @@ def repeated_windows(docs: DataFrame, depth: int = 50) -> DataFrame:
     """
     docs = docs.filter("doc_id is not null and text is not null")
     runs = docs.select("doc_id", "uid", "text").mapInArrow(_anchors(depth), "a long, c long, " + SPAN)
-    met = runs.groupBy("a").agg(
-        F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1"), F.min("c").alias("c0"), F.max("c").alias("c1")
-    ).filter("d0 < d1")
+    # totals are stored before they are joined back: a join of plain exchanges lets Spark split a hot key
+    met = stored(
+        runs.groupBy("a").agg(
+            F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1"), F.min("c").alias("c0"), F.max("c").alias("c1")
+        ).filter("d0 < d1"),
+        "met",
+    )
     shared = stored(
         runs.join(met, "a").select("a", "c", "doc_id", "uid", "lo", "n", "d0", (F.col("c0") == F.col("c1")).alias("alike")), "shared"
     )
     span = ["doc_id", "uid", "lo", "n"]
     alike = shared.filter("alike and doc_id > d0").select(span)
     mixed = shared.filter("not alike").drop("alike", "d0")
-    owned = mixed.join(mixed.groupBy("a", "c").agg(F.min("doc_id").alias("owner")), ["a", "c"])
+    owned = mixed.join(stored(mixed.groupBy("a", "c").agg(F.min("doc_id").alias("owner")), "owners"), ["a", "c"])
     copied = owned.filter("doc_id > owner").select(span)
     own = owned.filter("doc_id = owner").drop("owner")
-    wide = own.groupBy("a").agg(F.count("*").alias("k")).filter(F.col("k") > GROUP).select("a", F.lit(True).alias("wide"))
+    wide = stored(own.groupBy("a").agg(F.count("*").alias("k")).filter(F.col("k") > GROUP).select("a", F.lit(True).alias("wide")), "wide")
     wanted = own.join(wide, "a", "left").groupBy("doc_id", "uid").agg(
         F.collect_list(F.struct("a", "lo", "n", F.coalesce("wide", F.lit(False)).alias("wide"))).alias("wanted")
     )
@@ -190,7 +194,7 @@ def repeated_windows(docs: DataFrame, depth: int = 50) -> DataFrame:
     )
     grown = contexts.filter("kind = 0").repartition("k1").sortWithinPartitions("k1").mapInArrow(_subtrees(depth), SPAN)
     long = contexts.filter("kind = 1")
-    nodes = long.groupBy("k1", "k2").agg(F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1")).filter("d0 < d1")
+    nodes = stored(long.groupBy("k1", "k2").agg(F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1")).filter("d0 < d1"), "nodes")
     split = long.join(nodes, ["k1", "k2"]).filter("doc_id > d0").select(span)
     return alike.unionByName(copied).unionByName(grown).unionByName(split)
 
@@ -234,6 +238,7 @@ def remove_repeats(docs: DataFrame, depth: int = 50) -> DataFrame:
     like a result are replaced. Runs several jobs.
     """
     out = ("n_words", "n_removed", "kept")
+    text_batches(docs)
     docs = docs.drop(*out, "_uid", "_spans").withColumn("_uid", F.xxhash64("text"))
     found = repeated_windows(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_uid").alias("uid"), F.col("text").cast("string").alias("text")), depth
