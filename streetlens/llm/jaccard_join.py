@@ -34,7 +34,7 @@ from streetlens.llm.words import U64, distinct, mix, shingles, word_chunks
 from streetlens.operators.components import connected_components
 from streetlens.session import cut
 
-FLUSH = 1 << 20  # entries held by a task before they are sent
+FLUSH = 1 << 19  # entries held by a task before they are sent
 PARTS = 256  # destinations of pieces, at least
 HOT = 64  # members of a piece in one flush beyond which the flush sends them apart
 SKETCH_BLOCK, SET_BLOCK = 1000, 600  # documents of a block; two blocks are compared at once
