@@ -183,14 +183,13 @@ def main_texts(pages: list[str | None]) -> list[str]:
     covered = repeated_words(words, np.array(page, np.int64)) if words else np.zeros(0, bool)
     out, at = [], 0
     for own in blocks:
-        has_article = any(place == ARTICLE for place, _ in own)
         kept = []
         for place, text in own:
             lo, hi = spans[at]
             at += 1
             if place == ARTICLE:
                 kept.append(text)
-            elif place == OTHER and not has_article:
+            elif place == OTHER:
                 unique = " ".join(w for w, c in zip(words[lo:hi], covered[lo:hi]) if not c)
                 if unique:
                     kept.append(unique)

@@ -265,6 +265,12 @@ def test_repeated_runs_go_outside_articles():
     assert main_texts(pages[:1]) == [f"{notice}\nu0 v0 {notice} w0"]
 
 
+def test_text_beside_an_article_stays():
+    notice = "please read our terms of use before going on with this site"
+    pages = [f"<body><div>{notice}</div><div>u{k} v{k}</div><article>card {k}</article></body>" for k in range(3)]
+    assert main_texts(pages) == [f"u{k} v{k}\ncard {k}" for k in range(3)]
+
+
 def test_pages_of_odd_rows(spark):
     rows = [(1, "http://a/1", PAGE), (2, None, None), (None, "http://a/2", ""), (1, "http://a/1", PAGE), (3, "x", "<article>" + "<p>w" * 20000)]
     got = sorted(((r["page_id"], r["text"], r["n_chars"]) for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1))).collect()), key=str)
