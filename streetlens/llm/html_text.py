@@ -38,8 +38,8 @@ ARTICLE, CHROME, OTHER = 0, 1, 2
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp noframes".split())
 SKIPPED = set(
-    "head script style noscript template iframe object svg math canvas audio video form button select option textarea input label "
-    "fieldset nav footer aside menu dialog figure-menu".split()
+    "head script style noscript template iframe object svg canvas audio video form button select option textarea input label "
+    "fieldset nav footer aside menu dialog figure-menu annotation annotation-xml".split()
 )
 BLOCKS = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 "
@@ -54,6 +54,7 @@ CHROME_WORDS = set(
     "sharing related recommended breadcrumb breadcrumbs newsletter subscribe subscription signup login search toolbar pagination pager "
     "copyright widget widgets skip".split()
 )
+NEGATIONS = set("has no not with without hide".split())  # has-sidebar, layout-no-sidebar: words on the layout
 CHROME_ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
@@ -62,27 +63,38 @@ ATTRIBUTE = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\
 WORD = re.compile(r"[a-z]+")
 
 
-def _is_chrome(tag: str, attributes: str, in_article: bool) -> bool:
+def _named_chrome(value: str) -> bool:
+    words = [WORD.findall(name) for name in value.lower().split()]
+    return any(w in CHROME_WORDS and (k == 0 or own[k - 1] not in NEGATIONS) for own in words for k, w in enumerate(own))
+
+
+def _chrome(tag: str, attributes: str, in_article: bool) -> int:
+    """Whether an element starts something left out: 0 no, 1 by element, state or role, 2 by its class or id alone."""
     if tag in SKIPPED:
-        return True
+        return 1
     if tag == "header":
-        return not in_article
+        return int(not in_article)
     if not attributes or tag in ("html", "body"):
-        return False
+        return 0
     given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
     if "hidden" in given or given.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", given.get("style", ""), re.I):
-        return True
+        return 1
     if given.get("role", "").lower() in CHROME_ROLES:
-        return True
+        return 1
     if tag == "main":
-        return False
-    return any(CHROME_WORDS.intersection(WORD.findall(given.get(k, "").lower())) for k in ("class", "id"))
+        return 0
+    return 2 * any(_named_chrome(given.get(k, "")) for k in ("class", "id"))
 
 
 def page_blocks(source: str) -> Iterator[tuple[int, str]]:
-    """(place, text) of the page's blocks in order; texts have decoded references and single spaces."""
-    stack: list[tuple[str, bool]] = []  # open elements and whether each starts something left out
-    inside = left_out = 0
+    """(place, text) of the page's blocks in order; texts have decoded references and single spaces.
+
+    What an element's class or id says does not reach into an article or main
+    element below it, unless an article is around both.
+    """
+    # open elements, whether each starts something left out, and the marks by class or id that it set aside
+    stack: list[tuple[str, int, int]] = []
+    inside = articles = left_out = named = 0
     pieces: list[str] = []
     out: list[tuple[int, str]] = []
 
@@ -91,14 +103,16 @@ def page_blocks(source: str) -> Iterator[tuple[int, str]]:
             text = " ".join("".join(pieces).split())
             pieces.clear()
             if text:
-                out.append((CHROME if left_out else ARTICLE if inside else OTHER, text))
+                out.append((CHROME if left_out or named else ARTICLE if inside else OTHER, text))
 
     def pop(to: int) -> None:
-        nonlocal inside, left_out
+        nonlocal inside, articles, left_out, named
         while len(stack) > to:
-            name, chrome = stack.pop()
-            left_out -= chrome
+            name, chrome, aside = stack.pop()
+            left_out -= chrome == 1
+            named += aside - (chrome == 2)
             inside -= name in ("article", "main")
+            articles -= name == "article"
 
     at, end = 0, len(source)
     while at < end:
@@ -139,10 +153,13 @@ def page_blocks(source: str) -> Iterator[tuple[int, str]]:
                     break
         if m[3].rstrip().endswith("/") and tag in ("svg", "math", "iframe", "object"):
             continue
-        chrome = _is_chrome(tag, m[3], inside > 0)
-        stack.append((tag, chrome))
-        left_out += chrome
+        chrome = _chrome(tag, m[3], inside > 0)
+        aside = named if tag in ("article", "main") and not articles else 0
+        stack.append((tag, chrome, aside))
+        left_out += chrome == 1
+        named += (chrome == 2) - aside
         inside += tag in ("article", "main")
+        articles += tag == "article"
         if tag in RAW:  # its content is no markup
             stop = re.compile(f"</{tag}[\\s/>]", re.I).search(source, at)
             at = stop.start() if stop else end

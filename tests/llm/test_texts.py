@@ -271,6 +271,20 @@ def test_text_beside_an_article_stays():
     assert main_texts(pages) == [f"u{k} v{k}\ncard {k}" for k in range(3)]
 
 
+@pytest.mark.parametrize("around", ['div class="has-sidebar"', 'div id="layout-no-sidebar"', 'div class="search-result-page"', 'div class="social"'])
+def test_names_of_a_wrapper_leave_its_article(around):
+    page = f'<body><{around}><article><p>text<div class="comments"><article>reply</article></div></article><p>end</div><p>after'
+    assert [t for place, t in page_blocks(page) if place == 0] == ["text"]
+    assert [t for place, t in page_blocks(f"<{around}><main>text</main></div>") if place == 0] == ["text"]
+    assert (2, "after") in page_blocks(page) and ((2, "end") in page_blocks(page)) == ("sidebar" in around)
+    assert [place for place, _ in page_blocks(f"<aside><{around}><article>card</article></div></aside>")] == [1]
+
+
+def test_formulas_stay():
+    page = "<article><p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds</article>"
+    assert main_texts([page])[0].replace(" ", "").replace("\n", "") == "sox=2holds"
+
+
 def test_pages_of_odd_rows(spark):
     rows = [(1, "http://a/1", PAGE), (2, None, None), (None, "http://a/2", ""), (1, "http://a/1", PAGE), (3, "x", "<article>" + "<p>w" * 20000)]
     got = sorted(((r["page_id"], r["text"], r["n_chars"]) for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1))).collect()), key=str)
