@@ -1,15 +1,17 @@
-"""Main text of web pages, with a suffix array over the pages of a host.
+"""Main text of web pages, with the repeated runs of words of a host's pages.
 
 A page is cut into blocks, each with its place: inside the article, inside a
 menu, footer, advert and the like, or elsewhere. The words of all blocks of a
-host's pages, one behind the other, make a token stream; its suffix array, cut
-at ``RUN`` words, shows which runs of words stand on several pages. Blocks
-inside the article are kept whole, because articles may quote each other;
-blocks in a menu, footer and so on go; of all other blocks the words covered by
-repeated runs go and the unique runs stay.
-
-A large host is split into parts of bounded size by the hash of the page; what
-a template repeats is repeated in every part.
+page, one behind the other, are its token stream. Blocks inside the article are
+kept whole, because articles may quote each other; blocks in a menu, footer and
+so on go; of all other blocks the words covered by a run of ``RUN`` words that
+also stands on another page of the host go and the unique ones stay.
+
+Spark finds the runs over whole hosts, however large: only runs that touch a
+block of the third kind can take words away, so these are aggregated first; the
+ones met on a single page are then looked up among all other runs. A suffix
+array over the streams of a host, cut at ``RUN`` words, gives the same answer in
+memory (``main_texts``).
 """
 
 from __future__ import annotations
@@ -23,14 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streetlens.llm.arrow import sorted_groups
 from streetlens.llm.substring_dedup import deep_nodes
-from streetlens.llm.tables import text_batches
-from streetlens.operators.joins import lookup_join
+from streetlens.llm.tables import stored, text_batches
+from streetlens.llm.words import U64, WORDS, distinct, mix, range_hash, word_chunks
+from streetlens.operators.joins import BROADCAST_ROWS, lookup_join
 
 RUN = 8  # words of a repeated run, at least
-PART_PAGES = 250
-PART_BYTES = 4 << 20
+SPAN_ROWS = 20_000  # pages whose covered words are broadcast, at most
 
 ARTICLE, CHROME, OTHER = 0, 1, 2
 
@@ -187,58 +188,116 @@ def repeated_words(words: list[str], page: np.ndarray, run: int = RUN) -> np.nda
     return np.cumsum(change[:-1]) > 0
 
 
+def _kept(own: list[tuple[int, str]], covered: np.ndarray) -> str:
+    """The page's text, given which of its words are covered."""
+    kept, at = [], 0
+    for place, text in own:
+        words = text.split(" ")
+        if place == ARTICLE:
+            kept.append(text)
+        elif place == OTHER:
+            unique = " ".join(w for w, c in zip(words, covered[at : at + len(words)]) if not c)
+            if unique:
+                kept.append(unique)
+        at += len(words)
+    return "\n".join(kept)
+
+
 def main_texts(pages: list[str | None]) -> list[str]:
-    """Main text of each page of (a part of) one host."""
+    """Main text of each page of one host, in memory."""
     blocks = [list(page_blocks(p or "")) for p in pages]
-    words, page, spans = [], [], []
+    words, page, first = [], [], [0]
     for k, own in enumerate(blocks):
         for _, text in own:
-            w = text.split(" ")
-            spans.append((len(words), len(words) + len(w)))
-            words += w
-            page += [k] * len(w)
+            words += text.split(" ")
+        page += [k] * (len(words) - first[-1])
+        first.append(len(words))
     covered = repeated_words(words, np.array(page, np.int64)) if words else np.zeros(0, bool)
-    out, at = [], 0
-    for own in blocks:
-        kept = []
-        for place, text in own:
-            lo, hi = spans[at]
-            at += 1
-            if place == ARTICLE:
-                kept.append(text)
-            elif place == OTHER:
-                unique = " ".join(w for w, c in zip(words[lo:hi], covered[lo:hi]) if not c)
-                if unique:
-                    kept.append(unique)
-        out.append("\n".join(kept))
-    return out
+    return [_kept(own, covered[lo:hi]) for own, lo, hi in zip(blocks, first[:-1], first[1:])]
 
 
-def _extract(batches):
-    for table, starts in sorted_groups(batches, ["_host", "_part"]):
-        pages = table["html"].to_pylist()
-        texts = []
-        for a, b in zip(starts[:-1], starts[1:]):
-            texts += main_texts(pages[a:b])
+def _blocks(batches):
+    """Blocks of each page: a digit for each place, and the texts, one a line."""
+    for batch in batches:
+        blocks = [list(page_blocks(p or "")) for p in batch["html"].to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [table["page_id"].combine_chunks(), table["url"].combine_chunks(), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
+            [*(batch[c] for c in ("page_id", "url", "_host", "_uid")), pa.array(["".join(str(p) for p, _ in own) for own in blocks], pa.string()),
+             pa.array(["\n".join(t for _, t in own) for own in blocks], pa.string())],
+            names=["page_id", "url", "_host", "_uid", "_places", "_texts"],
         )
 
 
+def _runs(other: bool):
+    """Runs of ``RUN`` words: those that touch a block elsewhere, with their first word, or the others, once a page."""
+
+    def run(batches):
+        for batch in batches:
+            host, uid = batch["_host"].to_numpy().view(U64), batch["_uid"].to_numpy()
+            places = batch["_places"].to_pylist()
+            for i, j, words in word_chunks(batch["_texts"]):
+                row, n = words.row, len(words.starts)
+                if n < RUN:
+                    continue
+                # a line break or a row's end ends a block; a row without blocks counts as one
+                block = np.cumsum(words.data == 0x0A)[words.starts] + row
+                elsewhere = np.frombuffer("".join(p or str(CHROME) for p in places[i:j]).encode(), np.uint8)[block] == ord(str(OTHER))
+                before = np.append(0, np.cumsum(elsewhere))
+                start = np.flatnonzero((row[: n - RUN + 1] == row[RUN - 1 :]) & ((before[RUN:] > before[:-RUN]) == other))
+                if not len(start):
+                    continue
+                r = row[start]
+                key = mix(range_hash(words.hashes(), WORDS, start, start + RUN) ^ mix(host[i:j][r]))
+                if other:
+                    at = [pa.array((start - words.first[r]).astype(np.int32))]
+                else:
+                    at, (key, r) = [], distinct(key, r)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key.view(np.int64)), pa.array(uid[i:j][r]), *at], names=["run", "_uid", "at"][: 2 + other]
+                )
+
+    return run
+
+
+def repeated_runs(blocks: DataFrame) -> DataFrame:
+    """(_uid, at): first words of the runs touching a block elsewhere that stand on two pages of the host, at least."""
+    streams = blocks.select("_host", "_uid", "_places", "_texts")
+    other = streams.filter(F.col("_places").contains(str(OTHER))).mapInArrow(_runs(True), "run long, _uid long, at int")
+    met = stored(other.groupBy("run").agg(F.min("_uid").alias("u0"), F.max("_uid").alias("u1")), "met")
+    once = met.filter("u0 = u1").select("run", "u0")
+    rest = streams.mapInArrow(_runs(False), "run long, _uid long")
+    seen = lookup_join(rest, once, ["run"], "inner", known_rows=once.limit(BROADCAST_ROWS + 1).count())
+    repeated = met.filter("u0 < u1").select("run").unionByName(seen.filter("_uid <> u0").select("run").distinct())
+    return lookup_join(other, repeated, ["run"], "inner").select("_uid", "at")
+
+
+def _extract(batches):
+    for batch in batches:
+        texts = []
+        for places, lines, at in zip(batch["_places"].to_pylist(), batch["_texts"].to_pylist(), batch["_at"]):
+            own = list(zip(map(int, places), lines.split("\n")))
+            change = np.zeros(lines.count(" ") + len(own) + 1, np.int64)
+            if at.is_valid:
+                lo = at.values.to_numpy()
+                np.add.at(change, lo, 1)
+                np.add.at(change, lo + RUN, -1)
+            texts.append(_kept(own, np.cumsum(change[:-1]) > 0))
+        yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+
+
 def extract_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages`` (page_id, url, html).
 
     A null or empty page has an empty text. Pages without a host in their url
-    are one host of their own. n_chars counts code points. Runs one job, which
-    counts pages and characters per host.
+    are one host of their own. Rows that are equal in all three columns are one
+    page. Runs hashed alike (64 bits) count as equal. n_chars counts code points.
+    Runs several jobs; the blocks are stored in the shared folder.
     """
     text_batches(pages)
     host = F.coalesce(F.lower(F.regexp_extract("url", "^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
-    pages = pages.select("page_id", "url", F.col("html").cast("string").alias("html")).withColumn("_host", F.xxhash64(host))
-    sizes = pages.groupBy("_host").agg(
-        F.greatest(F.ceil(F.count("*") / PART_PAGES), F.ceil(F.sum(F.octet_length("html")) / PART_BYTES), F.lit(1)).cast("int").alias("_parts")
-    )
-    split = lookup_join(pages, sizes, ["_host"]).withColumn("_part", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("_parts", F.lit(1))).cast("int"))
-    schema = f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string"
-    texts = split.select("page_id", "url", "html", "_host", "_part").repartition("_host", "_part").sortWithinPartitions("_host", "_part")
-    return texts.mapInArrow(_extract, schema).withColumn("n_chars", F.char_length("text").cast("long"))
+    pages = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
+    pages = pages.withColumns({"_host": F.xxhash64(host), "_uid": F.xxhash64("page_id", "url", "html")})
+    ids = f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string"
+    blocks = stored(pages.mapInArrow(_blocks, f"{ids}, _host long, _uid long, _places string, _texts string"), "blocks")
+    spans = repeated_runs(blocks).groupBy("_uid").agg(F.collect_set("at").alias("_at"))
+    found = lookup_join(blocks, spans, ["_uid"], max_rows=SPAN_ROWS).select("page_id", "url", "_places", "_texts", "_at")
+    return found.mapInArrow(_extract, f"{ids}, text string").withColumn("n_chars", F.char_length("text").cast("long"))

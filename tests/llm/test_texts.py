@@ -285,6 +285,24 @@ def test_formulas_stay():
     assert main_texts([page])[0].replace(" ", "").replace("\n", "") == "sox=2holds"
 
 
+def test_runs_are_found_over_the_whole_host(spark):
+    # a notice on few pages, a menu's and an article's words elsewhere: as on one host in memory, however large
+    rng = random.Random(9)
+    word = lambda: "w%d" % rng.randrange(10**6)
+    make = lambda n: " ".join(word() for _ in range(n))
+    notice, quoted, listed = make(12), make(15), make(9)
+    pages = []
+    for k in range(1200):
+        extra = notice if k in (3, 900) else quoted if k == 40 else listed if k == 77 else make(3)
+        tail = f"<article>{quoted}</article>" if k == 800 else f"<nav>{listed}</nav>" if k == 1100 else ""
+        pages.append(f"<body><div>{make(20)}</div><p>{extra}<p>{make(2)}{tail}")
+    rows = [(k, f"http://a/{k}", p) for k, p in enumerate(pages)] + [(5000, "http://b/1", f"<p>{notice}")]
+    got = {r["page_id"]: r["text"] for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    want = main_texts(pages)
+    assert got == {**dict(enumerate(want)), 5000: notice}
+    assert not any(x in want[k] for k, x in ((3, notice), (900, notice), (40, quoted), (77, listed))) and quoted in want[800]
+
+
 def test_pages_of_odd_rows(spark):
     rows = [(1, "http://a/1", PAGE), (2, None, None), (None, "http://a/2", ""), (1, "http://a/1", PAGE), (3, "x", "<article>" + "<p>w" * 20000)]
     got = sorted(((r["page_id"], r["text"], r["n_chars"]) for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1))).collect()), key=str)
