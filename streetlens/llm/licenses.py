@@ -1,8 +1,10 @@
 """Licence scans by sentences, in DataFrame functions only.
 
 Texts are cut into sentences, which are normalised; known ones become
-identifiers, all others one mark. The sequence of a document is then matched
-against ordered rules: a rule lists the identifiers that must follow each other,
+identifiers. Line ends separate sentences, but a known one may also run over
+several lines, with or without comment marks: it starts and ends at a sentence's
+end, a blank line or a line's end, and between its words lines may end. The
+sequence of a document is then matched against ordered rules: a rule lists the identifiers that must follow each other,
 with any number of other sentences in between. The sentences of a rule that
 matched do not count again for a later one.
 """
@@ -20,6 +22,15 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # where a sentence ends: a mark and white space, or a line's end
 END, END_TO = "([.!?;])[\\x20\\x09-\\x0D]+", "\n"
 
+# Comment marks that would end a sentence or add a word to it; other marks vanish when words are normalised.
+MARKS = "(?md)^[\\x20\\x09]*(?:[;!]+|rem|dnl)(?=[\\x20\\x09\\n]|$)"
+# Steps from lower-case text to words and breaks (capitals, as the text has none): P at blank lines, H at sentence ends, S at line ends.
+# A web address that stands alone on its line belongs to the words before it.
+BREAKS = [
+    ("\\r\\n", "\n"), (MARKS, ""), ("[.!?;][\\x20\\x09-\\x0D]+", "H"), ("\\n[^a-z0-9H]*\\n", "P"), ("[P\\n][^a-z0-9HP\\n]*(?=https?://)", "S"),
+    ("\\n", "S"), ("[^a-z0-9HPS]+", " "), (" ?([HPS]) ?", "$1"),
+]
+
 # Sentences of public licences and notices, by identifier.
 SENTENCES = {
     "apache_notice": "Licensed under the Apache License, Version 2.0.",
@@ -125,30 +136,41 @@ def plain(text: str) -> str:
     return " ".join("".join(c if c in LOWER or c in "0123456789" else " " for c in lowered).split())
 
 
-def sentence_codes(text: Column, rules: Rules) -> Column:
-    """Code of each sentence with a letter or digit, ``-`` for an unknown one."""
+def sentence_count(text: Column) -> Column:
+    """Number of sentences with a letter or digit, cut at every line's end."""
     lines = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), END, "$1" + END_TO), "\n")
     normal = F.transform(lines, lambda s: F.trim(F.regexp_replace(F.translate(s, UPPER, LOWER), "[^a-z0-9]+", " ")))
-    known = rules.known()
-    names, codes = F.lit(list(known)), F.lit(list(known.values()))
-    code = lambda s: F.coalesce(F.get(codes, F.array_position(names, s).cast("int") - 1), F.lit("-"))
-    return F.transform(F.filter(normal, lambda s: s != ""), code)
+    return F.size(F.filter(normal, lambda s: s != ""))
+
+
+def known_sentences(text: Column, rules: Rules) -> Column:
+    """The known sentences in order, in normal form but with S where a line ends inside."""
+    words = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    for pattern, to in BREAKS:
+        words = F.regexp_replace(words, pattern, to)
+    # of two that start alike, the longer one
+    known = "|".join(s.replace(" ", "[ S]+") for s in sorted(rules.known(), key=len, reverse=True) if s) or "(?!)"
+    return F.regexp_extract_all(F.concat(F.lit("H"), F.trim(words), F.lit("H")), F.lit(f"(?<=[HPS])(?:{known})(?=[HPS])"), 0)
 
 
 def scan_licenses(docs: DataFrame, rules: Rules = RULES_OF_NOTICES, text: str = "text") -> DataFrame:
     """``docs`` with n_sentences, n_known, found_rules and licenses (arrays in order of the rules).
 
-    A rule counts once per document. A text that is null or has no sentence has
+    n_sentences counts lines as sentences of their own, except the lines of one
+    known sentence. A rule counts once per document. A text that is null or has no sentence has
     zeros and empty arrays. Columns of ``docs`` named like a result are
     replaced.
     """
-    docs = docs.drop("n_sentences", "n_known", "found_rules", "licenses", "_codes", "_left", "_hits")
-    docs = docs.withColumn("_codes", sentence_codes(F.col(text), rules))
+    docs = docs.drop("n_sentences", "n_known", "found_rules", "licenses", "_known", "_left", "_hits")
+    docs = docs.withColumn("_known", known_sentences(F.col(text), rules))
+    known = rules.known()
+    names, codes = F.lit(list(known)), F.lit(list(known.values()))
+    code = lambda s: F.get(codes, F.array_position(names, F.regexp_replace(s, "[ S]+", " ")).cast("int") - 1)
+    joined = F.aggregate("_known", F.lit(0), lambda n, s: n + F.size(F.split(s, "S+")) - 1)
     # only known sentences are kept in the sequence: a rule allows others in between
-    known = F.filter("_codes", lambda c: c != "-")
     docs = docs.select(
-        "*", F.size("_codes").cast("long").alias("n_sentences"), F.size(known).cast("long").alias("n_known"),
-        F.array_join(F.transform(known, lambda c: F.concat(F.lit("<"), c, F.lit(">"))), "").alias("_left"),
+        "*", (sentence_count(F.col(text)) - joined).cast("long").alias("n_sentences"), F.size("_known").cast("long").alias("n_known"),
+        F.array_join(F.transform("_known", lambda s: F.concat(F.lit("<"), code(s), F.lit(">"))), "").alias("_left"),
     )
     # rules take turns on what the rules before have left of the sequence
     state = F.struct(F.col("_left").alias("left"), F.array().cast("array<int>").alias("hits"))
@@ -166,4 +188,4 @@ def scan_licenses(docs: DataFrame, rules: Rules = RULES_OF_NOTICES, text: str =
     return docs.withColumns({
         "found_rules": F.transform("_hits", lambda k: F.get(rule_names, k)),
         "licenses": F.array_distinct(F.transform("_hits", lambda k: F.get(licences, k))),
-    }).drop("_codes", "_left", "_hits")
+    }).drop("_known", "_left", "_hits")

@@ -326,6 +326,77 @@ def test_rules_take_sentences_in_order(spark):
         Rules({"a": "One."}, [("x", "L", ["b"])])
 
 
+MIT = """Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_3 = BSD + """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+
+
+def test_licences_over_several_lines(spark):
+    want = {MIT: ("mit_text", 3), BSD: ("bsd_2_text", 3), BSD_3: ("bsd_3_text", 4), ISC: ("isc_text", 1), GPL: ("gpl_3_later_header", 2), APACHE: ("apache_header", 5)}
+    marks = ["{}", "# {}", " * {}", "// {}", ";; {}", "! {}", "dnl {}", "REM {}", "<!-- {} -->", "{}\r"]
+    rows = [(text, "\n".join(m.format(line) for line in text.split("\n"))) for text in want for m in marks]
+    rows += [(text, f"/*\n{text}\n */\nint x;") for text in want]
+    docs = spark.createDataFrame([(n, t) for n, (_, t) in enumerate(rows)], "doc_id long, text string")
+    for r in scan_licenses(docs).collect():
+        rule, known = want[rows[r["doc_id"]][0]]
+        assert (r["found_rules"], r["n_known"]) == ([rule], known), rows[r["doc_id"]][1]
+
+
+def test_lines_of_a_known_sentence_count_once(spark):
+    rules = Rules({"a": "First one.", "b": "First one is here."}, [("a", "L1", ["a"]), ("b", "L2", ["b"])])
+    rows = [(1, "first\none. x"), (2, "first\n\none"), (3, "no first\none"), (4, "x\nfirst one\nis here\ny"), (5, "\n" * 30000 + "first one")]
+    got = {r["doc_id"]: (r["n_sentences"], r["n_known"], r["found_rules"]) for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), rules).collect()}
+    assert got == {1: (2, 1, ["a"]), 2: (2, 0, []), 3: (2, 0, []), 4: (3, 1, ["b"]), 5: (1, 1, ["a"])}
+
+
 def test_native_plans_have_no_python(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     for frame in (scan_licenses(docs), fingerprints(docs)):
