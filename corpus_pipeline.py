@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from streetlens.llm.jaccard_join import jaccard_components
@@ -18,6 +18,7 @@ from streetlens.llm.mixing import mixed_documents
 from streetlens.llm.piece_bpe import encode_texts
 from streetlens.llm.substring_dedup import remove_repeats
 from streetlens.llm.tables import stored
+from streetlens.operators.joins import lookup_join
 
 MIN_SCORE = 0.4  # below it, no learned language has a fair majority of the text's windows
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -29,8 +30,21 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return identify_language(docs).filter((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)).select(*columns)
 
 
+def _one_row_each(docs: DataFrame) -> DataFrame:
+    """Of rows with the same doc_id and text one, the least in the other columns; only repeated doc_ids are shuffled."""
+    twice = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id", F.lit(True).alias("_twice"))
+    marked = lookup_join(docs, twice, ["doc_id"])
+    copies = Window.partitionBy("doc_id", "text").orderBy(*docs.columns)
+    first = marked.filter("_twice").withColumn("_copy", F.row_number().over(copies)).filter("_copy = 1")
+    return marked.filter("_twice is null").select(*docs.columns).unionByName(first.select(*docs.columns))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest doc_id, of each group linked by a Jaccard similarity of 0.75; a null doc_id stays."""
+    """One document, the smallest doc_id, of each group linked by a Jaccard similarity of 0.75; a null doc_id stays.
+
+    Rows that repeat a doc_id and its text are one document; other rows of one doc_id stay or go together.
+    """
+    docs = _one_row_each(docs)
     groups = jaccard_components(docs.select("doc_id", "text"))
     gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

@@ -432,3 +432,13 @@ def test_pipeline_stages(spark, tmp_path):
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     texts = {(r["doc_id"], hashlib.sha256(np.array(library.encode(r["text"], add_bos=True, add_eos=True), "<u4").tobytes()).hexdigest()) for r in spark.read.parquet(f"{tmp_path}/mixture").collect()}
     assert texts == {(r["doc_id"], hashlib.sha256(r["ids"]).hexdigest()) for r in docs.collect()}
+
+
+def test_repeated_rows_leave_one_document(spark):
+    import corpus_pipeline
+
+    text = "one two three four five six seven"
+    rows = [(1, text, "b"), (1, text, "a"), (1, text, "a"), (2, text, "a"), (3, "other words", "a"), (3, "more words", "a"), (None, "x", "a"), (None, "x", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()), key=str)
+    assert got == sorted([(1, text, "a"), *rows[4:]], key=str)
