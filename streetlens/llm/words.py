@@ -128,11 +128,11 @@ def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
     return raw, off
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Words of the rows ``data[offsets[i]:offsets[i + 1]]``; offsets start at 0."""
+def find_words(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = IS_SPACE) -> Words:
+    """Words of the rows ``data[offsets[i]:offsets[i + 1]]``; offsets start at 0, ``gap`` tells which bytes are between words."""
     n = len(data)
     solid = np.zeros(n + 2, dtype=bool)
-    solid[1:-1] = ~IS_SPACE[data]
+    solid[1:-1] = ~gap[data]
     edge = np.zeros(n + 1, dtype=bool)
     edge[offsets] = True
     here = solid[1:-1]
@@ -141,13 +141,15 @@ def find_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(data, starts, ends, np.searchsorted(starts, offsets, "left"))
 
 
-def word_chunks(column: pa.Array | pa.ChunkedArray, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, Words]]:
+def word_chunks(
+    column: pa.Array | pa.ChunkedArray, size: int = CHUNK_BYTES, gap: np.ndarray = IS_SPACE
+) -> Iterator[tuple[int, int, Words]]:
     """(first row, end row, words) for slices of about ``size`` bytes; a longer text is a slice of its own."""
     data, off = text_buffers(column)
     i, n = 0, len(off) - 1
     while i < n:
         j = min(n, max(i + 1, int(np.searchsorted(off, off[i] + size, "right")) - 1))
-        yield i, j, find_words(data[off[i] : off[j]], off[i : j + 1] - off[i])
+        yield i, j, find_words(data[off[i] : off[j]], off[i : j + 1] - off[i], gap)
         i = j
 
 
