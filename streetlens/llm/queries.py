@@ -1,4 +1,4 @@
 """All queries of this subpackage."""
 
-from streetlens.llm import op1, op2, op3, op4, op5, op6, op7, op8, op9, op10, op11, op12  # noqa: F401
+from streetlens.llm import op1, op2, op3, op4, op5, op6, op7, op8, op9, op10, op11, op12, op13  # noqa: F401
 from streetlens.llm.base import QUERIES, SQL  # noqa: F401
