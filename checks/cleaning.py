@@ -154,11 +154,14 @@ def ingest_months(spark, folder):
     )
 
 
-@check("load_raw", on(WITH_INC, f"SELECT {', '.join(BRONZE_COLUMNS)} FROM inc WHERE latitude IS NOT NULL"))
+@check("load_raw", on(WITH_INC, f"""SELECT {', '.join(BRONZE_COLUMNS)}, count(*) OVER () AS ids FROM inc WHERE latitude IS NOT NULL"""))
 def load_raw(spark, folder):
+    """The stored columns; the row ids are hashes that SQL cannot repeat, so the distinct ones are counted beside."""
     path = scratch_path(spark, "incidents")
     store.insert_or_ignore(raw(spark, folder).select(*BRONZE_COLUMNS), path)
-    return store.load_raw(spark, path)
+    stored = store.load_raw(spark, path)
+    ids = stored.agg(F.count_distinct("id").alias("ids"))
+    return stored.select(*BRONZE_COLUMNS).join(F.broadcast(ids))
 
 
 @check("save_clean", on(WITH_CLEAN, "SELECT id, category, month, latitude, longitude, street_name, month_date FROM cl"))

