@@ -208,21 +208,9 @@ class Encoder:
         return raw.decode("utf-8", "replace")
 
 
-_ENCODERS: dict[int, Encoder] = {}
-
-
-def _encoder(model: MergeModel) -> Encoder:
-    """One encoder per Python worker and model."""
-    key = hash((tuple(model.pieces), tuple(model.scores)))
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(model)
-    return _ENCODERS[key]
-
-
 def _encode_batches(model: MergeModel, names: list[str]):
     def run(batches):
-        encoder = _encoder(model)
+        encoder = Encoder(model)  # its tables go with the partition, as Python workers live on
         for batch in batches:
             texts = batch["_text"]
             start = 0

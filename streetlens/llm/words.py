@@ -39,7 +39,7 @@ class Powers:
             up = np.cumprod(factors)
             factors[1:] = self.inverse
             down = np.cumprod(factors)
-            if size > 4 * CHUNK_BYTES:  # a giant text must not leave giant tables behind
+            if size > CHUNK_BYTES + 1:  # a giant text must not leave giant tables behind
                 return up[:n], down[:n]
             self.up, self.down = up, down
         return self.up[:n], self.down[:n]

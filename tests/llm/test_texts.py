@@ -442,3 +442,30 @@ def test_repeated_rows_leave_one_document(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = sorted((tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()), key=str)
     assert got == sorted([(1, text, "a"), *rows[4:]], key=str)
+
+
+CLASHING = ["size", "kept", "score", "_pass", "lang_pred", "held_out", "target", "pieces", "n_words", "_twice", "_copy", "_uid", "Source_Size"]
+
+
+def test_stages_keep_own_columns_and_stand_odd_rows(spark):
+    import corpus_pipeline
+
+    prose = "The quiet river runs below the old stone bridge and the children watch it all day long. "
+    texts = [prose * 3, prose * 3, None, "", " \t", "short one", prose * 2000, "Der stille Fluss fließt unter der alten Brücke. " * 4, prose * 3]
+    ids = [1, 2, 3, 4, 5, 6, 7, 8, 1]
+    own = ", ".join(f"`{c}` {'long' if c == 'size' else 'string'}" for c in CLASHING)
+    rows = [(i, t, "en" if i != 8 else "de", "s", len(t or ""), {"k": "v"}, *(1000 if c == "size" else "mine" for c in CLASHING)) for i, t in zip(ids, texts)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, tags map<string,string>, {own}")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, "")
+        assert got.columns == docs.columns, name
+        found = got.collect()
+        assert found and all(r[c] == (1000 if c == "size" else "mine") for r in found for c in CLASHING), name
+        assert stage(spark, docs.limit(0), "").collect() == [], name
+        if name == "language":  # what stays keeps its text, whatever its length
+            assert any(r["text"] == texts[6] for r in found)
+    # the mix counts words itself: a tenth of a thousand
+    mixed = corpus_pipeline.mixture(spark, docs.filter("doc_id = 6"), "").collect()
+    assert sum(len(WORD.findall(r["text"])) for r in mixed) == 3
+    last = {r["doc_id"]: r["n_tokens"] for r in corpus_pipeline.tokens(spark, docs, "").collect()}
+    assert last[3] == last[4] == 2 and last[7] > 2000
