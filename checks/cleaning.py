@@ -160,8 +160,7 @@ def load_raw(spark, folder):
     path = scratch_path(spark, "incidents")
     store.insert_or_ignore(raw(spark, folder).select(*BRONZE_COLUMNS), path)
     stored = store.load_raw(spark, path)
-    ids = stored.agg(F.count_distinct("id").alias("ids"))
-    return stored.select(*BRONZE_COLUMNS).join(F.broadcast(ids))
+    return stored.select(*BRONZE_COLUMNS).withColumn("ids", stored.agg(F.count_distinct("id").alias("ids")).scalar())
 
 
 @check("save_clean", on(WITH_CLEAN, "SELECT id, category, month, latitude, longitude, street_name, month_date FROM cl"))

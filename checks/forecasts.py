@@ -25,36 +25,77 @@ adf AS (SELECT category, d, count(*) AS n, regr_slope(z, x) / sqrt((regr_syy(z,
   FROM reg WHERE x IS NOT NULL AND z IS NOT NULL GROUP BY 1, 2)"""
 
 
-@check("adf_panel", on(WITH_CLEAN, """SELECT category, CAST(d AS INTEGER) AS d, round(stat, 4) AS adf_stat, CAST(0 AS INTEGER) AS used_lags, n, stat < -2.86 AS stationary FROM adf""", SERIES, ADF))
+def p_sql(stat: str) -> str:
+    """The published response surface of the p-value, through the same approximation of the normal distribution."""
+    z = f"""CASE WHEN {stat} <= -1.61 THEN 2.1659 + {stat} * (1.4412 + {stat} * 0.038269)
+      ELSE 1.7339 + {stat} * (0.93202 + {stat} * (-0.12745 + {stat} * -0.010368)) END::DOUBLE"""
+    tail = """0.3989422804014327::DOUBLE * exp(-z * z / 2) * t * (0.319381530::DOUBLE + t * (-0.356563782::DOUBLE + t * (1.781477937::DOUBLE
+      + t * (-1.821255978::DOUBLE + t * 1.330274429::DOUBLE))))"""
+    return f"""CASE WHEN {stat} < -18.83 THEN 0.0::DOUBLE WHEN {stat} > 2.74 THEN 1.0::DOUBLE ELSE (SELECT CASE WHEN z >= 0 THEN 1 - ({tail}) ELSE {tail} END
+      FROM (SELECT z, 1 / (1 + 0.2316419::DOUBLE * abs(z)) AS t FROM (SELECT {z} AS z))) END"""
+
+
+TOLD = f"told AS (SELECT *, {p_sql('stat')} AS p FROM adf)"
+# one lagged change beside the level: the two slopes by partial regression, AIC on the common sample
+LAGGED = f"""reg1 AS (SELECT *, lag(z) OVER (PARTITION BY category, d ORDER BY month_date) AS o FROM (SELECT category, d, month_date, lag(v) OVER w AS x, v - lag(v) OVER w AS z
+  FROM diffs WINDOW w AS (PARTITION BY category, d ORDER BY month_date))),
+sum1 AS (SELECT category, d, count(*) AS n, regr_sxx(z, x) AS xx, regr_sxx(z, o) AS oo, regr_sxy(x, o) AS xo, regr_sxy(z, x) AS xz, regr_sxy(z, o) AS oz, regr_syy(z, x) AS zz
+  FROM reg1 WHERE x IS NOT NULL AND z IS NOT NULL AND o IS NOT NULL GROUP BY 1, 2),
+fit1 AS (SELECT *, (xz * oo - oz * xo) / (xx * oo - xo * xo) AS b, zz - (xz * (xz * oo - oz * xo) + oz * (oz * xx - xz * xo)) / (xx * oo - xo * xo) AS rss1,
+  zz - xz * xz / xx AS rss0 FROM sum1),
+lag1 AS (SELECT category, d, n, b / sqrt(rss1 / (n - 3) * oo / (xx * oo - xo * xo)) AS stat1, xz / xx / sqrt(rss0 / (n - 2) / xx) AS stat0,
+  n * ln(rss1 / n) + 6 < n * ln(rss0 / n) + 4 AS longer FROM fit1)"""
+
+
+@check("adf_panel", on(WITH_CLEAN, """SELECT category, CAST(d AS INTEGER) AS d, round(stat, 4) AS adf_stat, CAST(0 AS INTEGER) AS used_lags, n, round(p, 5) AS p_value,
+  p < 0.05 AS stationary FROM told""", SERIES, ADF, TOLD))
 def adf_panel(spark, folder):
-    return arima.adf_panel(_series(spark, folder), ["category"], 2).withColumn("adf_stat", r("adf_stat"))
+    return arima.adf_panel(_series(spark, folder), ["category"], 2).withColumns({"adf_stat": r("adf_stat"), "p_value": r("p_value", 5)})
 
 
-@check("adf_panel_lagged", on(WITH_CLEAN, """SELECT category, CAST(d AS INTEGER) AS d, greatest(count(*) - d - 5, 0) AS n, true AS lags_fit, true AS told
-  FROM series, (VALUES (0), (1)) o(d) GROUP BY 1, d HAVING count(*) - d - 5 > 0""", SERIES))
+@check("adf_panel_lagged", on(WITH_CLEAN, f"""SELECT category, CAST(d AS INTEGER) AS d, round(stat1, 4) AS adf_stat, CAST(1 AS INTEGER) AS used_lags, n,
+  round({p_sql('stat1')}, 5) AS p_value, {p_sql('stat1')} < 0.05 AS stationary FROM lag1 WHERE d < 2""", SERIES, ADF, LAGGED))
 def adf_panel_lagged(spark, folder):
-    """Up to four lagged changes, chosen by AIC: rows of the common sample, and whether choice and decision hold together."""
-    out = arima.adf_panel(_series(spark, folder), ["category"], 1, lags=4)
-    decided = F.col("stationary").eqNullSafe(F.col("adf_stat") < config.FORECAST.adf_critical)
-    return out.select("category", "d", "n", F.coalesce(F.col("used_lags").between(0, 4), F.col("adf_stat").isNull()).alias("lags_fit"), decided.alias("told"))
+    """One lagged change beside the level."""
+    out = arima.adf_panel(_series(spark, folder), ["category"], 1, lags=1, fixed=True)
+    return out.withColumns({"adf_stat": r("adf_stat"), "p_value": r("p_value", 5)})
 
 
-@check("choose_d", on(WITH_CLEAN, "SELECT category, CAST(coalesce(min(CASE WHEN stat < -2.86 THEN d END), 2) AS INTEGER) AS d FROM adf GROUP BY 1", SERIES, ADF))
+@check("choose_d", on(WITH_CLEAN, "SELECT category, CAST(coalesce(min(CASE WHEN p < 0.05 THEN d END), 2) AS INTEGER) AS d FROM told GROUP BY 1", SERIES, ADF, TOLD))
 def choose_d(spark, folder):
     return arima.choose_d(arima.adf_panel(_series(spark, folder), ["category"], 2), ["category"])
 
 
-@check("arima_order_search", on(WITH_CLEAN, """SELECT category, CAST(0 AS INTEGER) AS fold,
-  CAST(coalesce(min(CASE WHEN stat < -2.86 THEN d END), 2) AS INTEGER) AS d, true AS whole FROM adf GROUP BY 1""", SERIES, ADF))
+@check("arima_order_search", on(WITH_CLEAN, f"""SELECT category, CAST(0 AS INTEGER) AS fold, CAST(d AS INTEGER) AS d, CAST(longer AS INTEGER) AS used_lags, round(stat, 4) AS adf_stat,
+  true AS whole FROM (SELECT *, {p_sql('stat')} AS p FROM (SELECT *, CASE WHEN longer THEN stat1 ELSE stat0 END AS stat FROM lag1))
+  QUALIFY d = coalesce(min(CASE WHEN p < 0.05 THEN d END) OVER (PARTITION BY category), 2)""", SERIES, ADF, LAGGED))
 def arima_order_search(spark, folder):
-    """The order of differencing, and whether each series has a candidate with three finite forecasts, or else a reason."""
-    out = arima.arima_order_search(_series(spark, folder), ["category"])
+    """The order of differencing and its test with up to one lagged change, and whether there is an order with three finite forecasts, or a reason."""
+    out = arima.arima_order_search(_series(spark, folder), ["category"], lags=1)
     tried = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p, _, q in config.FORECAST.orders])
     fitted = (
         F.array_contains(tried, F.struct("p", "q")) & (F.size("forecast") == config.FORECAST.horizon)
         & ~F.isnan(F.aggregate("forecast", F.lit(0.0), lambda a, x: a + x)) & F.col("error").isNull()
     )
-    return out.select("category", "fold", "d", F.coalesce(fitted, F.col("error").isNotNull()).alias("whole"))
+    return out.select("category", "fold", "d", "used_lags", r("adf_stat").alias("adf_stat"), F.coalesce(fitted, F.col("error").isNotNull()).alias("whole"))
+
+
+@check("arima_orders")
+def arima_orders(spark, folder):
+    """Orders, tests, fits and forecasts of every series and fold at the default settings; no SQL can search them."""
+    out = arima.arima_order_search(_series(spark, folder), ["category"], folds=True)
+    digits = lambda c: F.transform(c, lambda x: F.round(x, 4)).alias(c)
+    return out.select(
+        "category", "fold", "p", "d", "q", r("aic").alias("aic"), digits("coefficients"), digits("forecast"), r("adf_stat").alias("adf_stat"),
+        "used_lags", r("p_value").alias("p_value"), "error",
+    )
+
+
+@check("walk_forward_scores")
+def walk_forward_scores(spark, folder):
+    """Errors of both models in every fold of every series at the default settings."""
+    out = forecast.walk_forward_cv(_series(spark, folder), ["category"])
+    return out.withColumns({"rmse": r("rmse"), "mae": r("mae")})
 
 
 @check("seasonal_trend_fit", on(WITH_CLEAN, """SELECT category, month_date, y, CAST(0 AS INTEGER) AS is_future, true AS banded FROM series

@@ -83,14 +83,14 @@ class ForecastSettings:
     cv_initial: int = 10
     cv_step: int = 2
     max_d: int = 2
-    # candidate (p, d, q); d is replaced by the chosen order of differencing
+    # fixed values: candidate (p, d, q); d is replaced by the chosen order of differencing
     orders: tuple[tuple[int, int, int], ...] = (
         (1, 1, 1), (2, 1, 1), (1, 1, 2), (2, 1, 2),
         (0, 1, 1), (1, 0, 1), (3, 1, 1),
         (0, 0, 1), (1, 0, 0), (2, 0, 0), (0, 1, 2),
     )
-    # published asymptotic 5 % point of the unit-root test with a constant
-    adf_critical: float = -2.86
+    # a unit root is rejected below this p-value
+    adf_alpha: float = 0.05
     yearly_seasonality: bool = True
     yearly_period_days: float = 365.25
     fourier_order: int = 3

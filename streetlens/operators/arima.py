@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streetlens import config
-from streetlens.operators.folds import fold_expand, number_rows
-from streetlens.operators.least_squares import cross_products, dot, fit, square
-from streetlens.session import cut
+from streetlens.functions.numbers import normal_cdf
+from streetlens.operators.folds import fold_ends, number_rows
+from streetlens.operators.least_squares import cross_products, fit, running_products, square
 
 
 def _key_fields(df: DataFrame, keys: Sequence[str]) -> list[T.StructField]:
@@ -49,7 +49,53 @@ def _unit_root_rows(rows: DataFrame, keys: Sequence[str], max_d: int, lags: int)
     return out.filter(complete)
 
 
-def _statistics(rows: DataFrame, keys: Sequence[str], lags: int) -> DataFrame:
+# fixed values: the published response surface of the unit-root test with a constant (one series), small and large statistics
+_SURFACE_FROM, _SURFACE_BREAK, _SURFACE_TO = -18.83, -1.61, 2.74
+_SURFACE_SMALL = (2.1659, 1.4412, 0.038269)
+_SURFACE_LARGE = (1.7339, 0.93202, -0.12745, -0.010368)
+
+
+def unit_root_p_value(stat: Column) -> Column:
+    """The approximate p-value of a unit-root statistic."""
+
+    def polynomial(coefficients: Sequence[float]) -> Column:
+        out = F.lit(coefficients[-1])
+        for c in reversed(coefficients[:-1]):
+            out = out * stat + F.lit(c)
+        return out
+
+    inner = normal_cdf(F.when(stat <= _SURFACE_BREAK, polynomial(_SURFACE_SMALL)).otherwise(polynomial(_SURFACE_LARGE)))
+    return F.when(stat < _SURFACE_FROM, 0.0).when(stat > _SURFACE_TO, 1.0).otherwise(inner)
+
+
+def _unit_root_p(stat: float) -> float:
+    """The same for one number."""
+    if not _SURFACE_FROM <= stat <= _SURFACE_TO:
+        return float(stat > _SURFACE_TO)
+    z = np.polyval(tuple(reversed(_SURFACE_SMALL if stat <= _SURFACE_BREAK else _SURFACE_LARGE)), stat)
+    return 0.5 * math.erfc(-z / math.sqrt(2.0))
+
+
+def _least_aic(matrix: np.ndarray, most: int, least: int = 0) -> tuple[float | None, int | None]:
+    """(statistic, lags) of the unit-root regression of least AIC.
+
+    ``matrix`` has the cross products of constant, level, ``most`` lagged changes and the change itself.
+    """
+    n, side, yy = matrix[0, 0], matrix[:-1, -1], matrix[-1, -1]
+    best, best_aic, best_lag = None, np.inf, None
+    for p in range(least, most + 1):
+        size = p + 2
+        done = fit(matrix[:-1, :-1], side, yy, range(size)) if n > size else None
+        if done is None or done[1] <= 0:
+            continue
+        beta, rss, inverse = done
+        aic = n * np.log(rss / n) + 2 * size
+        if aic < best_aic:
+            best, best_aic, best_lag = float(beta[1] / np.sqrt(rss / (n - size) * inverse[1, 1])), aic, p
+    return best, best_lag
+
+
+def _statistics(rows: DataFrame, keys: Sequence[str], lags: int, fixed: bool = False) -> DataFrame:
     """(keys, d, adf_stat, used_lags, n)."""
     by = [*keys, "d"]
     if lags == 0:
@@ -73,18 +119,9 @@ def _statistics(rows: DataFrame, keys: Sequence[str], lags: int) -> DataFrame:
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             stats, used = [], []
-            for n, xx, xy, yy in zip(batch["n"], batch["xx"], batch["xy"], batch["yy"]):
-                best, best_aic, best_lag = None, np.inf, None
-                matrix, side = square(xx), np.asarray(xy, dtype=float)
-                for p in range(lags + 1):
-                    size = p + 2
-                    done = fit(matrix, side, yy, range(size)) if n > size else None
-                    if done is None or done[1] <= 0:
-                        continue
-                    beta, rss, inverse = done
-                    aic = n * np.log(rss / n) + 2 * size
-                    if aic < best_aic:
-                        best, best_aic, best_lag = beta[1] / np.sqrt(rss / (n - size) * inverse[1, 1]), aic, p
+            for xx, xy, yy in zip(batch["xx"], batch["xy"], batch["yy"]):
+                side = np.asarray(xy, dtype=float)
+                best, best_lag = _least_aic(np.block([[square(xx), side[:, None]], [side[None], np.array([[yy]])]]), lags, lags if fixed else 0)
                 stats.append(best)
                 used.append(best_lag)
             out = batch[by].copy()
@@ -101,15 +138,18 @@ def adf_panel(
     keys: Sequence[str],
     max_d: int = 0,
     lags: int = 0,
-    critical: float = config.FORECAST.adf_critical,
+    alpha: float = config.FORECAST.adf_alpha,
+    fixed: bool = False,
 ) -> DataFrame:
-    """(keys, d, adf_stat, used_lags, n, stationary) for every series and order of differencing.
+    """(keys, d, adf_stat, used_lags, n, p_value, stationary) for every series and order of differencing.
 
     The regression has a constant. With ``lags`` > 0 the number of lagged
-    changes is the one of least AIC among 0 .. lags on the common sample.
+    changes is the one of least AIC among 0 .. lags on the common sample, or
+    ``lags`` itself if ``fixed``. A series is stationary if the p-value is below ``alpha``.
     """
     rows = _unit_root_rows(with_differences(series, keys, max_d), keys, max_d, lags)
-    return _statistics(rows, keys, lags).withColumn("stationary", F.col("adf_stat") < critical)
+    tests = _statistics(rows, keys, lags, fixed).withColumn("p_value", unit_root_p_value(F.col("adf_stat")))
+    return tests.withColumn("stationary", F.col("p_value") < alpha)
 
 
 def choose_d(tests: DataFrame, keys: Sequence[str], max_d: int = config.FORECAST.max_d) -> DataFrame:
@@ -144,132 +184,151 @@ def _forecast(order: tuple[int, int, int], beta: np.ndarray, tail: dict, horizon
     return out
 
 
+def most_lags(n: int) -> int:
+    """The usual number of lagged changes to choose from: 12 (n / 100) ** (1/4), rounded up, as far as ``n`` rows allow."""
+    return max(0, min(math.ceil(12 * (n / 100) ** 0.25), n // 2 - 2))
+
+
 def arima_order_search(
     series: DataFrame,
     keys: Sequence[str],
     settings: config.ForecastSettings = config.FORECAST,
     folds: bool = False,
-    lags: int = 0,
+    lags: int | None = None,
     long_order: int | None = None,
 ) -> DataFrame:
-    """(keys, fold, p, d, q, aic, coefficients, forecast, error) per series and fold.
+    """(keys, fold, p, d, q, aic, coefficients, forecast, adf_stat, used_lags, p_value, error) per series and fold.
 
     Fold 0 is fitted on the whole series; with ``folds`` the walk-forward folds
-    are fitted as well, all in the same plan. Orders are compared by AIC after a
-    two-stage least-squares fit: residuals of a long autoregression stand in for
-    the unseen shocks. One set of cross products per series and fold serves
-    every candidate order. Candidates that are singular, unstable or leave no
-    degrees of freedom are skipped; if none is left, ``error`` says so. The
-    long autoregression has ``long_order`` lags, by default as many as the
-    longest candidate and at least three.
+    are fitted as well. d is the least order of differencing at which the
+    unit-root test rejects (p-value below ``settings.adf_alpha``), else the
+    largest; the test chooses its lagged changes by AIC among as many as
+    ``most_lags`` of the training length, or ``lags`` if given. adf_stat,
+    used_lags and p_value are those of the chosen d.
+
+    Orders are compared by AIC after a two-stage least-squares fit: residuals
+    of a long autoregression stand in for the unseen shocks. Both stages, and
+    the tests, need only cross products of lagged values, and those of every
+    training window are differences of sums that run once over the series: no
+    row is copied into a fold, and residuals are never written out. Candidates
+    that are singular, unstable or leave no degrees of freedom are skipped; if
+    none is left, ``error`` says so. The long autoregression has ``long_order``
+    lags, by default as many as the longest candidate and at least three. Rows
+    with a null y are left out. Runs a job that measures the longest series.
     """
     keys = list(keys)
-    most_p, most_q = (max((o[k] for o in settings.orders), default=0) for k in (0, 2))
+    s = settings
+    most_p, most_q = (max((o[k] for o in s.orders), default=0) for k in (0, 2))
     long_order = max(3, most_p) if long_order is None else long_order
-    by = [*keys, "fold"]
-    base = with_differences(series, keys, settings.max_d)
-    if folds:
-        train = fold_expand(base, keys, settings, final=True).filter("is_test = 0")
+    back = max(most_p, most_q + long_order)  # lags of the values that the fits read
+    known = series.filter("y is not null")
+    longest = known.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    most = most_lags(longest) if lags is None else lags
+    w = Window.partitionBy(*keys).orderBy("month_date")
+    rows = number_rows(with_differences(known.repartition(*keys), keys, s.max_d + 1), keys)
+    lagged = {
+        f"d{d}_{i}": F.lag(f"d{d}", i).over(w) for d in range(s.max_d + 2) for i in range(max(back, most if d else 1) + 1)
+    }
+    rows = rows.select(*keys, "idx", "n", *[c.alias(name) for name, c in lagged.items()])
+    cutoff, one = (F.col("idx") + 1).cast("long"), F.lit(1.0)
+    if lags is None:
+        rule = F.ceil(12 * F.pow((F.col("idx") + 1) / 100.0, F.lit(0.25)))
+        width = F.greatest(F.lit(0), F.least(rule, F.floor((F.col("idx") + 1) / 2) - 2)).cast("int")
     else:
-        train = number_rows(base, keys).withColumn("fold", F.lit(0))
-    train = train.select(*by, "idx", "month_date", "y", *[f"d{d}" for d in range(settings.max_d + 1)])
-
-    tests = _statistics(_unit_root_rows(train, by, settings.max_d, lags), by, lags)
-    # one row per series and fold, used at the start and at the end
-    chosen = cut(choose_d(tests.withColumn("stationary", F.col("adf_stat") < settings.adf_critical), by, settings.max_d))
-    w = Window.partitionBy(*by).orderBy("idx")
-    value = F.coalesce(*[F.when(F.col("d") == d, F.col(f"d{d}")) for d in range(settings.max_d + 1)])
-    rows = train.join(chosen, by).withColumn("w_0", value).filter(F.col("w_0").isNotNull())
-    # read by both stages of the fit
-    rows = cut(rows.withColumns({f"w_{i}": F.lag("w_0", i).over(w) for i in range(1, max(long_order, most_p) + 1)}))
-
-    long_columns = [F.lit(1.0), *[F.col(f"w_{i}") for i in range(1, long_order + 1)]]
-    usable = rows.filter(F.col(f"w_{long_order}").isNotNull())
-    long_fit = solve_rows(cross_products(usable, by, long_columns, F.col("w_0")), by)
-    shocked = usable.join(long_fit.select(*by, "beta"), by).withColumn("e_0", F.col("w_0") - dot("beta", long_columns))
-    shocked = shocked.withColumns({f"e_{i}": F.lag("e_0", i).over(w) for i in range(1, most_q + 1)})
-
-    lagged = [*(f"w_{i}" for i in range(1, most_p + 1)), *(f"e_{i}" for i in range(1, most_q + 1))]
-    full = [F.lit(1.0), *[F.col(c) for c in lagged]]
-    tail_names = [*(f"w_{i}" for i in range(most_p)), *(f"e_{i}" for i in range(most_q)), *(f"d{k}" for k in range(settings.max_d + 1))]
-    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in lagged], F.lit(True))
-    sums = cross_products(
-        shocked.filter(complete), [*by, "d"], full, F.col("w_0"),
-        F.max_by(F.struct(*tail_names), "idx").alias("tail"),
-    )
-    # every key and fold keeps a row, so that failures show
-    sums = chosen.join(sums.drop("d"), by, "left")
-    return _search(sums, by, settings)
-
-
-def solve_rows(sums: DataFrame, by: Sequence[str], ridge: Sequence[float] | None = None) -> DataFrame:
-    """(by, beta, rss, n): all columns of each set of cross products, rows that cannot be solved left out."""
+        width = F.lit(lags)
+    sets = {}
+    for d in range(s.max_d + 1):
+        value = [F.col(f"d{d}_{i}") for i in range(back + 1)]
+        change = [F.col(f"d{d + 1}_{i}") for i in range(most + 1)]
+        sets[f"test_{d}"] = ([one, value[1], *change[1:], change[0]], F.array((width + d + 1).cast("long"), cutoff))
+        sets[f"long_{d}"] = ([one, *value[1 : long_order + 1], value[0]], F.array(F.lit(d + long_order).cast("long"), cutoff))
+        sets[f"short_{d}"] = ([one, *value], F.array(F.lit(d + back).cast("long"), cutoff))
+    tails = [F.array(*[F.col(f"d{d}_{i}") for i in range(back + 1)]).alias(f"tail_{d}") for d in range(s.max_d + 1)]
+    sums = running_products(rows, keys, "idx", sets, fold_ends(s, folds), width.alias("width"), *tails)
+    names = [*keys, "fold"]
+    sums = sums.select(*keys, F.explode("ended").alias("fold"), "width", *(f"tail_{d}" for d in range(s.max_d + 1)), *sets)
     schema = T.StructType([
-        *_key_fields(sums, by), T.StructField("beta", T.ArrayType(T.DoubleType())),
-        T.StructField("rss", T.DoubleType()), T.StructField("n", T.LongType()),
-    ])
-    names, penalty = list(by), None if ridge is None else np.asarray(ridge, dtype=float)
-
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            fits = []
-            for xx, xy, yy in zip(batch["xx"], batch["xy"], batch["yy"]):
-                matrix = square(xx)
-                fits.append(fit(matrix, np.asarray(xy, dtype=float), yy, range(len(matrix)), penalty))
-            keep = [f is not None for f in fits]
-            out = batch.loc[keep, names].copy()
-            out["beta"] = [f[0].tolist() for f in fits if f is not None]
-            out["rss"] = [f[1] for f in fits if f is not None]
-            out["n"] = batch.loc[keep, "n"]
-            yield out
-
-    return sums.mapInPandas(solve, schema)
-
-
-def _search(sums: DataFrame, by: Sequence[str], settings: config.ForecastSettings) -> DataFrame:
-    orders = list(dict.fromkeys((p, q) for p, _, q in settings.orders))
-    most_p = max((p for p, _ in orders), default=0)
-    horizon, names = settings.horizon, list(by)
-    schema = T.StructType([
-        *_key_fields(sums, by), T.StructField("p", T.IntegerType()), T.StructField("d", T.IntegerType()),
+        *_key_fields(sums, names), T.StructField("p", T.IntegerType()), T.StructField("d", T.IntegerType()),
         T.StructField("q", T.IntegerType()), T.StructField("aic", T.DoubleType()),
-        T.StructField("coefficients", T.ArrayType(T.DoubleType())),
-        T.StructField("forecast", T.ArrayType(T.DoubleType())), T.StructField("error", T.StringType()),
+        T.StructField("coefficients", T.ArrayType(T.DoubleType())), T.StructField("forecast", T.ArrayType(T.DoubleType())),
+        T.StructField("adf_stat", T.DoubleType()), T.StructField("used_lags", T.IntegerType()), T.StructField("p_value", T.DoubleType()),
+        T.StructField("error", T.StringType()),
     ])
 
-    def best_of(d: int, n, xx, xy, yy, tail) -> dict:
-        none = {"p": None, "d": d, "q": None, "aic": None, "coefficients": None, "forecast": None}
-        if n is None or np.isnan(n):
-            return none | {"error": "series too short"}
-        matrix, side, best = square(xx), np.asarray(xy, dtype=float), None
-        for p, q in orders:
-            use = [*([0] if d == 0 else []), *range(1, p + 1), *range(1 + most_p, 1 + most_p + q)]
-            if use:
-                done = fit(matrix, side, yy, use) if n > len(use) + 2 else None
-            else:  # differences alone: nothing to estimate
-                done = (np.zeros(0), yy, None) if n > 2 else None
-            if done is None or done[1] <= 0:
-                continue
-            beta, rss, _ = done
-            rest = beta[1:] if d == 0 else beta
-            if not (_stable(rest[:p]) and _stable(-rest[p:])):
-                continue
-            aic = n * np.log(rss / n) + 2 * (p + q + 1)
-            if best is None or aic < best["aic"]:
-                best = {"p": p, "d": d, "q": q, "aic": float(aic), "coefficients": beta.tolist(),
-                        "forecast": _forecast((p, d, q), beta, tail, horizon), "error": None}
-        return best or none | {"error": "no order could be fitted"}
-
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [best_of(*row) for row in zip(*(batch[c] for c in ("d", "n", "xx", "xy", "yy", "tail")))]
+            found = [_search(row, s, most, long_order, back) for row in batch.to_dict("records")]
             out = pd.DataFrame(found, index=batch.index, columns=schema.names[len(names):])
-            for c in ("p", "d", "q"):
+            for c in ("p", "d", "q", "used_lags"):
                 out[c] = out[c].astype("Int32")
+            for c in ("aic", "adf_stat", "p_value"):
+                out[c] = out[c].astype("float64")
             yield pd.concat([batch[names], out], axis=1)
 
     return sums.mapInPandas(solve, schema)
 
 
+def _search(row: dict, s: config.ForecastSettings, most: int, long_order: int, back: int) -> dict:
+    """The best order of one series and fold, from its cross products."""
+    tested: dict = {}
+    for d in range(s.max_d + 1):
+        matrix = square(row[f"test_{d}"][0])
+        width = int(row["width"])
+        keep = [*range(2 + width), most + 2]
+        stat, used = _least_aic(matrix[np.ix_(keep, keep)], width)
+        p_value = None if stat is None else _unit_root_p(stat)
+        tested = {"d": d, "adf_stat": stat, "used_lags": used, "p_value": p_value}
+        if p_value is not None and p_value < s.adf_alpha:
+            break
+    d = tested["d"]
+    none = {"p": None, "q": None, "aic": None, "coefficients": None, "forecast": None} | tested
+    ahead = square(row[f"long_{d}"][0])
+    first = fit(ahead[:-1, :-1], ahead[:-1, -1], ahead[-1, -1], range(long_order + 1)) if ahead[0, 0] > 0 else None
+    base = square(row[f"short_{d}"][0])
+    n = base[0, 0]
+    if first is None or n < 1:
+        return none | {"error": "series too short"}
+    most_p, most_q = (max((o[k] for o in s.orders), default=0) for k in (0, 2))
+    # constant, lagged values, lagged residuals and the value itself, each from the constant and the lags of the value
+    to = np.zeros((2 + most_p + most_q, 2 + back))
+    to[0, 0] = to[-1, 1] = 1
+    for i in range(1, most_p + 1):
+        to[i, 1 + i] = 1
+    for i in range(1, most_q + 1):
+        to[most_p + i] = _residual(first[0], i, back)
+    both = to @ base @ to.T
+    matrix, side, yy = both[:-1, :-1], both[:-1, -1], float(both[-1, -1])
+    last = np.array([np.nan if v is None else v for v in row[f"tail_{d}"]], dtype=float)
+    shocks = [float(_residual(first[0], i, back) @ np.append(1.0, last)) for i in range(most_q)]
+    tail = {f"w_{i}": last[i] for i in range(most_p)} | {f"e_{i}": e for i, e in enumerate(shocks)}
+    tail |= {f"d{k}": row[f"tail_{k}"][0] for k in range(d)}
+    best = None
+    for p, q in dict.fromkeys((o[0], o[2]) for o in s.orders):
+        use = [*([0] if d == 0 else []), *range(1, p + 1), *range(1 + most_p, 1 + most_p + q)]
+        if use:
+            done = fit(matrix, side, yy, use) if n > len(use) + 2 else None
+        else:  # differences alone: nothing to estimate
+            done = (np.zeros(0), yy, None) if n > 2 else None
+        if done is None or done[1] <= 0:
+            continue
+        beta, rss, _ = done
+        rest = beta[1:] if d == 0 else beta
+        if not (_stable(rest[:p]) and _stable(-rest[p:])):
+            continue
+        aic = n * np.log(rss / n) + 2 * (p + q + 1)
+        if best is None or aic < best["aic"]:
+            best = {"p": p, "q": q, "aic": float(aic), "coefficients": beta.tolist(),
+                    "forecast": _forecast((p, d, q), beta, tail, s.horizon), "error": None}
+    return tested | best if best else none | {"error": "no order could be fitted"}
+
+
+def _residual(beta: np.ndarray, i: int, back: int) -> np.ndarray:
+    """The residual ``i`` steps back of the long autoregression, by the constant and the value's lags 0 .. back."""
+    out = np.zeros(2 + back)
+    out[0], out[1 + i] = -beta[0], 1
+    out[2 + i : 1 + i + len(beta)] -= beta[1:]
+    return out
+
+
 def order_text(p: str = "p", d: str = "d", q: str = "q") -> Column:
     return F.concat(F.lit("("), F.concat_ws(", ", p, d, q), F.lit(")"))

@@ -34,6 +34,30 @@ def fold_cutoffs(series: DataFrame, keys: Sequence[str], settings: config.Foreca
     )
 
 
+def fold_ends(settings: config.ForecastSettings = config.FORECAST, folds: bool = True) -> Column:
+    """The folds (array of int) whose training window ends with a numbered row; fold 0 is the whole series."""
+    s = settings
+    own = F.when(F.col("idx") + 1 == F.col("n"), F.array(F.lit(0))).otherwise(F.expr("cast(array() as array<int>)"))
+    if not folds:
+        return own
+    fold = F.floor((F.col("idx") + 1 - s.cv_initial) / s.cv_step).cast("int") + 1
+    on = (F.col("idx") + 1 >= s.cv_initial) & ((F.col("idx") + 1 - s.cv_initial) % s.cv_step == 0) & (fold <= _fold_count(F.col("n"), s))
+    return F.concat(own, F.when(on, F.array(fold)).otherwise(F.expr("cast(array() as array<int>)")))
+
+
+def fold_tests(series: DataFrame, keys: Sequence[str], settings: config.ForecastSettings = config.FORECAST) -> DataFrame:
+    """The rows that a fold is tested on, once per such fold: at most ``horizon`` of each, with fold, cutoff and step (from 1)."""
+    s = settings
+    rows = number_rows(series, keys)
+    idx = F.col("idx")
+    first = F.greatest(F.lit(1), F.ceil((idx + 1 - s.horizon - s.cv_initial) / s.cv_step).cast("int") + 1)
+    last = F.least(_fold_count(F.col("n"), s), F.floor((idx - s.cv_initial) / s.cv_step).cast("int") + 1)
+    seen = F.when((first <= last) & (idx >= s.cv_initial), F.sequence(first, last)).otherwise(F.expr("cast(array() as array<int>)"))
+    return rows.withColumn("fold", F.explode(seen)).withColumn("cutoff", s.cv_initial + s.cv_step * (F.col("fold") - 1)).withColumn(
+        "step", idx - F.col("cutoff") + 1
+    )
+
+
 def fold_expand(
     series: DataFrame,
     keys: Sequence[str],

@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from math import pi
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streetlens import config
-from streetlens.operators.arima import solve_rows
-from streetlens.operators.folds import fold_expand, number_rows
-from streetlens.operators.least_squares import cross_products, dot
+from streetlens.operators.folds import fold_ends, number_rows
+from streetlens.operators.least_squares import dot, fit, running_products, square
 
 # typical residual relative to the scale of the series; with the prior of the
 # bends it sets how strongly they are held back
@@ -19,6 +21,15 @@ _NOISE = 0.1
 _WAVE_RIDGE = 0.01
 
 
+def _waves(settings: config.ForecastSettings) -> list[Column]:
+    """Yearly sine and cosine pairs of month_date."""
+    if not settings.yearly_seasonality:
+        return []
+    day = F.datediff("month_date", F.lit("1970-01-01").cast("date"))
+    angles = [day * F.lit(2 * pi * order / settings.yearly_period_days) for order in range(1, settings.fourier_order + 1)]
+    return [wave(angle) for angle in angles for wave in (F.sin, F.cos)]
+
+
 def design(settings: config.ForecastSettings) -> list[Column]:
     """Constant, trend, bends in the first four fifths of the training window, yearly sine and cosine pairs.
 
@@ -27,13 +38,25 @@ def design(settings: config.ForecastSettings) -> list[Column]:
     s = settings
     t = F.col("idx") / F.greatest(F.col("cutoff") - 1, F.lit(1))
     bends = [F.greatest(t - F.lit(0.8 * j / s.changepoints), F.lit(0.0)) for j in range(1, s.changepoints + 1)]
-    day = F.datediff("month_date", F.lit("1970-01-01").cast("date"))
-    waves = []
-    if s.yearly_seasonality:
-        for order in range(1, s.fourier_order + 1):
-            angle = day * F.lit(2 * pi * order / s.yearly_period_days)
-            waves += [F.sin(angle), F.cos(angle)]
-    return [F.lit(1.0), t, *bends, *waves]
+    return [F.lit(1.0), t, *bends, *_waves(s)]
+
+
+def _products(segments: list[list[float]], cutoff: int, bends: int, waves: int) -> np.ndarray:
+    """Cross products of the design and y from those of (1, idx, waves, y) between the bends.
+
+    Between two bends every column of the design is linear in these.
+    """
+    scale = max(cutoff - 1, 1)
+    total = np.zeros((2 + bends + waves + 1,) * 2)
+    for k, triangle in enumerate(segments):
+        to = np.zeros((len(total), waves + 3))
+        to[0, 0] = 1
+        to[1, 1] = 1 / scale
+        for j in range(1, k + 1):  # bends that lie before this segment
+            to[1 + j, :2] = -0.8 * j / bends, 1 / scale
+        to[2 + bends :, 2:] = np.eye(waves + 1)
+        total += to @ square(triangle) @ to.T
+    return total
 
 
 def _ridge(settings: config.ForecastSettings) -> list[float]:
@@ -42,6 +65,46 @@ def _ridge(settings: config.ForecastSettings) -> list[float]:
     return [1e-8, 1e-6, *[bend] * settings.changepoints, *[_WAVE_RIDGE] * waves]
 
 
+def seasonal_coefficients(
+    series: DataFrame, keys: Sequence[str], settings: config.ForecastSettings = config.FORECAST, folds: bool = False
+) -> DataFrame:
+    """(keys, fold, cutoff, last = last training month, beta, sigma) per series and fold; beta is null if it cannot be solved.
+
+    No row is copied into a fold: running sums over each series give the cross
+    products of every training window. ``series`` has no null y.
+    """
+    s, keys = settings, list(keys)
+    rows = number_rows(series.repartition(*keys), keys).withColumn("cutoff", F.col("idx") + 1)
+    bends = [F.floor(F.lit(0.8 * j / s.changepoints) * F.greatest(F.col("cutoff") - 1, F.lit(1))) + 1 for j in range(1, s.changepoints + 1)]
+    at = F.array(F.lit(0).cast("long"), *[b.cast("long") for b in bends], F.col("cutoff").cast("long"))
+    waves = _waves(s)
+    base = [F.lit(1.0), F.col("idx"), *waves, F.col("y")]
+    sums = running_products(
+        rows, keys, "idx", {"sums": (base, at)}, fold_ends(s, folds), F.col("cutoff").cast("int").alias("cutoff"), F.col("month_date").alias("last")
+    ).select(*keys, F.explode("ended").alias("fold"), "cutoff", "last", "sums")
+    penalty = np.asarray(_ridge(s), dtype=float)
+    many, width = len(penalty), len(waves)
+    names = [*keys, "fold", "cutoff", "last"]
+    schema = T.StructType([
+        *[sums.schema[c] for c in names], T.StructField("beta", T.ArrayType(T.DoubleType())), T.StructField("sigma", T.DoubleType()),
+    ])
+
+    def solve(batches):
+        for batch in batches:
+            fits = []
+            for cutoff, segments in zip(batch["cutoff"], batch["sums"]):
+                matrix = _products(segments, cutoff, s.changepoints, width)
+                fits.append(fit(matrix[:-1, :-1], matrix[:-1, -1], matrix[-1, -1], range(many), penalty))
+            out = batch[names].copy()
+            out["beta"] = [None if f is None else f[0].tolist() for f in fits]
+            out["sigma"] = pd.Series(
+                [None if f is None else float(np.sqrt(f[1] / c)) for f, c in zip(fits, batch["cutoff"])], index=batch.index, dtype="float64"
+            )
+            yield out
+
+    return sums.mapInPandas(solve, schema)
+
+
 def seasonal_trend_fit(
     series: DataFrame,
     keys: Sequence[str],
@@ -50,39 +113,27 @@ def seasonal_trend_fit(
 ) -> DataFrame:
     """(keys, fold, idx, month_date, y, is_future, yhat, yhat_lower, yhat_upper).
 
-    History and the next ``horizon`` months; values are never negative. The
-    band covers 80 % if residuals are normal. Fold 0 is the whole series. The fit
-    of a series that cannot be solved is null.
+    The next ``horizon`` months of every fold, and the history of fold 0, which
+    is the whole series; values are never negative. The band covers 80 % if
+    residuals are normal. The fit of a series that cannot be solved is null.
     """
     s, keys = settings, list(keys)
     by = [*keys, "fold"]
-    if folds:
-        train = fold_expand(series, keys, s, final=True).filter("is_test = 0")
-    else:
-        train = number_rows(series, keys).withColumns({"fold": F.lit(0), "cutoff": F.col("n")})
-    train = train.select(*by, "idx", "cutoff", "month_date", F.col("y").cast("double").alias("y"))
-    columns = design(s)
-    fitted = solve_rows(cross_products(train, by, columns, F.col("y")), by, _ridge(s)).select(
-        *by, "beta", F.sqrt(F.col("rss") / F.col("n")).alias("sigma")
-    )
-    ends = train.groupBy(*by, "cutoff").agg(F.max("month_date").alias("last"))
+    solved = seasonal_coefficients(series, keys, s, folds)
     step = F.explode(F.sequence(F.lit(1), F.lit(s.horizon))).alias("step")
-    future = ends.select("*", step).select(
-        *by, (F.col("cutoff") - 1 + F.col("step")).alias("idx"), "cutoff",
-        F.add_months("last", F.col("step")).alias("month_date"), F.lit(None).cast("double").alias("y"),
+    future = solved.select("*", step).select(
+        *by, (F.col("cutoff") - 1 + F.col("step")).alias("idx"), "cutoff", F.add_months("last", F.col("step")).alias("month_date"),
+        F.lit(None).cast("double").alias("y"), F.lit(1).alias("is_future"), "beta", "sigma",
+    )
+    history = number_rows(series, keys).join(solved.filter("fold = 0"), keys).select(
+        *by, "idx", "cutoff", "month_date", F.col("y").cast("double").alias("y"), F.lit(0).alias("is_future"), "beta", "sigma"
     )
-    # a series that cannot be solved keeps its rows, with null fits
-    rows = train.withColumn("is_future", F.lit(0)).unionByName(future.withColumn("is_future", F.lit(1)))
-    fit = dot("beta", columns)
     margin = F.col("sigma") * F.lit(s.band_z)
     zero = F.lit(0.0)
-    return (
-        rows.join(fitted, by, "left").withColumn("_fit", fit)
-        .select(
-            *by, "idx", "month_date", "y", "is_future",
-            *(
-                F.when(F.col("_fit").isNotNull(), F.greatest(value, zero)).alias(name)
-                for name, value in (("yhat", F.col("_fit")), ("yhat_lower", F.col("_fit") - margin), ("yhat_upper", F.col("_fit") + margin))
-            ),
-        )
+    return history.unionByName(future).withColumn("_fit", dot("beta", design(s))).select(
+        *by, "idx", "month_date", "y", "is_future",
+        *(
+            F.when(F.col("_fit").isNotNull(), F.greatest(value, zero)).alias(name)
+            for name, value in (("yhat", F.col("_fit")), ("yhat_lower", F.col("_fit") - margin), ("yhat_upper", F.col("_fit") + margin))
+        ),
     )

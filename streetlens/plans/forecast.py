@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from streetlens import config
 from streetlens.operators import metrics
 from streetlens.operators.arima import arima_order_search, order_text
-from streetlens.operators.folds import fold_cutoffs, fold_expand
+from streetlens.operators.folds import fold_cutoffs, fold_tests
 from streetlens.operators.panel import month_spine
 from streetlens.operators.seasonal import seasonal_trend_fit
 from streetlens.session import cut
@@ -36,9 +36,7 @@ def score_folds(series: DataFrame, arima: DataFrame, seasonal: DataFrame, keys:
                 settings: config.ForecastSettings = config.FORECAST) -> DataFrame:
     """(keys, fold, model, cutoff, rmse, mae, order) from the fits of all folds."""
     by = [*keys, "fold"]
-    tests = fold_expand(series, keys, settings).filter("is_test = 1").select(
-        *by, "month_date", "y", (F.col("idx") - F.col("cutoff") + 1).alias("step")
-    )
+    tests = fold_tests(series, keys, settings).select(*by, "month_date", "y", "step")
     arima_steps = _arima_steps(arima.filter("fold > 0"), by).withColumn("model", F.lit("ARIMA"))
     a = metrics.forecast_vs_actual(arima_steps, tests, [*by, "step"]).select(*by, "model", "order", "y", "yhat")
     future = seasonal.filter("is_future = 1 AND fold > 0 AND yhat IS NOT NULL").select(*by, "month_date", "yhat")
