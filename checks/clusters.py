@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks.base import WITH_CLEAN, check, cleaned, on
-from streetlens import config
 from streetlens.operators import dbscan as db
 from streetlens.operators import kmeans as km
 from streetlens.operators import quality
@@ -125,17 +122,37 @@ def standardise(spark, folder):
     return quality.standardise(df, ["x", "y"]).withColumns({"x": r("x") + 0.0, "y": r("y") + 0.0})
 
 
-@check("kmeans_sweep", "SELECT CAST(k AS INTEGER) AS k, 'linear' AS silhouette_kind, true AS falling, true AS in_range FROM range(3, 13) s(k)")
+@check("kmeans_sweep", on(WITH_CLEAN, f"""SELECT CAST(k AS INTEGER) AS k, 'linear' AS silhouette_kind, points, hub_inertia, true AS falling, true AS not_above_hubs, true AS in_range
+  FROM range(3, 13) s(k), (SELECT count(*) AS points, round(sum(pow(x - mx, 2) + pow(y - my, 2)), 4) AS hub_inertia FROM (SELECT x, y, avg(x) OVER (PARTITION BY label) AS mx,
+    avg(y) OVER (PARTITION BY label) AS my FROM (SELECT {ASSIGN.replace('x -', 'latitude -').replace('y -', 'longitude -')} AS label, (latitude - avg(latitude) OVER ()) / stddev_pop(latitude) OVER () AS x,
+    (longitude - avg(longitude) OVER ()) / stddev_pop(longitude) OVER () AS y FROM cl)))"""))
 def kmeans_sweep(spark, folder):
-    """Every k of the default range; inertia does not rise by more than a poor start explains, scores are in range. One restart."""
-    table = km.kmeans_sweep(cleaned(spark, folder), replace(config.CLUSTER, restarts=1)).table
+    """Every k of the default range from ten starts; inertia falls with k and is not above that of the hubs where there are as many centres."""
+    df = cleaned(spark, folder)
+    points = km.prepared_points(df)
+    hubs = quality.nearest_centroid(points, HUBS, "latitude", "longitude").select("x", "y", "w", "label")
+    used = hubs.select("label").distinct().count()
+    table = km.kmeans_sweep(df).table.withColumns({
+        "points": points.agg(F.sum("w").cast("long")).scalar(), "hub_inertia": F.round(quality.inertia(hubs).scalar(), 4),
+    })
     before = F.lag("inertia").over(Window.orderBy("k"))
     return table.select(
-        "k", "silhouette_kind", F.coalesce(F.col("inertia") <= before * 1.5, F.lit(True)).alias("falling"),
+        "k", "silhouette_kind", "points", "hub_inertia", F.coalesce(F.col("inertia") <= before * (1 + 1e-9), F.lit(True)).alias("falling"),
+        ((F.col("k") < used) | (F.col("inertia") <= F.col("hub_inertia") + 1e-3)).alias("not_above_hubs"),
         (F.col("silhouette").between(-1, 1) & (F.col("davies_bouldin") >= 0) & (F.col("inertia") >= 0)).alias("in_range"),
     )
 
 
+@check("kmeans_scores")
+def kmeans_scores(spark, folder):
+    """Silhouette, Davies-Bouldin and inertia of the best of ten starts for k 3 to 12, and which k is best."""
+    sweep = km.kmeans_sweep(cleaned(spark, folder))
+    return sweep.table.select(
+        "k", r("silhouette", 4).alias("silhouette"), r("davies_bouldin", 4).alias("davies_bouldin"), r("inertia", 3).alias("inertia"),
+        (F.col("k") == sweep.best_k).alias("best"),
+    )
+
+
 @check("cluster_overlay", on(WITH_CLEAN, f"""SELECT cl.id, l.label AS dbscan_label FROM cl LEFT JOIN (SELECT latitude, longitude, month, {ASSIGN.replace('x -', 'latitude -').replace('y -', 'longitude -')} AS label FROM cl) l
   ON l.latitude = cl.latitude AND l.longitude = cl.longitude AND l.month = cl.month"""))
 def cluster_overlay(spark, folder):

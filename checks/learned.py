@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 from checks.base import DED, NRM, PANEL, WITH_CLEAN, WITH_FEATURES, WITH_INC, check, cleaned, features, month_sql, on, polygon_sql
 from checks.cleaning import REC, _records
-from checks.clusters import HUBS, dbscan_sql
+from checks.clusters import ASSIGN, HUBS, dbscan_sql
 from checks.rates import SPLIT
 from streetlens import config
 from streetlens.operators import classify, forest_forecast, priors, quality, sampling
-from streetlens.operators.kmeans import fit_best, prepared_points
+from streetlens.operators.kmeans import best_fits, fit_all, kmeans_model, prepared_points
 from streetlens.operators.panel import build_panel
 from streetlens.plans import build, train
 from streetlens.session import cut, scratch_path
@@ -21,11 +21,11 @@ from streetlens.streaming.incremental import incremental_load
 
 SMALL = replace(config.CLASSIFIER, forest_trees=20, forest_depth=8, boost_rounds=5, logistic_iter=100, svm_features=64)
 FOREST = replace(config.PANEL, trees=20, max_depth=10)
-CLUSTERS = replace(config.CLUSTER, k_min=6, k_max=8, restarts=1)
 
 
-CLUSTER_RUN_SQL = f"""SELECT count(DISTINCT CASE WHEN dbscan_label <> -1 THEN dbscan_label END) AS clusters,
-  count(*) FILTER (WHERE dbscan_label = -1) AS noise, true AS scored, true AS best_in_range FROM ({dbscan_sql(250, 25)})"""
+HUBS_USED = on(WITH_CLEAN, f"SELECT CAST(count(DISTINCT {ASSIGN.replace('x -', 'latitude -').replace('y -', 'longitude -')}) AS INTEGER) AS best_k FROM cl")
+CLUSTER_RUN_SQL = f"""SELECT clusters, noise, scored, best_k FROM (SELECT count(DISTINCT CASE WHEN dbscan_label <> -1 THEN dbscan_label END) AS clusters,
+  count(*) FILTER (WHERE dbscan_label = -1) AS noise, true AS scored FROM ({dbscan_sql(250, 25)})), ({HUBS_USED})"""
 SCORED_SQL = on(WITH_FEATURES, """SELECT is_violent AS label, count(*) AS rows, true AS in_range, true AS agrees, true AS better_than_chance
   FROM split WHERE is_test = 1 GROUP BY 1""", SPLIT)
 
@@ -111,10 +111,10 @@ def rf_run(spark, folder):
 
 @check("cluster_run", CLUSTER_RUN_SQL)
 def cluster_run(spark, folder):
-    """Clusters and noise of the density clustering, and whether the scores and the best K-Means are in range."""
-    run = train.cluster_run(cleaned(spark, folder), CLUSTERS)
+    """Clusters and noise of the density clustering, whether its scores are in range, and the best k of K-Means: the hubs within the polygon."""
+    run = train.cluster_run(cleaned(spark, folder))
     scored = F.coalesce((F.col("davies_bouldin") >= 0) & F.col("silhouette").between(-1, 1), F.col("clusters") < 2)
-    return run.density_scores.select("clusters", "noise", scored.alias("scored"), F.lit(6 <= run.sweep.best_k <= 8).alias("best_in_range"))
+    return run.density_scores.select("clusters", "noise", scored.alias("scored"), F.lit(run.sweep.best_k).alias("best_k"))
 
 
 @check("save_models", on(WITH_CLEAN, "SELECT 'kmeans' AS name, count(*) AS points FROM (SELECT DISTINCT latitude, longitude FROM cl)"))
@@ -122,7 +122,7 @@ def save_models(spark, folder):
     """Points that a stored and reloaded model labels as before."""
     path = scratch_path(spark, "models")
     points = prepared_points(cleaned(spark, folder))
-    model = fit_best(points, len(HUBS), 1, 42)
+    model = kmeans_model(points, best_fits(fit_all(points, [len(HUBS)], 10, 42))[len(HUBS)])
     models.save_models(spark, {"kmeans": model}, path, {"kmeans_n": len(HUBS)})
     again = models.load_model(path, "kmeans").transform(points).select("latitude", "longitude", F.col("prediction").alias("again"))
     before = model.transform(points).select("latitude", "longitude", "prediction")
@@ -130,8 +130,8 @@ def save_models(spark, folder):
     return same.agg(F.lit("kmeans").alias("name"), F.count(F.lit(1)).alias("points"))
 
 
-@check("metrics_tables", """SELECT unnest(['classifier_metrics', 'forecast_rf_metrics', 'kmeans_sweep', 'kmeans_sweep', 'kmeans_sweep']) AS name,
-  unnest(['logistic_regression', 'RandomForest', '6', '7', '8']) AS subject, true AS rounded""")
+@check("metrics_tables", """SELECT 'classifier_metrics' AS name, 'logistic_regression' AS subject, true AS rounded
+  UNION ALL SELECT 'forecast_rf_metrics', 'RandomForest', true UNION ALL SELECT 'kmeans_sweep', CAST(k AS VARCHAR), true FROM range(3, 13) s(k)""")
 def metrics_tables(spark, folder):
     """Sweep and forest scores, written, read back and rounded for display."""
     from streetlens.operators.kmeans import kmeans_sweep
@@ -141,7 +141,7 @@ def metrics_tables(spark, folder):
     df = cut(features(spark, folder))
     forest = train.rf_run(df, replace(FOREST, trees=5))
     results.write_results({
-        "kmeans_sweep": kmeans_sweep(df, CLUSTERS).table, "forecast_rf_metrics": forest.metrics,
+        "kmeans_sweep": kmeans_sweep(df).table, "forecast_rf_metrics": forest.metrics,
         "classifier_metrics": classify.fit_classifiers(df, SMALL, ["logistic_regression"], cross_validate=True).metrics,
     }, path)
     read = {n: results.read_result_csv(spark, f"{path}/{n}", n) for n in (

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from streetlens import config
-from streetlens.operators import kmeans, neighbours
+from streetlens.operators import kmeans, neighbours, quality
 from streetlens.operators.components import connected_components
 from streetlens.operators.dbscan import dbscan
 from streetlens.operators.neighbours import eps_neighbours
@@ -149,3 +149,52 @@ def test_cluster_run_saves_everything(spark, blobs, tmp_path):
     assert results.read_result_csv(spark, str(tmp_path / "kmeans_sweep"), "kmeans_sweep").count() == 2
     facts = {r["name"]: r["value"] for r in models.load_facts(spark, str(tmp_path / "models/clusters")).collect()}
     assert facts["kmeans_n"] == "2" and facts["min_samples"] == "10"
+
+
+def lloyd(xy, w, centres):
+    for _ in range(300):
+        label = ((xy[:, None] - centres[None]) ** 2).sum(-1).argmin(1)
+        moved = np.array([np.average(xy[label == c], axis=0, weights=w[label == c]) if (label == c).any() else centres[c] for c in range(len(centres))])
+        if np.abs(moved - centres).max() < 1e-9:
+            break
+        centres = moved
+    return ((xy[:, None] - centres[None]) ** 2).sum(-1).min(1) @ w
+
+
+def test_all_fits_side_by_side(spark):
+    rng = np.random.default_rng(4)
+    hubs = rng.uniform(-5, 5, (6, 2))
+    xy = np.concatenate([h + rng.normal(0, 0.2, (60, 2)) for h in hubs])
+    w = rng.integers(1, 9, len(xy))
+    points = spark.createDataFrame([(float(a), float(b), int(c)) for (a, b), c in zip(xy, w)], "x double, y double, w long").repartition(5)
+    fits = kmeans.fit_all(points, range(2, 8), 4, 42)
+    assert sorted((f.k, f.start) for f in fits) == [(k, s) for k in range(2, 8) for s in range(4)]
+    assert all(f.centres.shape == (f.k, 2) for f in fits)
+    for f in fits:  # each has settled: plain rounds from its centres win nothing more
+        assert lloyd(xy, w, f.centres) == pytest.approx(f.inertia, rel=1e-3)
+    best = kmeans.best_fits(fits)
+    assert best[6].inertia == pytest.approx(lloyd(xy, w, hubs), rel=1e-6)
+    again = kmeans.best_fits(kmeans.fit_all(points.repartition(2), range(2, 8), 4, 42))
+    assert {k: round(f.inertia, 6) for k, f in again.items()} == {k: round(f.inertia, 6) for k, f in best.items()}
+    for k, (silhouette, bouldin) in kmeans._linear_scores(points, best).items():
+        labelled = quality.nearest_centroid(points, [tuple(c) for c in best[k].centres.tolist()]).select("x", "y", "w", "label")
+        assert silhouette == pytest.approx(quality.silhouette_fast(labelled).first()[0], rel=1e-9)
+        assert bouldin == pytest.approx(quality.davies_bouldin(labelled).first()[0], rel=1e-9)
+
+
+def test_fewer_points_than_centres(spark):
+    points = spark.createDataFrame([(0.0, 0.0, 5), (1.0, 0.0, 1), (0.0, 0.0, 2)], "x double, y double, w long")
+    fits = kmeans.fit_all(points, [4], 2, 1)
+    assert [len(f.centres) for f in fits] == [2, 2] and all(f.inertia == 0 for f in fits)
+    assert kmeans.fit_all(points.limit(0), [3], 2, 1) == []
+
+
+def test_a_stored_labelling_labels_places(spark, blobs, tmp_path):
+    from streetlens.sources import models
+
+    points = kmeans.prepared_points(blobs)
+    fit = kmeans.best_fits(kmeans.fit_all(points, [3], 2, 7))[3]
+    models.save_models(spark, {"kmeans": kmeans.kmeans_model(points, fit)}, str(tmp_path / "m"))
+    again = models.load_model(str(tmp_path / "m"), "kmeans").transform(blobs)
+    want = {(r["latitude"], r["longitude"]): r["label"] for r in quality.nearest_centroid(points, [tuple(c) for c in fit.centres.tolist()]).collect()}
+    assert all(want[r["latitude"], r["longitude"]] == r["prediction"] for r in again.collect())
