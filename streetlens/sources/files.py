@@ -21,3 +21,16 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     if not system.exists(jvm_path):
         return []
     return [status.getPath().getName() for status in system.listStatus(jvm_path)]
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file at ``path``, with the folders above it."""
+    jvm_path, system = _path(spark, path)
+    system.create(jvm_path, True).close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Take away a file or folder of marks, if it exists."""
+    jvm_path, system = _path(spark, path)
+    if system.exists(jvm_path):
+        system.delete(jvm_path, True)

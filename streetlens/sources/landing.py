@@ -13,6 +13,7 @@ from streetlens.sources import files
 CORRUPT = "_corrupt_record"
 # crimes_YYYY-MM.json, or a folder month=YYYY-MM
 FILE_MONTH = r"(?:crimes_|file_month=)(\d{4}-\d{2})"
+FOLDER, MARKS = "file_month=", "_landed"
 
 
 def scan_incident_json(spark: SparkSession, path: str, multi_line: bool = True, only_months: list[str] | None = None) -> DataFrame:
@@ -26,10 +27,21 @@ def scan_incident_json(spark: SparkSession, path: str, multi_line: bool = True,
         spark.read.schema(schema).option("multiLine", str(multi_line).lower())
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     )
-    if only_months is not None:
-        reader = reader.option("pathGlobFilter", "crimes_{" + ",".join(only_months) + "}.json")
+    if only_months is None:
+        found = reader.json(path)
+    else:  # of the landed months only the folders asked for are listed and read
+        base, wanted = path.rstrip("/"), list(dict.fromkeys(only_months))
+        names = set(files.child_names(spark, path))
+        chosen = [f"{base}/{n}" for m in wanted for n in (f"{FOLDER}{m}", f"crimes_{m}.json") if n in names]
+        if any(n.startswith(FOLDER) for n in names):
+            if not chosen:
+                none = F.lit(None).cast("string")
+                return spark.createDataFrame([], schema).withColumns({"file_month": none, "source_file": none})
+            found = reader.json(chosen)
+        else:
+            found = reader.option("pathGlobFilter", "crimes_{" + ",".join(wanted) + "}.json").json(path)
     month = F.regexp_extract(F.col("_metadata.file_path"), FILE_MONTH, 1)
-    return reader.json(path).withColumns({"file_month": F.nullif(month, F.lit("")), "source_file": F.col("_metadata.file_path")})
+    return found.withColumns({"file_month": F.nullif(month, F.lit("")), "source_file": F.col("_metadata.file_path")})
 
 
 # True for every row. The JSON source refuses to fill the corrupt-record column
@@ -95,23 +107,27 @@ def with_row_id(flat: DataFrame) -> DataFrame:
 
 
 def landed_months(spark: SparkSession, path: str) -> list[str]:
-    """Months that already have a landed folder, from the folder names alone."""
-    prefix = "file_month="
-    return [name[len(prefix):] for name in files.child_names(spark, path) if name.startswith(prefix)]
+    """Months that were landed completely: those with a mark, which is written after the month's files."""
+    return sorted(n for n in files.child_names(spark, f"{path.rstrip('/')}/{MARKS}") if n[:1].isdigit())
 
 
 def land_month(records: DataFrame, path: str, reuse: bool = True, rows_per_file: int = 2_000_000) -> None:
-    """Write nested records below ``path``, one folder per ``file_month``.
+    """Write nested records below ``path``, one folder per ``file_month``, and mark the months that are complete.
 
-    With ``reuse``, months that are already there are left as they are;
-    otherwise they are replaced. A large month is spread over several files.
+    With ``reuse``, marked months are left as they are; otherwise they are
+    replaced. A month's folder without a mark is what a failure left half
+    written: it is replaced as a whole. A large month is spread over several files.
     """
     spark = records.sparkSession
-    todo = records
-    if reuse:
-        done = landed_months(spark, path)
-        todo = records.filter(~F.col("file_month").isin(done)) if done else records
+    if not reuse:  # nothing counts as complete while it is being replaced
+        files.remove(spark, f"{path.rstrip('/')}/{MARKS}")
+    done = landed_months(spark, path)
+    todo = records.filter(~F.col("file_month").isin(done)) if done else records
     (
         todo.hint("rebalance", "file_month").write.partitionBy("file_month").option("maxRecordsPerFile", rows_per_file)
-        .option("partitionOverwriteMode", "dynamic").mode("append" if reuse else "overwrite").json(path)
+        .option("partitionOverwriteMode", "dynamic" if reuse else "static").mode("overwrite").json(path)
     )
+    written = [n[len(FOLDER):] for n in files.child_names(spark, path) if n.startswith(FOLDER)]
+    wanted = {r["file_month"] for r in todo.select("file_month").distinct().collect()} if done else set(written)
+    for month in sorted(wanted & set(written)):
+        files.touch(spark, f"{path.rstrip('/')}/{MARKS}/{month}")

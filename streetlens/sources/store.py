@@ -89,9 +89,7 @@ def insert_or_ignore(batch: DataFrame, path: str, order_by: Sequence[str] = ())
 def ingest_months(spark: SparkSession, landing_path: str, table_path: str, quarantine_path: str | None = None,
                   months: Sequence[str] | None = None, multi_line: bool = True) -> int:
     """Scan month files, flatten, load; unreadable ones go to quarantine. Rows added."""
-    scan = landing.scan_incident_json(spark, landing_path, multi_line)
-    if months is not None:
-        scan = scan.filter(F.col("file_month").isin(*months))
+    scan = landing.scan_incident_json(spark, landing_path, multi_line, None if months is None else list(months))
     # parsed once into columns, of which the quarantine, the months and the rows each read their own
     staged = scratch_path(spark, "staged")
     scan.write.parquet(staged)
@@ -102,21 +100,31 @@ def ingest_months(spark: SparkSession, landing_path: str, table_path: str, quara
     return insert_or_ignore(flat, table_path, order_by=("file_month", *[c for c in BRONZE_COLUMNS if c not in UNIQUE_KEY]))
 
 
-def save_clean(clean: DataFrame, path: str) -> None:
-    """Replace the clean table, partitioned by month so that scans can skip months."""
-    clean.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(path)
+def save_clean(clean: DataFrame, path: str, replace: str = "static") -> None:
+    """Write the clean table, partitioned by month so that scans can skip months.
+
+    ``replace`` is ``static`` for the whole table, ``dynamic`` for the months of ``clean`` alone.
+    """
+    write_months(clean, path, replace)
+
+
+def write_months(rows: DataFrame, path: str, replace: str) -> None:
+    rows.hint("rebalance", "month").write.mode("overwrite").option("partitionOverwriteMode", replace).partitionBy("month").parquet(path)
 
 
-def persist_aggregates(features: DataFrame, path: str) -> None:
-    """Replace the three aggregate tables.
+def persist_aggregates(features: DataFrame, path: str, replace: str = "static") -> None:
+    """Write the three aggregate tables, partitioned by month; ``replace`` as for the clean table.
 
-    The (category, month) counts are made once; the other two follow from them.
+    The (category, month) counts are made once; the other two follow from
+    them. A week belongs to the month that its Monday lies in, so every table's
+    rows follow from those of one month.
     """
+    month = F.date_format("month_date", "yyyy-MM").alias("month")
     counts = aggregates.count_by(features, "category", "month_date").persist()
     try:
-        counts.groupBy("month_date").agg(F.sum("crime_count").alias("crime_count")).orderBy("month_date").write.mode(
-            "overwrite").parquet(f"{path}/agg_monthly")
-        counts.orderBy("category", "month_date").write.mode("overwrite").parquet(f"{path}/agg_monthly_category")
-        aggregates.weekly_from_monthly(counts).write.mode("overwrite").parquet(f"{path}/agg_weekly_category")
+        write_months(counts.groupBy("month_date").agg(F.sum("crime_count").alias("crime_count")).select("*", month), f"{path}/agg_monthly", replace)
+        write_months(counts.select("*", month), f"{path}/agg_monthly_category", replace)
+        weekly = aggregates.weekly_from_monthly(counts)
+        write_months(weekly.select("*", F.date_format("week_start", "yyyy-MM").alias("month")), f"{path}/agg_weekly_category", replace)
     finally:
         counts.unpersist()
