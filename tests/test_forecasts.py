@@ -127,3 +127,33 @@ def test_null_values_and_empty_series(spark, series):
     assert {r["key"] for r in arima.arima_order_search(holes, ["key"]).collect()} == set("abce")
     assert arima.arima_order_search(series.limit(0), ["key"], folds=True).collect() == []
     assert seasonal.seasonal_trend_fit(series.limit(0), ["key"], folds=True).collect() == []
+
+
+def test_a_planted_bend_is_the_only_one(spark):
+    n, rng = 121, np.random.default_rng(3)
+    reach = n - 1
+    rows = []
+    for key, at in (("third", 3), ("sixth", 6)):
+        knot = 0.8 * at / 8 * reach
+        y = 500 + 0.5 * np.arange(n) + 6.0 * np.maximum(np.arange(n) - knot, 0) + 20 * np.sin(2 * np.pi * np.arange(n) / 12) + rng.normal(0, 1.0, n)
+        rows += [(key, m, float(v)) for m, v in zip(months(n), y)]
+    rows += [("none", m, float(v)) for m, v in zip(months(n), 300 + 2.0 * np.arange(n) + rng.normal(0, 3.0, n))]
+    series = spark.createDataFrame(rows, "key string, month_date date, y double")
+    found = {r["key"]: np.array(r["beta"])[2:10] / reach for r in seasonal.seasonal_coefficients(series, ["key"]).collect()}
+    assert np.flatnonzero(found["third"]).tolist() == [2] and found["third"][2] == pytest.approx(6.0, abs=0.3)
+    assert np.flatnonzero(found["sixth"]).tolist() == [5] and found["sixth"][5] == pytest.approx(6.0, abs=0.3)
+    assert not found["none"].any()
+
+
+def test_the_band_covers_four_fifths(spark):
+    rng, n, rows = np.random.default_rng(9), 123, []
+    for k in range(250):
+        y = 400 + 1.5 * np.arange(n) + 30 * np.sin(2 * np.pi * np.arange(n) / 12) + rng.normal(0, 8.0, n)
+        rows += [(k, m, float(v)) for m, v in zip(months(n), y)]
+    series = spark.createDataFrame(rows, "key long, month_date date, y double")
+    known = series.filter(F.col("month_date") < months(n)[n - 3])
+    out = seasonal.seasonal_trend_fit(known, ["key"])
+    history = out.filter("is_future = 0").agg(F.avg(F.col("y").between(F.col("yhat_lower"), F.col("yhat_upper")).cast("int"))).first()[0]
+    ahead = out.filter("is_future = 1").drop("y").join(series, ["key", "month_date"])
+    future = ahead.agg(F.avg(F.col("y").between(F.col("yhat_lower"), F.col("yhat_upper")).cast("int"))).first()[0]
+    assert 0.75 <= history <= 0.85 and 0.75 <= future <= 0.85
