@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from streetlens import config
 from streetlens.functions.numbers import normal_cdf
-from streetlens.operators.folds import fold_ends, number_rows
+from streetlens.operators.folds import dealt, fold_ends, number_rows
 from streetlens.operators.least_squares import cross_products, fit, running_products, square
 
 
@@ -82,17 +82,30 @@ def _least_aic(matrix: np.ndarray, most: int, least: int = 0) -> tuple[float | N
     ``matrix`` has the cross products of constant, level, ``most`` lagged changes and the change itself.
     """
     n, side, yy = matrix[0, 0], matrix[:-1, -1], matrix[-1, -1]
-    best, best_aic, best_lag = None, np.inf, None
-    for p in range(least, most + 1):
+
+    def tested(p: int) -> tuple[float, float] | None:
+        """(AIC, statistic) with p lagged changes."""
         size = p + 2
         done = fit(matrix[:-1, :-1], side, yy, range(size)) if n > size else None
         if done is None or done[1] <= 0:
-            continue
+            return None
         beta, rss, inverse = done
-        aic = n * np.log(rss / n) + 2 * size
-        if aic < best_aic:
-            best, best_aic, best_lag = float(beta[1] / np.sqrt(rss / (n - size) * inverse[1, 1])), aic, p
-    return best, best_lag
+        return n * np.log(rss / n) + 2 * size, float(beta[1] / np.sqrt(rss / (n - size) * inverse[1, 1]))
+
+    try:  # the regressions are nested: one factor has the residual sums of all of them
+        found = np.linalg.solve(np.linalg.cholesky(matrix[:-1, :-1]), side)
+        rss = yy - np.cumsum(found**2)[1:]
+        sizes = np.arange(2, most + 3)
+        aic = np.where((rss > 1e-9 * yy) & (n > sizes), n * np.log(np.maximum(rss, 1e-300) / n) + 2 * sizes, np.inf)[least:]
+        if np.isfinite(aic).any():
+            p = int(np.argmin(aic)) + least
+            best = tested(p)
+            if best is not None:
+                return best[1], p
+    except np.linalg.LinAlgError:
+        pass
+    every = [(x[0], p, x[1]) for p in range(least, most + 1) if (x := tested(p)) is not None]
+    return (min(every)[2], min(every)[1]) if every else (None, None)
 
 
 def _statistics(rows: DataFrame, keys: Sequence[str], lags: int, fixed: bool = False) -> DataFrame:
@@ -225,7 +238,7 @@ def arima_order_search(
     longest = known.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     most = most_lags(longest) if lags is None else lags
     w = Window.partitionBy(*keys).orderBy("month_date")
-    rows = number_rows(with_differences(known.repartition(*keys), keys, s.max_d + 1), keys)
+    rows = number_rows(with_differences(dealt(known, keys), keys, s.max_d + 1), keys)
     lagged = {
         f"d{d}_{i}": F.lag(f"d{d}", i).over(w) for d in range(s.max_d + 2) for i in range(max(back, most if d else 1) + 1)
     }

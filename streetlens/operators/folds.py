@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from streetlens import config
 
 
+def dealt(series: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Whole series over all shuffle partitions, few as their bytes may be: fits cost far more than rows."""
+    return series.repartition(int(series.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def number_rows(series: DataFrame, keys: Sequence[str], time: str = "month_date") -> DataFrame:
     """Add idx (0-based position in time) and n (length of the series)."""
     w = Window.partitionBy(*keys).orderBy(time)

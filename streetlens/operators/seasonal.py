@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streetlens import config
-from streetlens.operators.folds import fold_ends, number_rows
+from streetlens.operators.folds import dealt, fold_ends, number_rows
 from streetlens.operators.least_squares import dot, running_products, square
 
 _WAVE_RIDGE = 0.01
@@ -114,7 +114,7 @@ def seasonal_coefficients(
     products of every training window. ``series`` has no null y.
     """
     s, keys = settings, list(keys)
-    rows = number_rows(series.repartition(*keys), keys).withColumn("cutoff", F.col("idx") + 1)
+    rows = number_rows(dealt(series, keys), keys).withColumn("cutoff", F.col("idx") + 1)
     bends = [F.floor(F.lit(0.8 * j / s.changepoints) * F.greatest(F.col("cutoff") - 1, F.lit(1))) + 1 for j in range(1, s.changepoints + 1)]
     at = F.array(F.lit(0).cast("long"), *[b.cast("long") for b in bends], F.col("cutoff").cast("long"))
     waves = _waves(s)
