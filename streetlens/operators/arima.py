@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -170,11 +171,126 @@ def choose_d(tests: DataFrame, keys: Sequence[str], max_d: int = config.FORECAST
     return tests.groupBy(*keys).agg(F.coalesce(F.min(F.when(F.col("stationary"), F.col("d"))), F.lit(max_d)).alias("d"))
 
 
-def _stable(coefficients: np.ndarray) -> bool:
-    """All roots of x^k - c1 x^(k-1) - ... - ck inside the unit circle."""
-    if len(coefficients) == 0:
-        return True
-    return bool(np.all(np.abs(np.roots(np.concatenate([[1.0], -coefficients]))) < 1.0))
+def _largest_root(coefficients: np.ndarray) -> np.ndarray:
+    """Per row: the largest modulus of the roots of x^k - c1 x^(k-1) - ... - ck; below 1 the recursion is stable."""
+    many, k = coefficients.shape
+    if k == 0:
+        return np.zeros(many)
+    companion = np.zeros((many, k, k))
+    companion[:, 0] = coefficients
+    companion[:, np.arange(1, k), np.arange(k - 1)] = 1
+    return np.abs(np.linalg.eigvals(companion)).max(axis=1)
+
+
+@dataclass
+class _Candidates:
+    """Candidate fits side by side; a column of coefficients that a candidate does not have stays 0."""
+
+    d: np.ndarray
+    start: np.ndarray  # first row with a shock; the shocks before are 0
+    end: np.ndarray  # length of the training window
+    beta: np.ndarray  # candidate, constant + p + q
+    used: np.ndarray
+    p: int  # most of all candidates
+    q: int
+
+    def take(self, pick: np.ndarray, beta: np.ndarray) -> "_Candidates":
+        return _Candidates(self.d[pick], self.start[pick], self.end[pick], beta, self.used[pick], self.p, self.q)
+
+    def roots(self) -> np.ndarray:
+        """(candidate, 2): the largest root of the values and that of the shocks; stationary and invertible below 1."""
+        return np.stack([_largest_root(self.beta[:, 1 : 1 + self.p]), _largest_root(-self.beta[:, 1 + self.p :])], axis=1)
+
+    def shocks(self, values: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(sum of squared shocks, its products with the slopes, products of slopes, last shocks) in one run over ``values``, by d.
+
+        A shock and its derivatives follow from those of the rows before, so all candidates move a row at a time.
+        """
+        many, m = self.beta.shape
+        p, q, phi, theta = self.p, self.q, self.beta[:, 1 : 1 + self.p], self.beta[:, 1 + self.p :]
+        older = [np.zeros((many, 1 + m)) for _ in range(q)]
+        rss, side, matrix = np.zeros(many), np.zeros((many, m)), np.zeros((many, m, m))
+        for t in range(int(self.start.min()), int(self.end.max())):
+            live = ((t >= self.start) & (t < self.end))[:, None]
+            now = np.empty((many, 1 + m))
+            now[:, 0] = values[self.d, t] - self.beta[:, 0]
+            now[:, 1] = -1
+            for i in range(p):
+                lag = values[self.d, t - 1 - i]
+                now[:, 0] -= phi[:, i] * lag
+                now[:, 2 + i] = -lag
+            for j in range(q):
+                now[:, 2 + p + j] = -older[j][:, 0]
+            for j in range(q):
+                now -= theta[:, j, None] * older[j]
+            now = np.where(live, now, 0.0)
+            slope = now[:, 1:]
+            rss += now[:, 0] ** 2
+            side += slope * now[:, :1]
+            matrix += slope[:, :, None] * slope[:, None, :]
+            if q:
+                moved = [now, *older[:-1]]
+                older = [np.where(live, new, old) for new, old in zip(moved, older)]
+        return rss, side, matrix, np.stack([o[:, 0] for o in older], axis=1) if q else np.zeros((many, 0))
+
+
+def _gauss_newton(side: np.ndarray, matrix: np.ndarray, free: np.ndarray) -> np.ndarray:
+    """Steps of least squares in the free columns."""
+    matrix = matrix * (free[:, :, None] & free[:, None, :])
+    size = np.sqrt(np.einsum("kii->ki", matrix))
+    size[size == 0] = 1
+    inverse = np.linalg.pinv(matrix / size[:, :, None] / size[:, None, :], hermitian=True)
+    return -np.einsum("kij,kj->ki", inverse, side * free / size) / size
+
+
+# a candidate whose largest root is beyond this may be held there while its other coefficients settle
+_EDGE = 0.99
+
+
+def _refined(c: _Candidates, values: np.ndarray, rounds: int = 100) -> tuple[_Candidates, np.ndarray, np.ndarray]:
+    """Least squared shocks by Gauss-Newton rounds from the given coefficients: (candidates, rss, last shocks).
+
+    A step that raises the sum or leaves the valid region is shortened, so no
+    candidate ends worse than it began. One that gets no further at the edge of
+    the region holds the coefficients at the edge and moves the others, then
+    all again, until neither helps.
+    """
+    c = c.take(np.arange(len(c.d)), c.beta.copy())
+    rss, side, matrix, last = c.shocks(values)
+    free = c.used.copy()
+    step = _gauss_newton(side, matrix, free)
+    part, idle = np.ones(len(c.d)), np.zeros(len(c.d), int)
+    open_ = np.flatnonzero(rss > 0)
+    for _ in range(rounds):
+        if not len(open_):
+            break
+        trial = c.take(open_, c.beta[open_] + part[open_, None] * step[open_])
+        valid = (trial.roots() < 1).all(axis=1)
+        part[open_[~valid]] /= 4
+        run = open_[valid]
+        if len(run):
+            new = trial.take(np.flatnonzero(valid), trial.beta[valid]).shocks(values)
+            better = new[0] < rss[run]
+            part[run[~better]] /= 4
+            won = run[better]
+            moved = rss[won] - new[0][better] > 1e-13 * rss[won]
+            c.beta[won] = trial.beta[valid][better]
+            rss[won], side[won], matrix[won], last[won] = (x[better] for x in new)
+            step[won] = _gauss_newton(side[won], matrix[won], free[won])
+            idle[won[moved]] = 0
+            part[won] = np.where(moved, 1.0, 0.0)
+        stuck = open_[part[open_] < 1e-3]
+        if len(stuck):
+            idle[stuck] += 1
+            edge = c.take(stuck, c.beta[stuck]).roots() > _EDGE
+            held = np.concatenate([np.zeros((len(stuck), 1), bool), np.repeat(edge[:, :1], c.p, axis=1), np.repeat(edge[:, 1:], c.q, axis=1)], axis=1)
+            whole = (free[stuck] == c.used[stuck]).all(axis=1)[:, None]
+            free[stuck] = np.where(whole, c.used[stuck] & ~held, c.used[stuck])
+            same = whole[:, 0] & ~edge.any(axis=1)
+            step[stuck] = _gauss_newton(side[stuck], matrix[stuck], free[stuck])
+            part[stuck] = np.where(same | (idle[stuck] > 1), 0.0, 1.0)
+        open_ = open_[part[open_] > 0]
+    return c, rss, last
 
 
 def _forecast(order: tuple[int, int, int], beta: np.ndarray, tail: dict, horizon: int) -> list[float]:
@@ -219,15 +335,20 @@ def arima_order_search(
     ``most_lags`` of the training length, or ``lags`` if given. adf_stat,
     used_lags and p_value are those of the chosen d.
 
-    Orders are compared by AIC after a two-stage least-squares fit: residuals
-    of a long autoregression stand in for the unseen shocks. Both stages, and
-    the tests, need only cross products of lagged values, and those of every
-    training window are differences of sums that run once over the series: no
-    row is copied into a fold, and residuals are never written out. Candidates
-    that are singular, unstable or leave no degrees of freedom are skipped; if
-    none is left, ``error`` says so. The long autoregression has ``long_order``
-    lags, by default as many as the longest candidate and at least three. Rows
-    with a null y are left out. Runs a job that measures the longest series.
+    A candidate is fitted in three stages. Residuals of a long autoregression
+    stand in for the unseen shocks; least squares on them gives first
+    coefficients; Gauss-Newton rounds on the shocks themselves, which run
+    through the training window, settle them. Orders are compared by AIC of
+    those shocks, which for all orders begin at the same row. The first two
+    stages, and the tests, need only cross products of lagged values, and those
+    of every training window are differences of sums that run once over the
+    series; the third reads the series itself, which its folds share: no row is
+    copied into a fold. A task holds one series, and a bounded number of
+    candidates. Candidates that are singular or unstable after the second
+    stage, or leave no degrees of freedom, are skipped; if none is left,
+    ``error`` says so. The long autoregression has ``long_order`` lags, by
+    default as many as the longest candidate and at least three. Rows with a
+    null y are left out. Runs a job that measures the longest series.
     """
     keys = list(keys)
     s = settings
@@ -257,9 +378,11 @@ def arima_order_search(
         sets[f"long_{d}"] = ([one, *value[1 : long_order + 1], value[0]], F.array(F.lit(d + long_order).cast("long"), cutoff))
         sets[f"short_{d}"] = ([one, *value], F.array(F.lit(d + back).cast("long"), cutoff))
     tails = [F.array(*[F.col(f"d{d}_{i}") for i in range(back + 1)]).alias(f"tail_{d}") for d in range(s.max_d + 1)]
-    sums = running_products(rows, keys, "idx", sets, fold_ends(s, folds), width.alias("width"), *tails)
+    sums = running_products(rows, keys, "idx", sets, fold_ends(s, folds), width.alias("width"), cutoff.alias("cutoff"), *tails, history=F.col("d0_0"))
     names = [*keys, "fold"]
-    sums = sums.select(*keys, F.explode("ended").alias("fold"), "width", *(f"tail_{d}" for d in range(s.max_d + 1)), *sets)
+    sums = sums.select(
+        *keys, F.explode("ended").alias("fold"), F.size("ended").alias("beside"), "width", "cutoff", *(f"tail_{d}" for d in range(s.max_d + 1)), *sets, "history"
+    )
     schema = T.StructType([
         *_key_fields(sums, names), T.StructField("p", T.IntegerType()), T.StructField("d", T.IntegerType()),
         T.StructField("q", T.IntegerType()), T.StructField("aic", T.DoubleType()),
@@ -269,20 +392,70 @@ def arima_order_search(
     ])
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[dict] = []  # the windows of a series; those of its last row end it
         for batch in batches:
-            found = [_search(row, s, most, long_order, back) for row in batch.to_dict("records")]
-            out = pd.DataFrame(found, index=batch.index, columns=schema.names[len(names):])
+            done = []
+            for row in batch.to_dict("records"):
+                held.append(row)
+                if row["history"] is not None and sum(h["history"] is not None for h in held[-row["beside"] :]) == row["beside"]:
+                    done += _search_series(held, s, most, long_order, back)
+                    held = []
+            out = pd.DataFrame(done, columns=schema.names)
             for c in ("p", "d", "q", "used_lags"):
                 out[c] = out[c].astype("Int32")
             for c in ("aic", "adf_stat", "p_value"):
                 out[c] = out[c].astype("float64")
-            yield pd.concat([batch[names], out], axis=1)
+            yield out
 
     return sums.mapInPandas(solve, schema)
 
 
-def _search(row: dict, s: config.ForecastSettings, most: int, long_order: int, back: int) -> dict:
-    """The best order of one series and fold, from its cross products."""
+# candidates of one series that are refined side by side
+_SIDE_BY_SIDE = 4096
+
+
+def _search_series(rows: Sequence[dict], s: config.ForecastSettings, most: int, long_order: int, back: int) -> list[dict]:
+    """The best order of every window of one series; the last window's row has the series."""
+    y = np.asarray(rows[-1]["history"], dtype=float)
+    values = np.zeros((s.max_d + 1, len(y)))
+    for d in range(s.max_d + 1):
+        values[d, d:] = np.diff(y, d)
+    most_p, most_q = (max((o[k] for o in s.orders), default=0) for k in (0, 2))
+    out: list[dict] = []
+    at_once = max(1, _SIDE_BY_SIDE // max(1, len(s.orders)))
+    for i in range(0, len(rows), at_once):
+        part = rows[i : i + at_once]
+        begun = [_starts(row, s, most, long_order, back) for row in part]
+        owner = np.repeat(np.arange(len(part)), [len(c) for _, c, _ in begun])
+        found = [c for _, cs, _ in begun for c in cs]
+        best: dict[int, dict] = {}
+        if found:
+            d = np.array([begun[k][0]["d"] for k in owner])
+            end = np.array([part[k]["cutoff"] for k in owner])
+            c = _Candidates(d, d + most_p, end, np.array([f[2] for f in found]), np.array([f[3] for f in found]), most_p, most_q)
+            c, rss, last = _refined(c, values)
+            n = c.end - c.start
+            for k, who in enumerate(owner):
+                p, q = found[k][:2]
+                if rss[k] <= 0:
+                    continue
+                aic = float(n[k] * np.log(rss[k] / n[k]) + 2 * (p + q + 1))
+                if who in best and aic >= best[who]["aic"]:
+                    continue
+                row = part[who]
+                tail = {f"w_{j}": v for j, v in enumerate(row[f"tail_{d[k]}"][:p])} | {f"e_{j}": v for j, v in enumerate(last[k])}
+                tail |= {f"d{j}": row[f"tail_{j}"][0] for j in range(d[k])}
+                beta = c.beta[k][c.used[k]]
+                best[who] = {"p": p, "q": q, "aic": aic, "coefficients": beta.tolist(),
+                             "forecast": _forecast((p, int(d[k]), q), beta, tail, s.horizon), "error": None}
+        none = {"p": None, "q": None, "aic": None, "coefficients": None, "forecast": None, "error": "no order could be fitted"}
+        for k, (row, (tested, _, error)) in enumerate(zip(part, begun)):
+            out.append(row | tested | best.get(k, none | ({"error": error} if error else {})))
+    return out
+
+
+def _starts(row: dict, s: config.ForecastSettings, most: int, long_order: int, back: int) -> tuple[dict, list[tuple], str | None]:
+    """(test, candidates as (p, q, coefficients, columns used), error) of one window, from its cross products."""
     tested: dict = {}
     for d in range(s.max_d + 1):
         matrix = square(row[f"test_{d}"][0])
@@ -294,13 +467,12 @@ def _search(row: dict, s: config.ForecastSettings, most: int, long_order: int, b
         if p_value is not None and p_value < s.adf_alpha:
             break
     d = tested["d"]
-    none = {"p": None, "q": None, "aic": None, "coefficients": None, "forecast": None} | tested
     ahead = square(row[f"long_{d}"][0])
     first = fit(ahead[:-1, :-1], ahead[:-1, -1], ahead[-1, -1], range(long_order + 1)) if ahead[0, 0] > 0 else None
     base = square(row[f"short_{d}"][0])
     n = base[0, 0]
     if first is None or n < 1:
-        return none | {"error": "series too short"}
+        return tested, [], "series too short"
     most_p, most_q = (max((o[k] for o in s.orders), default=0) for k in (0, 2))
     # constant, lagged values, lagged residuals and the value itself, each from the constant and the lags of the value
     to = np.zeros((2 + most_p + most_q, 2 + back))
@@ -311,11 +483,7 @@ def _search(row: dict, s: config.ForecastSettings, most: int, long_order: int, b
         to[most_p + i] = _residual(first[0], i, back)
     both = to @ base @ to.T
     matrix, side, yy = both[:-1, :-1], both[:-1, -1], float(both[-1, -1])
-    last = np.array([np.nan if v is None else v for v in row[f"tail_{d}"]], dtype=float)
-    shocks = [float(_residual(first[0], i, back) @ np.append(1.0, last)) for i in range(most_q)]
-    tail = {f"w_{i}": last[i] for i in range(most_p)} | {f"e_{i}": e for i, e in enumerate(shocks)}
-    tail |= {f"d{k}": row[f"tail_{k}"][0] for k in range(d)}
-    best = None
+    found = []
     for p, q in dict.fromkeys((o[0], o[2]) for o in s.orders):
         use = [*([0] if d == 0 else []), *range(1, p + 1), *range(1 + most_p, 1 + most_p + q)]
         if use:
@@ -324,15 +492,11 @@ def _search(row: dict, s: config.ForecastSettings, most: int, long_order: int, b
             done = (np.zeros(0), yy, None) if n > 2 else None
         if done is None or done[1] <= 0:
             continue
-        beta, rss, _ = done
-        rest = beta[1:] if d == 0 else beta
-        if not (_stable(rest[:p]) and _stable(-rest[p:])):
-            continue
-        aic = n * np.log(rss / n) + 2 * (p + q + 1)
-        if best is None or aic < best["aic"]:
-            best = {"p": p, "q": q, "aic": float(aic), "coefficients": beta.tolist(),
-                    "forecast": _forecast((p, d, q), beta, tail, s.horizon), "error": None}
-    return tested | best if best else none | {"error": "no order could be fitted"}
+        beta, columns = np.zeros(1 + most_p + most_q), np.zeros(1 + most_p + most_q, bool)
+        beta[use], columns[use] = done[0], True
+        if max(_largest_root(beta[None, 1 : 1 + most_p])[0], _largest_root(-beta[None, 1 + most_p :])[0]) < 1:
+            found.append((p, q, beta, columns))
+    return tested, found, None
 
 
 def _residual(beta: np.ndarray, i: int, back: int) -> np.ndarray:

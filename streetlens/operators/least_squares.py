@@ -44,7 +44,8 @@ def _whole_series(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def running_products(
-    rows: DataFrame, keys: Sequence[str], position: str, sets: Mapping[str, tuple[Sequence[Column], Column]], ended: Column, *carry: Column
+    rows: DataFrame, keys: Sequence[str], position: str, sets: Mapping[str, tuple[Sequence[Column], Column]], ended: Column, *carry: Column,
+    history: Column | None = None,
 ) -> DataFrame:
     """(keys, ended, carry, one column per set) for the rows at which a training window ends.
 
@@ -55,10 +56,14 @@ def running_products(
     products of the columns (lower triangle, by row; null counts as 0) over the
     rows between. Sums run once over each series, whatever the number of
     windows: a window's products are differences of running sums. A task holds
-    the running sums of the series that it is at, one row per period.
+    the running sums of the series that it is at, one row per period. With
+    ``history`` there is also a column of that name: the values of that column
+    over the whole series at the last row of each series, null at all others.
     """
     columns = {f"_{name}_{i}": c.cast("double") for name, (features, _) in sets.items() for i, c in enumerate(features)}
     places = {f"_at_{name}": at.cast("array<long>") for name, (_, at) in sets.items()}
+    if history is not None:
+        columns["_history"] = history.cast("double")
     kept = rows.select(
         *keys, F.col(position).cast("long").alias("_pos"), ended.alias("ended"), *carry,
         *(c.alias(n) for n, c in {**columns, **places}.items()),
@@ -86,11 +91,16 @@ def running_products(
                         to = np.maximum.accumulate(np.minimum(at[r], wanted[r] - starts[k] + 1))
                         sums.append((total[to[1:]] - total[to[:-1]]).tolist())
                 found.append(pa.array(sums, pa.list_(pa.list_(pa.float64()))))
-            for batch in pa.Table.from_arrays([*(out[c] for c in names), *found], names=[*names, *widths]).to_batches():
+            if "history" in more:
+                whole = table["_history"].to_numpy()
+                seen = [whole[starts[k] : r + 1] if r + 1 == starts[k + 1] else None for k, r in zip(series, wanted)]
+                found.append(pa.array(seen, pa.list_(pa.float64())))
+            for batch in pa.Table.from_arrays([*(out[c] for c in names), *found], names=[*names, *more]).to_batches():
                 yield batch
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.select(*names).schema)
-    return kept.mapInArrow(run, f"{types}, " + ", ".join(f"`{name}` array<array<double>>" for name in widths))
+    more = {name: "array<array<double>>" for name in widths} | ({"history": "array<double>"} if history is not None else {})
+    return kept.mapInArrow(run, f"{types}, " + ", ".join(f"`{name}` {kind}" for name, kind in more.items()))
 
 
 def square(triangle: Sequence[float]) -> np.ndarray:

@@ -2,7 +2,8 @@
 
 import math
 import re
-from datetime import date
+from dataclasses import replace
+from datetime import date, timedelta
 
 import numpy as np
 import pytest
@@ -98,6 +99,57 @@ def test_lags_follow_the_length_and_aic(series):
         assert r["p_value"] < 0.05 or r["d"] == 2
 
 
+def shocks_of(y, d, phi, theta, const, start):
+    """Shocks by the recursion, one row after another; those before ``start`` are 0."""
+    w, e = np.diff(y, d), np.zeros(len(y) - d)
+    for t in range(start, len(w)):
+        e[t] = w[t] - const - sum(c * w[t - 1 - i] for i, c in enumerate(phi)) - sum(c * e[t - 1 - i] for i, c in enumerate(theta) if t - 1 - i >= 0)
+    return e
+
+
+def test_planted_coefficients_come_back(spark):
+    rng = np.random.default_rng(12)
+    n = 3000
+    e = rng.normal(0, 3, n)
+    ar = np.zeros(n)
+    for t in range(2, n):
+        ar[t] = 0.5 * ar[t - 1] - 0.3 * ar[t - 2] + e[t]
+    ma = 20 + e + 0.8 * np.r_[0.0, e[:-1]]
+    first = date(1800, 1, 1)
+    rows = [(k, first + timedelta(days=i), float(v)) for k, y in (("ar", 50 + ar), ("ma", ma)) for i, v in enumerate(y)]
+    frame = spark.createDataFrame(rows, "key string, month_date date, y double")
+    one = {r["key"]: r for r in arima.arima_order_search(frame, ["key"], replace(config.FORECAST, orders=((2, 0, 0),))).collect()}["ar"]
+    assert one["coefficients"][1:] == pytest.approx([0.5, -0.3], abs=0.05) and one["d"] == 0
+    two = {r["key"]: r for r in arima.arima_order_search(frame, ["key"], replace(config.FORECAST, orders=((0, 0, 1),))).collect()}["ma"]
+    assert two["coefficients"] == pytest.approx([20, 0.8], abs=0.3) and two["coefficients"][1] == pytest.approx(0.8, abs=0.05)
+
+
+def test_aic_and_forecast_come_from_the_shocks(series):
+    for orders in (((2, 1, 1),), ((0, 1, 2),), ((1, 0, 1), (3, 1, 1))):
+        for r in arima.arima_order_search(series, ["key"], replace(config.FORECAST, orders=orders)).filter("error is null").collect():
+            y, p, d, q = values(series, r["key"]), r["p"], r["d"], r["q"]
+            most_p = max(o[0] for o in orders)
+            beta = np.array(r["coefficients"])
+            const, rest = (beta[0], beta[1:]) if d == 0 else (0.0, beta)
+
+            def rss(x):
+                return (shocks_of(y, d, x[:p], x[p:], const, most_p) ** 2).sum()
+
+            n = len(y) - d - most_p
+            assert r["aic"] == pytest.approx(n * math.log(rss(rest) / n) + 2 * (p + q + 1), rel=1e-9)
+            e, w = shocks_of(y, d, rest[:p], rest[p:], const, most_p), np.diff(y, d)
+            step = const + sum(c * w[-1 - i] for i, c in enumerate(rest[:p])) + sum(c * e[-1 - i] for i, c in enumerate(rest[p:]))
+            level = step if d == 0 else y[-1] + step if d == 1 else 2 * y[-1] - y[-2] + step
+            assert r["forecast"][0] == pytest.approx(level, rel=1e-9)
+            # no nearby valid coefficients have smaller shocks
+            for k in range(p + q):
+                for move in (-1e-3, 1e-3):
+                    x = rest.copy()
+                    x[k] += move
+                    if max(arima._largest_root(x[None, :p])[0], arima._largest_root(-x[None, p:])[0]) < 1:
+                        assert rss(x) >= rss(rest) * (1 - 1e-5)
+
+
 def test_p_values_at_published_points(spark):
     stats = [(-30.0, 0.0), (-3.43, 0.01), (-2.86, 0.05), (-2.57, 0.10), (0.0, 0.958), (5.0, 1.0)]
     rows = spark.createDataFrame(stats, "stat double, p double").withColumn("got", arima.unit_root_p_value(F.col("stat"))).collect()
