@@ -22,7 +22,7 @@ def cluster_points(points: DataFrame, eps: float, min_samples: int) -> DataFrame
     included. Clusters are numbered by the smallest first_id of their core
     points; a border point takes the lowest number within reach; noise is -1.
     """
-    grid = CellGrid.for_points(points, eps)
+    grid = CellGrid.of(eps)
     cy, cx = level_key(F.col("iy"), 0).alias("cy"), level_key(F.col("ix"), 0).alias("cx")
     keyed = cut(grid.keyed(points).select("*", cy, cx))
     all_cells = cut(cells(keyed))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from math import asin, ceil, cos, degrees, radians, sin, sqrt
+from math import ceil, degrees, sin, sqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,52 +35,65 @@ FEW = 64
 
 @dataclass(frozen=True)
 class CellGrid:
-    """Cell sizes in degrees and how many cells away a neighbour can be."""
+    """Cells of equal height whose width in degrees follows the latitude of their row.
+
+    The width and the reach of a row depend on that row alone, so points near a
+    pole do not widen the cells or the reach of others, and no pass over the
+    points is needed.
+    """
 
     eps: float
     lat_step: float
-    lng_step: float
     lat_reach: int
-    lng_reach: int
-    columns: int
-    wraps: bool
 
     @staticmethod
-    def for_points(points: DataFrame, eps: float) -> "CellGrid":
+    def of(eps: float) -> "CellGrid":
         if not 0 < eps < EARTH_RADIUS_M / 10:
             raise ValueError("eps must be positive and well below the earth's radius")
-        e = points.agg(
-            F.min("latitude"), F.max("latitude"), F.min("longitude"), F.max("longitude")
-        ).first()
-        lat_lo, lat_hi, lng_lo, lng_hi = (e[i] if e[i] is not None else 0.0 for i in range(4))
-        nearest = 0.0 if lat_lo <= 0 <= lat_hi else min(abs(lat_lo), abs(lat_hi))
-        farthest = max(abs(lat_lo), abs(lat_hi))
         # a little below eps / sqrt(2), so that the diagonal stays below eps
         side = degrees(0.999 * eps / sqrt(2.0) / EARTH_RADIUS_M)
-        lng_step = side / max(cos(radians(nearest)), 1e-12)
-        chord = sin(eps / (2 * EARTH_RADIUS_M)) / max(cos(radians(farthest)), 1e-12)
-        lng_span = 360.0 if chord >= 1 else degrees(2 * asin(chord))
-        wraps = lng_lo + 360.0 - lng_hi <= lng_span
-        reach = ceil(lng_span / lng_step) + (1 if wraps else 0)
-        return CellGrid(
-            eps, side, lng_step, ceil(degrees(eps / EARTH_RADIUS_M) / side), reach, int(360.0 / lng_step) + 1, wraps
-        )
+        return CellGrid(eps, side, ceil(degrees(eps / EARTH_RADIUS_M) / side))
+
+    def lng_step(self, cy: Column) -> Column:
+        """Width in degrees of the cells of a row: the side is met at the edge next to the equator."""
+        south = cy * self.lat_step - 90.0
+        nearest = F.greatest(F.lit(0.0), south, -south - self.lat_step)
+        return F.lit(self.lat_step) / F.greatest(F.cos(F.radians(nearest)), F.lit(1e-12))
+
+    def lng_span(self, cy: Column) -> Column:
+        """The largest difference of longitude of points within eps, one of them in this row."""
+        farthest = F.greatest(90.0 - (cy - self.lat_reach) * self.lat_step, (cy + self.lat_reach + 1) * self.lat_step - 90.0)
+        least = F.cos(F.radians(F.least(farthest, F.lit(90.0))))
+        chord = F.lit(sin(self.eps / (2 * EARTH_RADIUS_M))) / F.greatest(least, F.lit(1e-12))
+        return F.when(chord >= 1, F.lit(360.0)).otherwise(F.degrees(2 * F.asin(F.least(chord, F.lit(1.0)))) * (1 + 1e-9))
 
     def keyed(self, points: DataFrame) -> DataFrame:
         """Add the finest cell numbers iy, ix."""
         fine = float(1 << (_BITS * LEVELS))
-        return points.withColumns({
-            "iy": F.floor((F.col("latitude") + 90.0) / self.lat_step * fine).cast("bigint"),
-            "ix": F.floor((F.col("longitude") + 180.0) / self.lng_step * fine).cast("bigint"),
-        })
+        rows = points.withColumn("iy", F.floor((F.col("latitude") + 90.0) / self.lat_step * fine).cast("bigint"))
+        return rows.withColumn("ix", F.floor((F.col("longitude") + 180.0) / self.lng_step(level_key(F.col("iy"), 0)) * fine).cast("bigint"))
 
     def near(self, cy: Column, cx: Column) -> Column:
         """Array of cell structs (y, x) that can hold points within eps of a point in this cell."""
+        step, span = self.lng_step(cy), self.lng_span(cy)
+        west, east = cx * step - span, (cx + 1) * step + span
+
+        def columns(y: Column) -> Column:
+            def between(lo: Column, hi: Column) -> Column:
+                return F.sequence(F.floor(lo / self.lng_step(y)), F.floor(hi / self.lng_step(y)))
+
+            none = F.array().cast("array<bigint>")
+            start, end = F.lit(0.0), F.lit(360.0)
+            # what reaches over the date line comes in again on the other side
+            parts = F.concat(
+                between(F.greatest(west, start), F.least(east, end)),
+                F.when(west < 0, between(west + 360.0, end)).otherwise(none),
+                F.when(east > 360.0, between(start, east - 360.0)).otherwise(none),
+            )
+            return F.when(east - west >= 360.0, between(start, end)).otherwise(F.array_distinct(parts))
+
         rows = F.sequence(cy - self.lat_reach, cy + self.lat_reach)
-        columns = F.sequence(cx - self.lng_reach, cx + self.lng_reach)
-        if self.wraps:
-            columns = F.array_distinct(F.transform(columns, lambda c: F.pmod(c, F.lit(self.columns).cast("bigint"))))
-        return F.flatten(F.transform(rows, lambda y: F.transform(columns, lambda x: F.struct(y.alias("y"), x.alias("x")))))
+        return F.flatten(F.transform(rows, lambda y: F.transform(columns(y), lambda x: F.struct(y.alias("y"), x.alias("x")))))
 
 
 def level_key(c: Column, level: int) -> Column:
@@ -299,7 +312,7 @@ def eps_neighbours(df: DataFrame, eps: float, id_col: str = "id", at_least: int
     With ``at_least``, counting stops once a point is known to have that many.
     """
     points = cut(distinct_points(df, id_col))
-    grid = CellGrid.for_points(points, eps)
+    grid = CellGrid.of(eps)
     keyed = grid.keyed(points)
     totals = weight_within(point_pairs(keyed, cells(keyed), grid), keyed, ["first_id"], eps, at_least)
     return points.join(totals, "first_id").select("latitude", "longitude", "w", F.col("total").alias("neighbours"))

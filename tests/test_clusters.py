@@ -79,6 +79,36 @@ def test_neighbours_across_the_date_line(spark):
     assert {(r["latitude"], r["longitude"]): r["neighbours"] for r in out} == want
 
 
+@pytest.mark.parametrize("south", [False, True])
+def test_neighbours_at_all_latitudes(spark, south):
+    """From the pole itself to the equator, over the date line and over the pole."""
+    rng = np.random.default_rng(5)
+    lat = np.concatenate([[90.0, 90.0], 90 - np.abs(rng.normal(0, 0.012, 120)), rng.uniform(79.98, 80.0, 60), rng.uniform(-0.01, 0.01, 60)])
+    lng = np.concatenate([[0.0, 77.0], rng.uniform(-180, 180, 120), 179.95 + rng.uniform(0, 0.1, 60), rng.uniform(0, 0.02, 60)])
+    lat, lng = -lat if south else lat, np.where(lng > 180, lng - 360, lng)
+    near = distances(lat, lng) <= 700.0
+    want = {(a, b): int(c) for a, b, c in zip(lat, lng, near.sum(1))}
+    out = eps_neighbours(frame(spark, lat, lng), 700.0).collect()
+    assert {(r["latitude"], r["longitude"]): r["neighbours"] for r in out} == want
+    labels = [r["dbscan_label"] for r in dbscan(frame(spark, lat, lng), 700.0, 4).orderBy("id").collect()]
+    assert labels == brute_dbscan(near, 4).tolist()
+
+
+def test_a_point_at_the_pole_widens_nothing(spark):
+    lat, lng = city(1, 60)
+    grid = neighbours.CellGrid.of(150.0)
+
+    def met(frame_):
+        keyed = grid.keyed(neighbours.distinct_points(frame_))
+        cell = [neighbours.level_key(F.col(c), 0) for c in ("iy", "ix")]
+        rows = keyed.select("latitude", "longitude", "iy", "ix", F.size(grid.near(*cell)).alias("many")).collect()
+        return {(r["latitude"], r["longitude"]): (r["iy"], r["ix"], r["many"]) for r in rows}
+
+    alone, beside = met(frame(spark, lat, lng)), met(frame(spark, np.append(lat, 89.99), np.append(lng, 3.0)))
+    assert all(beside[k] == v for k, v in alone.items()) and max(v[2] for v in alone.values()) <= 35
+    assert max(v[2] for v in beside.values()) <= 60
+
+
 @pytest.mark.parametrize("seed,eps,min_samples,few", [(1, 60.0, 8, 64), (2, 120.0, 25, 3), (3, 35.0, 4, 64)])
 def test_dbscan(spark, monkeypatch, seed, eps, min_samples, few):
     monkeypatch.setattr(neighbours, "FEW", few)
