@@ -122,31 +122,40 @@ def _sample_windows(batches):
         windows, row, length = cut_windows(data[off[0] : off[-1]], off - off[0])
         count = np.bincount(row, minlength=batch.num_rows)
         rank = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-        many = np.minimum(count, SAMPLE_WINDOWS)[row]
+        many = np.minimum(count, SAMPLE_WINDOWS)
         # evenly over the whole text
-        keep = (rank * many // count[row]) != ((rank - 1) * many // count[row])
-        yield pa.RecordBatch.from_arrays(
-            [batch["lang"].take(pa.array(row[keep])), pa.array([w.tobytes() for w in windows[keep]], pa.binary())], names=["lang", "bytes"]
-        )
+        keep = (rank * many[row] // count[row]) != ((rank - 1) * many[row] // count[row])
+        ends = np.append(0, np.cumsum(many) * WINDOW).astype(np.int32)
+        seen = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(windows[keep].tobytes())])
+        yield pa.RecordBatch.from_arrays([batch["lang"], batch["_hash"], batch["_text"], seen], names=["lang", "_hash", "_text", "bytes"])
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Network | None:
     """A network from at most ``sample`` documents, spread evenly over the languages; None without a labelled document.
 
     Learns from text and lang of rows whose crc32(doc_id as text) mod 3 is not 1.
+    Of every language the documents of least hash are taken. Rows are counted,
+    not ids, so rows that repeat an id stay within the bound; of more than
+    ``sample`` languages the most frequent are learnt. Only documents whose hash
+    is below a bound that follows from the language's number of ids are ranked.
     """
-    rows = docs.select("doc_id", "lang", "text").filter(
-        (F.crc32(F.col("doc_id").cast("string")) % 3 != 1) & F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}")
-    )
-    languages = rows.select("lang").distinct().count()
-    if not languages:
+    rows = docs.select(
+        F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("doc_id").alias("_hash"), F.xxhash64("text").alias("_text")
+    ).filter((F.crc32(docs["doc_id"].cast("string")) % 3 != 1) & F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("_hash").alias("ids"))
+    found = sizes.orderBy(F.desc("rows"), "lang").limit(sample).collect()
+    if not found:
         return None
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").withColumn("_rank", F.row_number().over(order)).filter(
-        F.col("_rank") <= max(8, sample // languages)
-    ).select("doc_id").distinct()
-    taken = rows.join(F.broadcast(chosen), "doc_id").mapInArrow(_sample_windows, "lang string, bytes binary").toArrow()
-    pairs = sorted(zip(taken["lang"].to_pylist(), taken["bytes"].to_pylist()))  # the order of rows must not matter
+    each = sample // len(found)
+    bounds = [(r["lang"], min(2**63 - 1, int(-(2**63) + 2**64 * (2 * each + 64) / r["ids"]))) for r in found]
+    few = rows.join(F.broadcast(docs.sparkSession.createDataFrame(bounds, "lang string, _bound long")), "lang").filter("_hash <= _bound")
+    seen = few.select("lang", "_hash", "_text", "text").mapInArrow(_sample_windows, "lang string, _hash long, _text long, bytes binary")
+    order = Window.partitionBy("lang").orderBy("_hash", "_text")
+    taken = seen.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= each).select("lang", "bytes").toArrow()
+    pairs = sorted(  # the order of rows must not matter
+        (lang, seen[i : i + WINDOW])
+        for lang, seen in zip(taken["lang"].to_pylist(), taken["bytes"].to_pylist()) for i in range(0, len(seen), WINDOW)
+    )
     labels = sorted({p[0] for p in pairs})
     number = {name: k for k, name in enumerate(labels)}
     return train(

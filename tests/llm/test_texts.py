@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+from zlib import crc32
 
 import numpy as np
 import public_tokenizers
@@ -11,6 +12,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
+from streetlens.llm import language_cnn
 from streetlens.llm.fingerprints import BINS, fingerprints, likeness, with_next
 from streetlens.llm.html_text import extract_text, main_texts, page_blocks
 from streetlens.llm.language_cnn import identify_language, learn
@@ -103,6 +105,20 @@ def test_language_of_odd_rows(spark):
     assert identify_language(docs.limit(0)).collect() == []
 
 
+def test_language_learns_from_a_bounded_number_of_rows(spark, monkeypatch):
+    """Whatever repeats: rows of one id, whole rows, more languages than documents to learn from."""
+    seen = []
+    monkeypatch.setattr(language_cnn, "train", lambda windows, label, labels, **_: seen.append((len(windows), labels)) or "net")
+    other = [(k, f"some text {k}", "en") for k in range(300)]
+    same_id = [(500, f"ein text {k}", "de") for k in range(500)]
+    copies = [(501, "un texte", "fr")] * 400
+    assert crc32(b"500") % 3 != 1 and crc32(b"501") % 3 != 1
+    docs = spark.createDataFrame(other + same_id + copies, "doc_id long, text string, lang string").repartition(7)
+    assert learn(docs, 60) == "net" and seen == [(60, ["de", "en", "fr"])]
+    many = spark.createDataFrame([(k, "a text", f"l{k:03d}") for k in range(90)] + [(k, "text", "l100") for k in range(9)], "doc_id long, text string, lang string")
+    assert learn(many, 20) == "net" and seen[1][0] == 20 and len(seen[1][1]) == 20 and "l100" in seen[1][1]
+
+
 # ---- mixing ----------------------------------------------------------------------
 def test_targets_are_refilled():
     assert fill_targets([10, 100, 100], [3, 1, 2], 150.0, 2.0) == [20.0, 130 / 3, 260 / 3]
