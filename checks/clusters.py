@@ -109,6 +109,16 @@ def silhouette_exact(spark, folder):
     return quality.silhouette_exact(_assigned(spark, folder)).select(r("silhouette").alias("silhouette"))
 
 
+@check("silhouette_within", on(WITH_CLEAN, SILHOUETTE.replace(" FROM ab", ", true AS within FROM ab"), *silhouette_sql("sqrt(pow(p.x - q.x, 2) + pow(p.y - q.y, 2))")))
+def silhouette_within(spark, folder):
+    """At tolerance 0 the search in cells gives the exact score; at 1 % it stays within its bound of that."""
+    points = _assigned(spark, folder)
+    near = quality.silhouette_within(points, 0.01).scalar()
+    return quality.silhouette_within(points, 0.0).select(
+        r("silhouette").alias("silhouette"), (F.abs(F.col("silhouette") - near) <= 0.02 / 0.99).alias("within")
+    )
+
+
 @check("silhouette_fast", on(WITH_CLEAN, SILHOUETTE, *silhouette_sql("(pow(p.x - q.x, 2) + pow(p.y - q.y, 2))")))
 def silhouette_fast(spark, folder):
     """Squared distances; the SQL adds them up pair by pair."""

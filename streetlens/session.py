@@ -59,3 +59,14 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     """Write ``df`` to the shared folder and forget how it was made."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: like ``cut``, but later plans know the table's true size.
+
+    Estimates of a checkpoint are those of its plan, which multiply from join to
+    join; loops that join what they joined before use this.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

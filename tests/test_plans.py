@@ -58,7 +58,7 @@ EAGER = {n for n in QUERIES if n not in SQL} | {
     "cluster_run", "metrics_tables", "cat_code", "build_panel",
     "scan_incident_json", "quarantine_corrupt", "land_month", "ingest_months", "load_raw", "save_clean", "persist_aggregates",
     "read_result_csv", "write_results", "export_filtered", "save_labels", "save_models", "incremental_load", "rf_panel_fit",
-    "dbscan", "dbscan_with_border", "eps_neighbours", "silhouette_exact", "silhouette_fast", "davies_bouldin", "inertia",
+    "dbscan", "dbscan_with_border", "eps_neighbours", "silhouette_exact", "silhouette_within", "silhouette_fast", "davies_bouldin", "inertia",
     "build_features", "build_features_basic", "build_features_raw_prior", "map_rate", "roc_auc", "cv_auc_stats",
 }
 # one or two per kind here; tools_check.py compares all of them

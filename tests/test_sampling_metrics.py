@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from streetlens.operators import metrics, priors, quality, sampling
+from streetlens.operators.plane_tree import PlaneTree, cell
 
 
 @pytest.fixture(scope="module")
@@ -121,8 +122,73 @@ def test_silhouettes_and_davies_bouldin(spark, rows_per_block):
     gap = flat[:, None] - flat[None]
     squared = (gap**2).sum(-1)
     assert quality.silhouette_exact(df, rows_per_block=rows_per_block).first()[0] == pytest.approx(silhouette(np.sqrt(squared)))
+    for tolerance in (0.0, 0.05):
+        bound = 1e-12 + 2 * tolerance / (1 - tolerance)
+        assert quality.silhouette_within(df, tolerance).first()[0] == pytest.approx(silhouette(np.sqrt(squared)), abs=bound)
     assert quality.silhouette_fast(df, rows_per_block=rows_per_block // 4).first()[0] == pytest.approx(silhouette(squared), abs=1e-9)
     centres = {c: flat[lab == c].mean(0) for c in set(lab)}
     spread = {c: np.linalg.norm(flat[lab == c] - centres[c], axis=1).mean() for c in centres}
     worst = [max((spread[i] + spread[j]) / np.linalg.norm(centres[i] - centres[j]) for j in centres if j != i) for i in centres]
-    assert quality.davies_bouldin(df, rows_per_block=rows_per_block // 4).first()[0] == pytest.approx(np.mean(worst))
+    assert quality.davies_bouldin(df).first()[0] == pytest.approx(np.mean(worst))
+
+
+def places(spark, n, seed=0, spread=0.4):
+    """Six clusters in clouds of their own, the last one beyond a wide gap."""
+    rng = np.random.default_rng(seed)
+    hubs = np.array([(0, 0), (3, 1), (1, 4), (5, 5), (4, 2), (40, -30.0)])
+    label = rng.integers(0, len(hubs), n)
+    xy = hubs[label] + rng.normal(0, spread, (n, 2))
+    return spark.createDataFrame([(float(x), float(y), 1, int(c)) for (x, y), c in zip(xy, label)], "x double, y double, w int, label int").repartition(8)
+
+
+def test_work_of_the_silhouette_tree_grows_slowly(spark):
+    def work(n):
+        df = places(spark, n)
+        tree = PlaneTree.around(df)
+        keyed = tree.keyed(df).persist()
+        total = 0
+        for kind, level, pairs in quality._far_and_near(keyed, tree, 0.01):
+            nx, ny = cell(level)
+            sizes = keyed.groupBy(nx.alias("l_nx"), ny.alias("l_ny")).agg(F.count("x").alias("l_n"))
+            weight = F.col("l_n") * (F.lit(1) if kind == "far" else F.col("r_n"))
+            total += pairs.join(sizes, ["l_nx", "l_ny"]).agg(F.sum(weight)).first()[0] or 0
+        keyed.unpersist()
+        return total
+
+    small, large = work(4_000), work(32_000)
+    assert large < small * 8**1.5 and large < 32_000**2 / 10
+
+
+def test_silhouette_tree_near_the_exact_one(spark):
+    df = places(spark, 1_500, 3, 1.2).persist()
+    exact = quality.silhouette_exact(df).first()[0]
+    assert quality.silhouette_within(df, 0.01).first()[0] == pytest.approx(exact, abs=0.0203)
+    assert quality.silhouette_within(df.filter("label = 0")).first()[0] is None
+    assert quality.silhouette_within(df.limit(0)).first()[0] is None
+    same = spark.createDataFrame([(1.0, 1.0, 3, 0), (1.0, 1.0, 2, 1)], "x double, y double, w int, label int")
+    assert quality.silhouette_within(same).first()[0] == quality.silhouette_exact(same).first()[0] == 0.0
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_worst_neighbours_are_searched_with_bounds(spark, monkeypatch, wide):
+    """Also with one cluster so wide that it is everyone's worst neighbour, and two with one centre."""
+    rng = np.random.default_rng(7)
+    c = np.vstack([rng.uniform(0, 100, (800, 2)), rng.normal(50, 1e-3, (40, 2)), [[20.0, 20.0], [20.0, 20.0]]])
+    s = rng.uniform(0.1, 1, len(c))
+    if wide:
+        s[5] = 500.0
+    d = np.sqrt(((c[:, None] - c[None]) ** 2).sum(-1))
+    with np.errstate(divide="ignore"):
+        want = np.where(d > 0, (s[:, None] + s[None]) / d, -1).max(1)
+    rows = [(k, float(x), float(y), float(v)) for k, ((x, y), v) in enumerate(zip(c, s))]
+    met = []
+    monkeypatch.setattr(quality, "written", lambda df, name, plain=quality.written: (met.append(plain(df, name)), met[-1])[1])
+    got = {r["label"]: r["r"] for r in quality._worst_neighbour(spark.createDataFrame(rows, "label int, x double, y double, s double")).collect()}
+    assert [got[k] for k in range(len(c))] == pytest.approx(want.tolist(), rel=1e-9)
+    assert sum(df.count() for df in met if "_high" in df.columns) < len(c) ** 2 / 2
+
+
+def test_a_single_cluster_scores_zero(spark):
+    one = spark.createDataFrame([(0.0, 0.0, 1, 0), (1.0, 0.0, 1, 0)], "x double, y double, w int, label int")
+    assert quality.davies_bouldin(one).first()[0] == 0.0
+    assert quality.davies_bouldin(one.limit(0)).first()[0] is None
