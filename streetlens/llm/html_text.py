@@ -39,7 +39,7 @@ ARTICLE, CHROME, OTHER = 0, 1, 2
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp noframes".split())
 SKIPPED = set(
-    "head script style noscript template iframe object svg canvas audio video form button select option textarea input label "
+    "head script style noscript template iframe object svg canvas audio video form button select option textarea input "
     "fieldset nav footer aside menu dialog figure-menu annotation annotation-xml".split()
 )
 BLOCKS = set(
@@ -55,18 +55,36 @@ CHROME_WORDS = set(
     "sharing related recommended breadcrumb breadcrumbs newsletter subscribe subscription signup login search toolbar pagination pager "
     "copyright widget widgets skip".split()
 )
+# what a class or id may add to such a word without changing what it names
+PLACES = set(
+    "list container wrapper wrap box block bar area section slot unit link links item items button buttons icon icons inner outer left right "
+    "top bottom primary secondary main mobile desktop post posts result results panel group row column col content site page global form thread js".split()
+)
+TITLES = {"header", "masthead"}  # inside an article they hold its title
 NEGATIONS = set("has no not with without hide".split())  # has-sidebar, layout-no-sidebar: words on the layout
 CHROME_ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-WORD = re.compile(r"[a-z]+")
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
-def _named_chrome(value: str) -> bool:
-    words = [WORD.findall(name) for name in value.lower().split()]
-    return any(w in CHROME_WORDS and (k == 0 or own[k - 1] not in NEGATIONS) for own in words for k, w in enumerate(own))
+def _named_chrome(value: str, in_article: bool) -> bool:
+    """Whether one of the names of a class or id is that of a menu, advert and the like.
+
+    What a name is about stands at its end, before words for places: a
+    cookie-banner, a sidebar-left, but not a share-price. Inside an article a
+    name counts only if it says nothing else: comment-list, but not court-notice.
+    """
+    for name in value.split():
+        words = [w.lower() for w in WORD.findall(name)]
+        named = [k for k, w in enumerate(words) if w in CHROME_WORDS and (k == 0 or words[k - 1] not in NEGATIONS)]
+        if not named or not all(w in PLACES for w in words[named[-1] + 1 :]):
+            continue
+        if not in_article or (not TITLES.intersection(words) and all(w in CHROME_WORDS or w in PLACES for w in words)):
+            return True
+    return False
 
 
 def _chrome(tag: str, attributes: str, in_article: bool) -> int:
@@ -84,18 +102,20 @@ def _chrome(tag: str, attributes: str, in_article: bool) -> int:
         return 1
     if tag == "main":
         return 0
-    return 2 * any(_named_chrome(given.get(k, "")) for k in ("class", "id"))
+    return 2 * any(_named_chrome(given.get(k, ""), in_article) for k in ("class", "id"))
 
 
 def page_blocks(source: str) -> Iterator[tuple[int, str]]:
     """(place, text) of the page's blocks in order; texts have decoded references and single spaces.
 
     What an element's class or id says does not reach into an article or main
-    element below it, unless an article is around both.
+    element below it, unless an article is around both. Elements within a line
+    that are left out, such as a button or a hidden span, do not end its block.
     """
     # open elements, whether each starts something left out, and the marks by class or id that it set aside
     stack: list[tuple[str, int, int]] = []
     inside = articles = left_out = named = 0
+    hushed = [0, 0, 0]  # open elements within a line that are left out, by kind of mark
     pieces: list[str] = []
     out: list[tuple[int, str]] = []
 
@@ -106,10 +126,15 @@ def page_blocks(source: str) -> Iterator[tuple[int, str]]:
             if text:
                 out.append((CHROME if left_out or named else ARTICLE if inside else OTHER, text))
 
+    def add(text: str) -> None:
+        if not hushed[1] and not (hushed[2] and named):
+            pieces.append(text)
+
     def pop(to: int) -> None:
         nonlocal inside, articles, left_out, named
         while len(stack) > to:
             name, chrome, aside = stack.pop()
+            hushed[chrome] -= name not in BLOCKS
             left_out -= chrome == 1
             named += aside - (chrome == 2)
             inside -= name in ("article", "main")
@@ -119,28 +144,28 @@ def page_blocks(source: str) -> Iterator[tuple[int, str]]:
     while at < end:
         m = TAG.search(source, at)
         if m is None:
-            pieces.append(html.unescape(source[at:]))
+            add(html.unescape(source[at:]))
             break
         if m.start() > at:
-            pieces.append(html.unescape(source[at : m.start()]))
+            add(html.unescape(source[at : m.start()]))
         at = m.end()
         if not m[2]:
             if m[0].startswith("<![CDATA["):
-                pieces.append(m[0][9:].removesuffix("]]>"))
+                add(m[0][9:].removesuffix("]]>"))
             continue
         tag = m[2].lower()
         if tag == "br":
             pieces.append(" ")
             continue
         if m[1]:
-            if tag in BLOCKS or tag in SKIPPED:
+            if tag in BLOCKS:
                 close_block()
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
                     pop(k)
                     break
             continue
-        if tag in BLOCKS or tag in SKIPPED:
+        if tag in BLOCKS:
             close_block()
         if tag in VOID:
             continue
@@ -157,6 +182,7 @@ def page_blocks(source: str) -> Iterator[tuple[int, str]]:
         chrome = _chrome(tag, m[3], inside > 0)
         aside = named if tag in ("article", "main") and not articles else 0
         stack.append((tag, chrome, aside))
+        hushed[chrome] += tag not in BLOCKS
         left_out += chrome == 1
         named += (chrome == 2) - aside
         inside += tag in ("article", "main")

@@ -296,6 +296,28 @@ def test_names_of_a_wrapper_leave_its_article(around):
     assert [place for place, _ in page_blocks(f"<aside><{around}><article>card</article></div></aside>")] == [1]
 
 
+@pytest.mark.parametrize("name", [
+    'class="share-price"', 'class="menu-card"', 'class="notice-period"', 'class="ad-1950"', 'id="comment-on-law"', 'class="court-notice"', 'class="entry-header"'])
+def test_names_inside_an_article_must_say_nothing_else(name):
+    assert main_texts([f"<article><p>One.</p><div {name}><p>Two.</p></div></article>"]) == ["One.\nTwo."]
+
+
+@pytest.mark.parametrize("name", ['class="advert"', 'class="x comment-list"', 'id="adSlot"', 'class="related_posts"', 'class="cookie-notice"', 'role="search"'])
+def test_adverts_and_comments_inside_an_article_go(name):
+    assert main_texts([f"<article><p>One.</p><div {name}><p>Two.</p></div><p>Three.</p></article>"]) == ["One.\nThree."]
+
+
+def test_names_outside_an_article():
+    assert main_texts(['<div class="search-theory"><p>A text.</p></div><div class="sidebar-left">No.</div><div id="siteHeader">No.</div>']) == ["A text."]
+
+
+def test_what_stands_within_a_line():
+    page = '<p>Choose <label>a value</label> and <button>press</button> go<script>x()</script> on <span hidden>never</span> <span class="ad">buy</span> here.</p>'
+    assert main_texts([page]) == ["Choose a value and go on here."]
+    assert main_texts(["<form><label>Name</label></form><p>Text</p>"]) == ["Text"]
+    assert main_texts(['<app-shell class="has sidebar"><article>Text <b class="ad">buy</b> on</article></app-shell>']) == ["Text on"]
+
+
 def test_formulas_stay():
     page = "<article><p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds</article>"
     assert main_texts([page])[0].replace(" ", "").replace("\n", "") == "sox=2holds"
